@@ -1,0 +1,31 @@
+"""One place that decides whether a table is small, by counting it."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, functions as F
+
+# A keyed table below this row count may travel through the driver.
+SMALL_ROWS = 10_000
+
+
+def settle_small(df: DataFrame, max_rows: int = SMALL_ROWS) -> tuple[DataFrame, bool]:
+    """``(table, is_small)``.
+
+    Fetches at most ``max_rows + 1`` rows.  A table that fits comes back as a
+    local relation of known size; a larger one comes back untouched.
+    """
+    head = df.limit(max_rows + 1).toArrow()
+    if head.num_rows > max_rows:
+        return df, False
+    return df.sparkSession.createDataFrame(head, schema=df.schema), True
+
+
+def attach(df: DataFrame, table: DataFrame, on, how: str = "left",
+           max_rows: int = SMALL_ROWS) -> DataFrame:
+    """Join a keyed table: broadcast when its counted size allows it.
+
+    Otherwise the join is left to the optimiser: sorted shuffle with adaptive
+    splitting of hot keys.
+    """
+    settled, small = settle_small(table, max_rows)
+    return df.join(F.broadcast(settled) if small else settled, on, how)
