@@ -107,7 +107,7 @@ _CTE = {
              ) b"""),
     "triples": ("inter_features", """
         SELECT user_id, item_id, max(user_item_affinity * 4 + 1) AS score
-        FROM inter_features GROUP BY user_id, item_id"""),
+        FROM inter_features WHERE user_item_affinity IS NOT NULL GROUP BY user_id, item_id"""),
     "split": ("triples", """
         SELECT *, CASE WHEN substr(md5(CAST(user_id AS VARCHAR) || '-' || CAST(item_id AS VARCHAR)
                                        || '-42'), 1, 8) < 'cccccccc' THEN 'train' ELSE 'test' END AS part
@@ -284,7 +284,7 @@ _ALL_RULES = " UNION ALL ".join([_USER_RULES, _PRODUCT_RULES, _INTERACTION_RULES
 
 def _warning(dataset: str, source: str, check: str, value: str) -> str:
     return (f"SELECT '{dataset}' AS dataset, n AS record_count, '{check}' AS \"check\", "
-            f"'warn' AS severity, 'count' AS kind, v AS value, 0.0 AS threshold, v <= 0 AS passed "
+            f"'warn' AS severity, 'count' AS kind, v AS value, CAST(0 AS DOUBLE) AS threshold, v <= 0 AS passed "
             f"FROM (SELECT CAST({value} AS DOUBLE) AS v, count(*) AS n FROM {source}) t")
 
 
@@ -320,8 +320,8 @@ def _one_hot() -> str:
     """The test tables hold 25 brands and 6 types, numbered and named."""
     brands = [f"Brand#{i}" for i in range(1, 26)]
     types = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
-    flags = [f"CASE WHEN brand = '{b}' THEN 1.0 ELSE 0.0 END AS \"brand_{b}\"" for b in brands]
-    flags += [f"CASE WHEN category = '{t}' THEN 1.0 ELSE 0.0 END AS \"category_{t}\""
+    flags = [f"CASE WHEN brand = '{b}' THEN CAST(1 AS DOUBLE) ELSE 0 END AS \"brand_{b}\"" for b in brands]
+    flags += [f"CASE WHEN category = '{t}' THEN CAST(1 AS DOUBLE) ELSE 0 END AS \"category_{t}\""
               for t in types]
     return (f"SELECT item_id, round(price, 6) AS price, round(rating, 6) AS rating, "
             f"{', '.join(flags)} FROM products_first")
@@ -417,7 +417,7 @@ def oracle_sql() -> dict[str, str]:
             "WHERE view_mode NOT IN ('view', 'add_to_cart', 'purchase') GROUP BY view_mode",
             "inter_raw"),
         "quality_metrics": _with(
-            "SELECT 'completeness' AS metric, round(v, 6) AS value, 0.98 AS target, v >= 0.98 AS passed "
+            "SELECT 'completeness' AS metric, round(v, 6) AS value, CAST(0.98 AS DOUBLE) AS target, v >= 0.98 AS passed "
             "FROM (SELECT (count(user_id) + count(age) + count(gender) + count(device)) "
             "/ (4.0 * count(*)) AS v FROM users_raw) a UNION ALL "
             "SELECT 'schema_validity', round(v, 6), 1.0, v >= 1 FROM "
@@ -604,7 +604,7 @@ def oracle_sql() -> dict[str, str]:
             "ELSE concat_ws(',', CASE WHEN view_mode NOT IN ('view', 'add_to_cart', 'purchase') "
             "THEN 'view_mode' END, CASE WHEN bad_rating THEN 'rating' END, "
             "CASE WHEN bad_ts THEN 'timestamp' END) END AS reasons FROM wire) "
-            "SELECT reasons, sum(copies) AS events FROM r WHERE reasons <> '' GROUP BY reasons",
+            "SELECT reasons, CAST(sum(copies) AS BIGINT) AS events FROM r WHERE reasons <> '' GROUP BY reasons",
             "wire"),
         "stream_dedup": _with(
             "SELECT user_id, item_id, view_mode, rating, "
@@ -612,23 +612,23 @@ def oracle_sql() -> dict[str, str]:
             "CASE view_mode WHEN 'view' THEN 1 WHEN 'add_to_cart' THEN 2 ELSE 3 END AS implicit_score "
             "FROM wire_valid", "wire_valid"),
         "stream_item_counts": _with(
-            f", s AS (SELECT item_id, sum(copies) AS popularity_score, "
+            f", s AS (SELECT item_id, CAST(sum(copies) AS BIGINT) AS popularity_score, "
             "sum(copies * rating) / sum(CASE WHEN rating IS NOT NULL THEN copies END) AS avg_item_rating, "
-            "coalesce(sum(copies) FILTER (WHERE view_mode = 'purchase'), 0) AS purchase_count, "
-            "coalesce(sum(copies) FILTER (WHERE view_mode = 'view'), 0) AS view_count "
+            "CAST(coalesce(sum(copies) FILTER (WHERE view_mode = 'purchase'), 0) AS BIGINT) AS purchase_count, "
+            "CAST(coalesce(sum(copies) FILTER (WHERE view_mode = 'view'), 0) AS BIGINT) AS view_count "
             "FROM wire_valid GROUP BY item_id) "
             f"SELECT item_id, {stats}, {rate} FROM s", "wire_valid"),
         "stream_new_files": "SELECT event_type, count(*) AS events, 2 AS run FROM events "
                             "GROUP BY event_type",
         "stream_staged_union": _with(
-            "SELECT view_mode, sum(copies) AS row_count, sum(copies * rating) AS rating_sum FROM ("
+            "SELECT view_mode, CAST(sum(copies) AS BIGINT) AS row_count, CAST(sum(copies * rating) AS BIGINT) AS rating_sum FROM ("
             "SELECT view_mode, rating, 1 AS copies FROM inter_raw UNION ALL "
             "SELECT view_mode, rating, copies FROM wire_valid) t GROUP BY view_mode",
             "inter_raw", "wire_valid"),
         "stream_wire_format":
             "SELECT CAST(user_id AS VARCHAR) AS \"key\", '{\"user_id\":' || user_id || ',\"item_id\":' "
             "|| k || ',\"view_mode\":\"' || event_type || '\",\"event_id\":\"' || user_id || '_' || k "
-            "|| '_' || epoch_ms(ts) || '\"}' AS value, 'transactions' AS topic "
+            "|| '_' || (epoch_us(ts) // 1000) || '\"}' AS value, 'transactions' AS topic "
             "FROM (SELECT *, json_extract_string(props, '$.k') AS k FROM events) e",
     }
     return sql

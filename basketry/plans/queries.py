@@ -508,9 +508,14 @@ def wire_events(events: DataFrame) -> DataFrame:
         F.col("ts").alias("arrival"), F.explode(copies).alias("copy")).drop("copy")
 
 
+def _event_stream(spark, folder):
+    schema = bindings.table(spark, folder, "events").schema
+    # As a pattern the path may be one file or a folder of files.
+    return jobs.file_events(spark, f"{folder}/events.parque[t]", schema)
+
+
 def _stream(spark, folder):
-    path = f"{folder}/events.parquet"
-    return wire_events(jobs.file_events(spark, path, spark.read.parquet(path).schema))
+    return wire_events(_event_stream(spark, folder))
 
 
 def _collect(stream: DataFrame, name: str) -> DataFrame:
@@ -593,9 +598,7 @@ def stream_staged_union(spark, folder):
 @query
 def stream_wire_format(spark, folder):
     """Rows as key and JSON value, the shape of the Kafka sink, written as a stream."""
-    path = f"{folder}/events.parquet"
-    events = jobs.file_events(spark, path, spark.read.parquet(path).schema)
-    rows = events.select(
+    rows = _event_stream(spark, folder).select(
         "user_id", F.get_json_object("props", "$.k").cast("bigint").alias("item_id"),
         F.col("event_type").alias("view_mode"), "ts")
     named = rows.withColumn("event_id", contract.event_id(
