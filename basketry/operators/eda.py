@@ -61,9 +61,8 @@ def correlation(df: DataFrame, columns: list[str]) -> DataFrame:
     def both(a: str, b: str) -> Column:
         present = F.col(a).isNotNull() & F.col(b).isNotNull()
         x, y = (F.when(present, F.col(c).cast("double")) for c in (a, b))
-        # A constant column has no correlation.
-        varies = (F.stddev_pop(x) > 0) & (F.stddev_pop(y) > 0)
-        return F.when(varies, F.corr(x, y))
+        # ``corr`` divides by zero on a constant column; that pair is null here.
+        return F.covar_pop(x, y) / F.nullif(F.stddev_pop(x) * F.stddev_pop(y), F.lit(0.0))
 
     wide = df.agg(*[both(a, b).alias(f"_c{i}") for i, (a, b) in enumerate(pairs)])
     entries = []

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from basketry.functions.cleaning import clean_text, null_tokens, to_key, to_number
 from basketry.functions.positions import global_position
@@ -94,41 +94,55 @@ def as_label(column: Column) -> Column:
 
 @dataclass(frozen=True)
 class LabelCodes:
-    """Sorted distinct labels of a column and their codes 0..n-1."""
+    """Sorted distinct labels of a column and their codes 0..n-1.
+
+    A short list is kept as a literal; a long one as a table (label, code).
+    """
 
     column: str
-    dictionary: DataFrame
     literal: tuple[str, ...] | None
+    table: DataFrame | None
 
     def encode(self, df: DataFrame, output: str | None = None) -> DataFrame:
         """Add the code column; a label not seen at fit time gives null."""
         output = output or f"{self.column}_encoded"
         label = as_label(F.col(self.column))
-        if self.literal is not None:
-            if not self.literal:
-                return df.withColumn(output, F.lit(None).cast("int"))
-            at = F.array_position(F.array(*[F.lit(x) for x in self.literal]), label)
-            return df.withColumn(output, F.when(at > 0, at - 1).cast("int"))
-        table = self.dictionary.select(F.col("label").alias("_label"),
-                                       F.col("code").cast("int").alias(output))
-        return (df.join(table, label == F.col("_label"), "left").drop("_label"))
-
-
-def fit_labels(df: DataFrame, column: str) -> LabelCodes:
-    """Fit an encoding; one pass over the column."""
-    labels = df.select(as_label(F.col(column)).alias("label")).distinct()
-    dictionary = global_position(labels, [F.asc("label")], "code")
-    head = dictionary.limit(LITERAL_LABELS + 1).collect()
-    literal = None
+        if self.literal is None:
+            codes = self.table.select(F.col("label").alias("_label"),
+                                      F.col("code").cast("int").alias(output))
+            return df.join(codes, label == F.col("_label"), "left").drop("_label")
+        if not self.literal:
+            return df.withColumn(output, F.lit(None).cast("int"))
+        at = F.array_position(F.array(*[F.lit(x) for x in self.literal]), label)
+        return df.withColumn(output, F.nullif(at, F.lit(0)).cast("int") - 1)
+
+    def dictionary(self, spark: SparkSession) -> DataFrame:
+        """(label, code), to be saved with the prepared data."""
+        if self.literal is None:
+            return self.table
+        return spark.createDataFrame(list(zip(self.literal, range(len(self.literal)))),
+                                     "label string, code int")
+
+
+def fit_labels(df: DataFrame, columns: list[str]) -> dict[str, LabelCodes]:
+    """Fit the encodings of several columns in one pass."""
+    pairs = df.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column"), as_label(F.col(c)).alias("label"))
+        for c in columns]))).distinct()
+    head = pairs.limit(LITERAL_LABELS + 1).collect()
     if len(head) <= LITERAL_LABELS:
-        literal = tuple(r["label"] for r in sorted(head, key=lambda r: r["code"]))
-    return LabelCodes(column, dictionary, literal)
+        # Code point order is the byte order of UTF-8, which Spark sorts by.
+        return {c: LabelCodes(c, tuple(sorted(r["label"] for r in head if r["column"] == c)), None)
+                for c in columns}
+    return {c: LabelCodes(c, None, global_position(
+        pairs.where(F.col("column") == c).select("label"), [F.asc("label")], "code"))
+        for c in columns}
 
 
-def encode_labels(df: DataFrame, columns: list[str]) -> DataFrame:
+def encode_labels(df: DataFrame, columns: list[str], fit_on: DataFrame | None = None) -> DataFrame:
     """Fit and encode each column as ``<column>_encoded``."""
-    for column in columns:
-        df = fit_labels(df, column).encode(df)
+    for codes in fit_labels(df if fit_on is None else fit_on, columns).values():
+        df = codes.encode(df)
     return df
 
 
@@ -196,7 +210,7 @@ def clean_products(raw: DataFrame, order: list) -> DataFrame:
         keep_first(raw, ["item_id"], order)
         .select("item_id", "price", "brand", "category", "rating", "in_stock"), "products-first")
     filled = fill_mean(fill_group_median(first, "price", "category"), "rating")
-    coded = encode_labels(filled, ["category", "brand"])
+    coded = encode_labels(filled, ["category", "brand"], fit_on=first)
     return quantile_tiers(min_max_scale(coded, "price", "price_normalized"), "price", "price_tier")
 
 
@@ -207,5 +221,5 @@ def clean_interactions(raw: DataFrame, users: DataFrame, products: DataFrame) ->
     """
     known = keep_known(keep_known(raw, users, "user_id"), products, "item_id")
     valid = known.where(F.col("timestamp").isNotNull())
-    return (fit_labels(valid, "view_mode").encode(valid)
+    return (encode_labels(valid, ["view_mode"])
             .withColumn("implicit_score", implicit_score(F.col("view_mode"))))

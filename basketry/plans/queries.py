@@ -11,7 +11,7 @@ from basketry.functions.scores import RATING_HIGH, RATING_LOW
 from basketry.operators import (content, eda, factor_model, features, metrics, prepare, profiling,
                                 quality, ranking, upsert)
 from basketry.schemas import PRODUCT_COLUMNS, USER_COLUMNS, VIEW_MODES
-from basketry.session import scratch_path
+from basketry.session import materialise, scratch_path
 from basketry.sources import bindings, files
 from basketry.sources.feature_store import FeatureStore, feature_definitions
 from basketry.sources.lake import Lake
@@ -69,16 +69,25 @@ def products_known(spark, folder):
 
 
 def interactions_prepared(spark, folder):
-    return prepare.clean_interactions(bindings.interactions_raw(spark, folder),
-                                      users_known(spark, folder), products_known(spark, folder))
+    return prepare.clean_interactions(
+        bindings.interactions_raw(spark, folder), bindings.users_raw(spark, folder),
+        bindings.products_raw(spark, folder))
 
 
 def interactions_scored(spark, folder):
-    return features.interaction_features(interactions_prepared(spark, folder))
+    """Read several times by the queries below, so it is written once, as in the lake."""
+    return features.interaction_features(
+        materialise(interactions_prepared(spark, folder), "interactions"))
 
 
 def triples(spark, folder):
-    return factor_model.rating_triples(interactions_scored(spark, folder))
+    return materialise(factor_model.rating_triples(interactions_scored(spark, folder)), "triples")
+
+
+def order_pairs(spark, folder):
+    """user_id and item_id of the order lines, joined once."""
+    return materialise(bindings.order_interactions(spark, folder).select("user_id", "item_id"),
+                       "pairs")
 
 
 # Cleaning -----------------------------------------------------------------------
@@ -346,7 +355,7 @@ def _popularity_lists(facts, k):
 
 @query
 def unseen_topk(spark, folder):
-    return _popularity_lists(bindings.order_interactions(spark, folder), 10)
+    return _popularity_lists(order_pairs(spark, folder), 10)
 
 
 @query
@@ -399,8 +408,8 @@ def hybrid_topk(spark, folder):
 # Evaluation -------------------------------------------------------------------------
 
 def _evaluation(spark, folder):
-    facts = bindings.order_interactions(spark, folder)
-    train, test = factor_model.train_test_split(ranking.seen_pairs(facts))
+    pairs = materialise(ranking.seen_pairs(bindings.order_interactions(spark, folder)), "pairs")
+    train, test = factor_model.train_test_split(pairs)
     return _popularity_lists(train, 20), test
 
 
@@ -445,7 +454,7 @@ def eda_sparsity(spark, folder):
 
 @query
 def eda_activity(spark, folder):
-    facts = bindings.order_interactions(spark, folder)
+    facts = order_pairs(spark, folder)
     return (eda.activity(facts, users_known(spark, folder), "user_id")
             .unionByName(eda.activity(facts, products_known(spark, folder), "item_id")))
 

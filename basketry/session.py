@@ -14,6 +14,8 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Call-site capture per column expression only slows plan building.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

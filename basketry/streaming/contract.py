@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import StructType
 
 from basketry.functions.cleaning import parse_timestamp
 from basketry.functions.scores import implicit_score
@@ -24,25 +25,33 @@ def whole_number(text: Column) -> Column:
                       F.when(as_double == F.floor(as_double), as_double.try_cast("bigint")))
 
 
+def _parsed(events: DataFrame, schema: StructType) -> DataFrame:
+    """payload, arrival and the fields of the payload as text columns.
+
+    The generator keeps later filters above the parse, which would otherwise
+    be copied into them field by field.
+    """
+    document = F.from_json("payload", schema, {"columnNameOfCorruptRecord": CORRUPT})
+    return events.select("payload", "arrival", F.inline(F.array(document)))
+
+
 def _reasons(checks: dict[str, Column]) -> Column:
     """Names of the failed checks, or ``json`` alone; a null outcome is a failure."""
-    broken = F.col("e").isNull() | F.col(f"e.{CORRUPT}").isNotNull()
-    failed = F.array_compact(F.array(*[
-        F.when(~F.coalesce(ok, F.lit(False)), name) for name, ok in checks.items()]))
-    return F.when(broken, F.array(F.lit("json"))).otherwise(failed)
+    broken = F.col("payload").isNull() | F.col(CORRUPT).isNotNull()
+    failed = F.concat_ws(",", *[
+        F.when(~F.coalesce(ok, F.lit(False)), name) for name, ok in checks.items()])
+    return F.when(broken, "json").otherwise(failed)
 
 
 def decode_users(events: DataFrame) -> DataFrame:
     """Typed user events with ``reasons``; payload and arrival are kept."""
-    e = F.from_json("payload", USER_EVENT, {"columnNameOfCorruptRecord": CORRUPT})
-    df = events.select("payload", "arrival", e.alias("e"))
-    user_id, age = whole_number(F.col("e.user_id")), whole_number(F.col("e.age"))
-    return df.select(
-        "payload", "arrival", user_id.alias("user_id"), age.cast("bigint").alias("age"),
-        F.col("e.gender").alias("gender"), F.col("e.device").alias("device"),
-        _reasons({"user_id": user_id.isNotNull(), "age": age > 0,
-                  "gender": F.col("e.gender").isin(*EVENT_GENDERS),
-                  "device": F.col("e.device").isin(*DEVICES)}).alias("reasons"))
+    typed = _parsed(events, USER_EVENT).select(
+        "payload", "arrival", CORRUPT, whole_number(F.col("user_id")).alias("user_id"),
+        whole_number(F.col("age")).alias("age"), "gender", "device")
+    return typed.withColumn("reasons", _reasons({
+        "user_id": F.col("user_id").isNotNull(), "age": F.col("age") > 0,
+        "gender": F.col("gender").isin(*EVENT_GENDERS),
+        "device": F.col("device").isin(*DEVICES)})).drop(CORRUPT)
 
 
 def decode_transactions(events: DataFrame) -> DataFrame:
@@ -51,32 +60,32 @@ def decode_transactions(events: DataFrame) -> DataFrame:
     Rating and timestamp may be absent, but not malformed; an absent timestamp
     becomes the arrival time.
     """
-    e = F.from_json("payload", TRANSACTION_EVENT, {"columnNameOfCorruptRecord": CORRUPT})
-    df = events.select("payload", "arrival", e.alias("e"))
-    user_id, item_id = whole_number(F.col("e.user_id")), whole_number(F.col("e.item_id"))
-    rating = whole_number(F.col("e.rating"))
-    stamp = parse_timestamp(F.col("e.timestamp"))
-    return df.select(
-        "payload", "arrival", user_id.alias("user_id"), item_id.alias("item_id"),
-        F.col("e.view_mode").alias("view_mode"), rating.try_cast("int").alias("rating"),
-        F.coalesce(stamp, F.col("arrival")).alias("timestamp"),
-        F.col("e.event_id").alias("event_id"),
-        implicit_score(F.col("e.view_mode")).alias("implicit_score"),
-        _reasons({
-            "user_id": user_id.isNotNull(), "item_id": item_id.isNotNull(),
-            "view_mode": F.col("e.view_mode").isin(*VIEW_MODES),
-            "rating": F.col("e.rating").isNull() | rating.between(1, 5),
-            "timestamp": F.col("e.timestamp").isNull() | stamp.isNotNull()}).alias("reasons"))
+    typed = _parsed(events, TRANSACTION_EVENT).select(
+        "payload", "arrival", CORRUPT, whole_number(F.col("user_id")).alias("user_id"),
+        whole_number(F.col("item_id")).alias("item_id"), "view_mode",
+        whole_number(F.col("rating")).alias("rating"),
+        parse_timestamp(F.col("timestamp")).alias("stamp"), "event_id",
+        (F.col("rating").isNull()).alias("no_rating"),
+        (F.col("timestamp").isNull()).alias("no_stamp"))
+    reasons = _reasons({
+        "user_id": F.col("user_id").isNotNull(), "item_id": F.col("item_id").isNotNull(),
+        "view_mode": F.col("view_mode").isin(*VIEW_MODES),
+        "rating": F.col("no_rating") | F.col("rating").between(1, 5),
+        "timestamp": F.col("no_stamp") | F.col("stamp").isNotNull()})
+    return typed.select(
+        "payload", "arrival", "user_id", "item_id", "view_mode",
+        F.col("rating").try_cast("int").alias("rating"),
+        F.coalesce("stamp", "arrival").alias("timestamp"), "event_id",
+        implicit_score(F.col("view_mode")).alias("implicit_score"), reasons.alias("reasons"))
 
 
 def accepted(decoded: DataFrame) -> DataFrame:
-    return decoded.where(F.size("reasons") == 0).drop("payload", "arrival", "reasons")
+    return decoded.where(F.col("reasons") == "").drop("payload", "arrival", "reasons")
 
 
 def rejected(decoded: DataFrame) -> DataFrame:
-    """Payload, arrival and the reasons as one text."""
-    return decoded.where(F.size("reasons") > 0).select(
-        "payload", "arrival", F.array_join("reasons", ",").alias("reasons"))
+    """Payload, arrival and the names of the failed checks."""
+    return decoded.where(F.col("reasons") != "").select("payload", "arrival", "reasons")
 
 
 def event_id(user_id: Column, item_id: Column, at: Column) -> Column:
