@@ -62,13 +62,13 @@ def exact_percentiles(df: DataFrame, value: str, probs: list[float],
     # What is left is small; one exchange by group serves all the steps below.
     merged = merged.repartition(*[F.col(k) for k in by]) if by else merged.coalesce(1)
     running = Window.partitionBy(*by, "i").orderBy("_v")
-    upto = merged.withColumn("_upto", F.sum("_c").over(running)).where(F.col("_v").isNotNull())
+    upto = merged.withColumn("_upto", F.sum("_c").over(running))
     first_hit, next_hit = F.col("_upto") > F.col("first"), F.col("_upto") > F.col("first") + 1
     # Beyond the last value the second neighbour falls back to the first.
     each = upto.groupBy(*keys).agg(
         F.min(F.when(first_hit, F.col("_v"))).alias("a"),
         F.min(F.when(next_hit, F.col("_v"))).alias("b"),
-        F.min(F.col("_upto") - F.col("_c")).alias("below"))
+        F.min(F.when(F.col("_v").isNotNull(), F.col("_upto") - F.col("_c"))).alias("below"))
     found = F.col("a").isNotNull() & (F.col("below") <= F.col("first"))
     value_at = F.col("a") + (F.coalesce("b", "a") - F.col("a")) * F.col("share")
     missed = F.raise_error(F.lit("percentile rank outside its bracket")).cast("double")

@@ -195,23 +195,40 @@ def quantile_tiers(df: DataFrame, column: str, output: str, labels=PRICE_TIERS)
 
 # Tables --------------------------------------------------------------------
 
-def clean_users(raw: DataFrame, order: list) -> DataFrame:
+SCALERS = {"minmax": min_max_scale, "standard": standard_scale}
+
+
+def encode_columns(df: DataFrame, columns: list[str], method: str,
+                   fit_on: DataFrame | None = None) -> DataFrame:
+    """Label codes, or one 0/1 column per value beside the given columns."""
+    if method == "label":
+        return encode_labels(df, columns, fit_on)
+    if method == "one_hot":
+        return one_hot(df, columns, df.columns)
+    raise ValueError(f"unknown encoding {method}")
+
+
+def clean_users(raw: DataFrame, order: list, encoding: str = "label",
+                scaling: str = "minmax") -> DataFrame:
     """Prepared users: first row per id, filled, encoded, scaled."""
     first = materialise(keep_first(raw, ["user_id"], order)
                         .select("user_id", "age", "gender", "device"), "users-first")
     filled = fill_mode(fill_mode(fill_median(first, "age"), "gender", DEFAULT_GENDER),
                        "device", DEFAULT_DEVICE)
-    return min_max_scale(encode_labels(filled, ["gender", "device"]), "age", "age_normalized")
+    coded = encode_columns(filled, ["gender", "device"], encoding)
+    return SCALERS[scaling](coded, "age", "age_normalized")
 
 
-def clean_products(raw: DataFrame, order: list) -> DataFrame:
+def clean_products(raw: DataFrame, order: list, encoding: str = "label",
+                   scaling: str = "minmax") -> DataFrame:
     """Prepared products: first row per id, filled, encoded, scaled, tiered."""
     first = materialise(
         keep_first(raw, ["item_id"], order)
         .select("item_id", "price", "brand", "category", "rating", "in_stock"), "products-first")
     filled = fill_mean(fill_group_median(first, "price", "category"), "rating")
-    coded = encode_labels(filled, ["category", "brand"], fit_on=first)
-    return quantile_tiers(min_max_scale(coded, "price", "price_normalized"), "price", "price_tier")
+    coded = encode_columns(filled, ["category", "brand"], encoding, fit_on=first)
+    return quantile_tiers(SCALERS[scaling](coded, "price", "price_normalized"),
+                          "price", "price_tier")
 
 
 def clean_interactions(raw: DataFrame, users: DataFrame, products: DataFrame) -> DataFrame:
