@@ -41,9 +41,10 @@ def histogram(df: DataFrame, column: str, bins: int = 30) -> DataFrame:
                         F.max(column).cast("double").alias("hi"))).scalar()
     lo, hi = s["lo"], s["hi"]
     value = F.col(column).cast("double")
-    at = F.least(F.lit(bins - 1), F.floor((value - lo) / F.nullif(hi - lo, F.lit(0.0)) * bins))
+    at = F.floor((value - lo) / F.nullif(hi - lo, F.lit(0.0)) * bins)
     counts = (df.where(value.isNotNull())
-              .groupBy(F.coalesce(at, F.lit(0)).cast("int").alias("bin"))
+              .groupBy(F.when(hi > lo, F.least(F.lit(bins - 1), at)).otherwise(0).cast("int")
+                       .alias("bin"))
               .agg(F.count(F.lit(1)).alias("row_count")))
     frame = (df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
              .where(lo.isNotNull() & ((F.col("bin") == 0) | (hi > lo))))

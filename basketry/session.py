@@ -14,6 +14,9 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Stream state on local disk with snapshots in the checkpoint, not on the heap.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     # Call-site capture per column expression only slows plan building.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
