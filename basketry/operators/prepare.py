@@ -22,11 +22,12 @@ LITERAL_LABELS = 256
 
 def clean_raw_users(df: DataFrame) -> DataFrame:
     """Type the text columns of ingested users; rows without a usable id go."""
-    return (df.withColumn("user_id", to_key(null_tokens(F.col("user_id"))))
-            .where(F.col("user_id").isNotNull())
-            .withColumn("age", to_number(null_tokens(F.col("age"))))
-            .withColumn("gender", clean_text(null_tokens(F.col("gender"))))
-            .withColumn("device", clean_text(null_tokens(F.col("device")))))
+    return df.withColumns({
+        "user_id": to_key(null_tokens(F.col("user_id"))),
+        "age": to_number(null_tokens(F.col("age"))),
+        "gender": clean_text(null_tokens(F.col("gender"))),
+        "device": clean_text(null_tokens(F.col("device"))),
+    }).where(F.col("user_id").isNotNull())
 
 
 def keep_first(df: DataFrame, key: list[str], order: list) -> DataFrame:
@@ -124,24 +125,40 @@ class LabelCodes:
                                      "label string, code int")
 
 
-def fit_labels(df: DataFrame, columns: list[str]) -> dict[str, LabelCodes]:
-    """Fit the encodings of several columns in one pass."""
+def fit_labels(df: DataFrame, columns: list[str],
+               filled_with: dict[str, str] | None = None) -> dict[str, LabelCodes]:
+    """Fit the encodings of several columns in one pass.
+
+    ``filled_with`` fits mode-filled columns on the rows before the fill: nulls
+    take the mode, which is among the labels, or the given default when there
+    is no label at all.
+    """
+    defaults = filled_with or {}
     pairs = df.select(F.inline(F.array(*[
-        F.struct(F.lit(c).alias("column"), as_label(F.col(c)).alias("label"))
-        for c in columns]))).distinct()
+        F.struct(F.lit(c).alias("column"), (F.col(c).cast("string") if c in defaults
+                                            else as_label(F.col(c))).alias("label"))
+        for c in columns]))).where(F.col("label").isNotNull()).distinct()
     head = pairs.limit(LITERAL_LABELS + 1).collect()
     if len(head) <= LITERAL_LABELS:
         # Code point order is the byte order of UTF-8, which Spark sorts by.
-        return {c: LabelCodes(c, tuple(sorted(r["label"] for r in head if r["column"] == c)), None)
+        found = {c: tuple(sorted(r["label"] for r in head if r["column"] == c)) for c in columns}
+        return {c: LabelCodes(c, found[c] or ((defaults[c],) if c in defaults else ()), None)
                 for c in columns}
-    return {c: LabelCodes(c, None, global_position(
-        pairs.where(F.col("column") == c).select("label"), [F.asc("label")], "code"))
-        for c in columns}
-
-
-def encode_labels(df: DataFrame, columns: list[str], fit_on: DataFrame | None = None) -> DataFrame:
+    fitted = {}
+    for c in columns:
+        labels = pairs.where(F.col("column") == c).select("label")
+        if c in defaults and labels.isEmpty():
+            fitted[c] = LabelCodes(c, (defaults[c],), None)
+        else:
+            fitted[c] = LabelCodes(c, None, global_position(labels, [F.asc("label")], "code"))
+    return fitted
+
+
+def encode_labels(df: DataFrame, columns: list[str], fit_on: DataFrame | None = None,
+                  filled_with: dict[str, str] | None = None) -> DataFrame:
     """Fit and encode each column as ``<column>_encoded``."""
-    for codes in fit_labels(df if fit_on is None else fit_on, columns).values():
+    fitted = fit_labels(df if fit_on is None else fit_on, columns, filled_with)
+    for codes in fitted.values():
         df = codes.encode(df)
     return df
 
@@ -165,15 +182,24 @@ def one_hot(df: DataFrame, columns: list[str], keep: list[str], max_width: int =
 
 # Scaling and binning -------------------------------------------------------
 
-def min_max_scale(df: DataFrame, column: str, output: str) -> DataFrame:
-    """Onto [0, 1]; a constant column gives 0, null stays null."""
-    s = df.agg(F.struct(F.min(column).alias("lo"), F.max(column).alias("hi"))).scalar()
+def min_max_scale(df: DataFrame, column: str, output: str,
+                  fit_on: DataFrame | None = None) -> DataFrame:
+    """Onto [0, 1]; a constant column gives 0, null stays null.
+
+    ``fit_on`` may name a cheaper table with the same extremes, such as the
+    rows before imputation: a median or mean lies between them.
+    """
+    s = (df if fit_on is None else fit_on).agg(F.struct(F.min(column).alias("lo"), F.max(column).alias("hi"))).scalar()
     scaled = (F.col(column) - s["lo"]) / F.nullif(s["hi"] - s["lo"], F.lit(0.0))
     return df.withColumn(output, F.when(F.col(column).isNotNull(), F.coalesce(scaled, F.lit(0.0))))
 
 
-def standard_scale(df: DataFrame, column: str, output: str) -> DataFrame:
-    """(x - mean) / population std; a constant column gives 0, null stays null."""
+def standard_scale(df: DataFrame, column: str, output: str,
+                   fit_on: DataFrame | None = None) -> DataFrame:
+    """(x - mean) / population std; a constant column gives 0, null stays null.
+
+    Imputed rows change both statistics, so ``fit_on`` is not used.
+    """
     s = df.agg(F.struct(F.avg(column).alias("mu"), F.stddev_pop(column).alias("sd"))).scalar()
     scaled = (F.col(column) - s["mu"]) / F.nullif(s["sd"], F.lit(0.0))
     return df.withColumn(output, F.when(F.col(column).isNotNull(), F.coalesce(scaled, F.lit(0.0))))
@@ -199,10 +225,11 @@ SCALERS = {"minmax": min_max_scale, "standard": standard_scale}
 
 
 def encode_columns(df: DataFrame, columns: list[str], method: str,
-                   fit_on: DataFrame | None = None) -> DataFrame:
+                   fit_on: DataFrame | None = None,
+                   filled_with: dict[str, str] | None = None) -> DataFrame:
     """Label codes, or one 0/1 column per value beside the given columns."""
     if method == "label":
-        return encode_labels(df, columns, fit_on)
+        return encode_labels(df, columns, fit_on, filled_with)
     if method == "one_hot":
         return one_hot(df, columns, df.columns)
     raise ValueError(f"unknown encoding {method}")
@@ -215,8 +242,9 @@ def clean_users(raw: DataFrame, order: list, encoding: str = "label",
                         .select("user_id", "age", "gender", "device"), "users-first")
     filled = fill_mode(fill_mode(fill_median(first, "age"), "gender", DEFAULT_GENDER),
                        "device", DEFAULT_DEVICE)
-    coded = encode_columns(filled, ["gender", "device"], encoding)
-    return SCALERS[scaling](coded, "age", "age_normalized")
+    coded = encode_columns(filled, ["gender", "device"], encoding, first,
+                           {"gender": DEFAULT_GENDER, "device": DEFAULT_DEVICE})
+    return SCALERS[scaling](coded, "age", "age_normalized", first)
 
 
 def clean_products(raw: DataFrame, order: list, encoding: str = "label",
@@ -226,8 +254,8 @@ def clean_products(raw: DataFrame, order: list, encoding: str = "label",
         keep_first(raw, ["item_id"], order)
         .select("item_id", "price", "brand", "category", "rating", "in_stock"), "products-first")
     filled = fill_mean(fill_group_median(first, "price", "category"), "rating")
-    coded = encode_columns(filled, ["category", "brand"], encoding, fit_on=first)
-    return quantile_tiers(SCALERS[scaling](coded, "price", "price_normalized"),
+    coded = encode_columns(filled, ["category", "brand"], encoding, first)
+    return quantile_tiers(SCALERS[scaling](coded, "price", "price_normalized", first),
                           "price", "price_tier")
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from basketry.sources.feature_store import FEATURE_DEFINITIONS
+
 # Common table expressions -------------------------------------------------------
 
 _CTE = {
@@ -362,6 +364,16 @@ def _samples(column: str, text: str) -> str:
             f"ORDER BY v LIMIT 3) t")
 
 
+def _registry() -> str:
+    rows = ", ".join("(" + ", ".join(f"'{v}'" for v in d) + ")" for d in FEATURE_DEFINITIONS)
+    return (f", d AS (SELECT * FROM (VALUES {rows}) v(feature_name, feature_type, description, "
+            "data_type, source_table, computation_logic)) "
+            "SELECT d.*, '2024-01-01 00:00:00' AS created_at, CASE WHEN feature_type = 'item' "
+            "THEN '2024-02-01 00:00:00' ELSE '2024-01-01 00:00:00' END AS updated_at, "
+            "CASE WHEN feature_type = 'user' THEN (SELECT count(DISTINCT user_id) FROM facts) "
+            "ELSE (SELECT count(DISTINCT item_id) FROM facts) END AS covered_ids FROM d")
+
+
 _EVENT = "event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, user_id, event_type, round(value, 6) AS value, props"
 
 
@@ -489,6 +501,7 @@ def oracle_sql() -> dict[str, str]:
             "FROM (SELECT item_id, count(*) AS c FROM facts WHERE ts < '1995-03-01' GROUP BY 1) o "
             "FULL JOIN (SELECT item_id, count(*) AS c FROM facts WHERE ts >= '2001-06-01' GROUP BY 1) n "
             "USING (item_id)", "facts"),
+        "feature_registry": _with(_registry(), "facts"),
         "rating_triples": _with(f"SELECT user_id, item_id, {_r('score', 'score')} FROM triples",
                                 "triples"),
         "train_test_split": _with(
