@@ -60,7 +60,7 @@ def exact_percentiles(df: DataFrame, value: str, probs: list[float],
     merged = (spread.groupBy(*keys, F.when(F.col("_v") >= F.col("lo"), F.col("_v")).alias("_v"))
               .agg(F.sum("_c").alias("_c")))
     # What is left is small; one exchange by group serves all the steps below.
-    merged = merged.repartition(*[F.col(k) for k in by]) if by else merged.coalesce(1)
+    merged = merged.repartition(*[F.col(k) for k in by]) if by else merged.repartition(1)
     running = Window.partitionBy(*by, "i").orderBy("_v")
     upto = merged.withColumn("_upto", F.sum("_c").over(running))
     first_hit, next_hit = F.col("_upto") > F.col("first"), F.col("_upto") > F.col("first") + 1

@@ -438,6 +438,10 @@ def oracle_sql() -> dict[str, str]:
             "SELECT 'duplicate_rate', round(v, 6), 0.01, v < 0.01 FROM "
             "(SELECT 1.0 - count(DISTINCT user_id) / count(*) AS v FROM users_raw) c",
             "users_raw"),
+        "feature_freshness": _with(
+            "SELECT d AS age_days, d < 30 AS passed FROM (SELECT "
+            "date_diff('day', CAST(max(ts) AS DATE), DATE '2001-12-01') AS d FROM facts) t",
+            "facts"),
         "snapshot_profile": _with(_profile("users_raw", {
             "user_id": "bigint", "age": "double", "gender": "string", "device": "string"}),
             "users_raw"),

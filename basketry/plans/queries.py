@@ -200,6 +200,13 @@ def quality_metrics(spark, folder):
                                     F.col("age").between(18, 65))
 
 
+@query
+def feature_freshness(spark, folder):
+    facts = bindings.order_interactions(spark, folder)
+    published = facts.groupBy("item_id").agg(F.max("timestamp").alias("updated_at"))
+    return quality.feature_freshness(published, "updated_at", "2001-12-01", 30)
+
+
 # Lake and profiles ----------------------------------------------------------------
 
 @query

@@ -40,9 +40,11 @@ def shared_folder(spark: SparkSession) -> str:
     folder takes its place.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
+    current = spark.sparkContext.getCheckpointDir()
     if folder:
+        if not current:
+            spark.sparkContext.setCheckpointDir(folder)
         return folder.rstrip("/")
-    current = spark.sparkContext.getCheckpointDir()
     if current:
         return current.rstrip("/")
     folder = tempfile.mkdtemp(prefix="basketry-")

@@ -89,8 +89,17 @@ def rejected(decoded: DataFrame) -> DataFrame:
 
 
 def event_id(user_id: Column, item_id: Column, at: Column) -> Column:
-    """``user_item_millis``, the id a producer puts on the wire."""
-    millis = F.unix_millis(at.cast("timestamp"))
+    """``user_item_millis``, the id a producer puts on the wire.
+
+    ``at`` has no zone and is read as UTC, whatever the session zone is.
+    """
+    gap = at - F.lit("1970-01-01").cast("timestamp_ntz")
+
+    def part(name: str) -> Column:
+        return F.extract(F.lit(name), gap)
+
+    minutes = (part("DAY").cast("bigint") * 24 + part("HOUR")) * 60 + part("MINUTE")
+    millis = minutes * 60_000 + F.floor(part("SECOND") * 1000).cast("bigint")
     return F.concat_ws("_", user_id.cast("string"), item_id.cast("string"), millis.cast("string"))
 
 
