@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
 def snapshot_profile(df: DataFrame) -> DataFrame:
@@ -60,21 +60,25 @@ def sample_values(df: DataFrame, columns: int = 4, values: int = 3) -> DataFrame
                 lambda x: x["value"])).alias("samples")))
 
 
-def content_hash(df: DataFrame, columns: list[str] | None = None,
-                 method: str = "xxhash64") -> DataFrame:
-    """Order-independent hash of a table: row count and sum of row hashes.
+def content_sum(names: list[str], method: str = "xxhash64") -> Column:
+    """Aggregate: sum of row hashes as text, the same for any order of rows.
 
     ``xxhash64`` is the fast default.  ``md5`` hashes the row as text, fields
-    joined by ``|`` with null as an empty mark, and adds up its first 60 bits.
+    joined by ``|`` with a mark for null, and adds up its first 60 bits.
     """
-    names = columns or df.columns
     if method == "xxhash64":
-        row = F.xxhash64(*names).cast("decimal(38,0)")
+        row = F.xxhash64(*[F.col(f"`{c}`") for c in names]).cast("decimal(38,0)")
     elif method == "md5":
-        text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("\\N"))
+        text = F.concat_ws("|", *[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("\\N"))
                                   for c in names])
         row = F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("decimal(38,0)")
     else:
         raise ValueError(f"unknown hash method {method}")
+    return F.sum(row).cast("string")
+
+
+def content_hash(df: DataFrame, columns: list[str] | None = None,
+                 method: str = "xxhash64") -> DataFrame:
+    """Row count and content sum of a table."""
     return df.agg(F.count(F.lit(1)).alias("record_count"),
-                  F.sum(row).cast("string").alias("content_hash"))
+                  content_sum(columns or df.columns, method).alias("content_hash"))

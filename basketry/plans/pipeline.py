@@ -7,6 +7,7 @@ starts them.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -51,6 +52,12 @@ def store(spark: SparkSession, p: Params) -> FeatureStore:
     return FeatureStore(spark, f"{p.base}/store")
 
 
+def together(*steps):
+    """Run independent steps at the same time; Spark shares the cluster among their jobs."""
+    with ThreadPoolExecutor(len(steps)) as pool:
+        return [f.result() for f in [pool.submit(step) for step in steps]]
+
+
 def typed_interactions(text: DataFrame) -> DataFrame:
     """Interactions from text columns; both timestamp formats are read."""
     return (text.withColumn("user_id", to_key(null_tokens(F.col("user_id"))))
@@ -64,22 +71,29 @@ def ingest(spark: SparkSession, p: Params) -> DataFrame:
     """Source files to the raw layer; gives the warnings of all three tables."""
     out = lake(spark, p)
     files.require_sources(spark, p.data, [p.products_file])
-    users, refused_users = files.read_users(spark, p.data)
-    rows, refused_rows = files.read_interactions(spark, p.data)
-    tables = {
-        "users": prepare.clean_raw_users(users),
-        "products": files.read_products(spark, f"{p.data}/{p.products_file}",
-                                        p.products_as_lines),
-        "transactions": typed_interactions(rows)}
-    warnings = None
-    for name, df in tables.items():
+
+    def land(name: str, df: DataFrame) -> DataFrame:
         saved = out.save(df, "raw", name, p.run_date)
         out.save_profile(saved, "raw", name, p.run_date)
-        part = quality.ingest_warnings(saved, name)
-        warnings = part if warnings is None else warnings.unionByName(part)
-    (refused_users.unionByName(refused_rows).coalesce(1).write.mode("overwrite")
+        return quality.ingest_warnings(saved, name)
+
+    def users():
+        text, refused = files.read_users(spark, p.data)
+        return land("users", prepare.clean_raw_users(text)), refused
+
+    def products():
+        path = f"{p.data}/{p.products_file}"
+        return land("products", files.read_products(spark, path, p.products_as_lines)), None
+
+    def transactions():
+        text, refused = files.read_interactions(spark, p.data)
+        return land("transactions", typed_interactions(text)), refused
+
+    (users_warn, bad_users), (products_warn, _), (rows_warn, bad_rows) = together(
+        users, products, transactions)
+    (bad_users.unionByName(bad_rows).coalesce(1).write.mode("overwrite")
      .json(f"{p.base}/quarantine/dt={p.run_date}"))
-    return warnings
+    return users_warn.unionByName(products_warn).unionByName(rows_warn)
 
 
 def raw_tables(spark: SparkSession, p: Params) -> list[DataFrame]:
@@ -100,11 +114,11 @@ def validate(spark: SparkSession, p: Params) -> float:
 def prepare_tables(spark: SparkSession, p: Params) -> None:
     out = lake(spark, p)
     users, products, rows = raw_tables(spark, p)
-    clean_users = out.save(prepare.clean_users(users, files.FILE_ORDER, p.encoding, p.scaling),
-                           "prepared", "users", p.run_date)
-    clean_products = out.save(
-        prepare.clean_products(products, ["item_id"], p.encoding, p.scaling),
-        "prepared", "products", p.run_date)
+    clean_users, clean_products = together(
+        lambda: out.save(prepare.clean_users(users, files.FILE_ORDER, p.encoding, p.scaling),
+                         "prepared", "users", p.run_date),
+        lambda: out.save(prepare.clean_products(products, ["item_id"], p.encoding, p.scaling),
+                         "prepared", "products", p.run_date))
     out.save(prepare.clean_interactions(rows, clean_users, clean_products),
              "prepared", "transactions", p.run_date)
 
@@ -113,10 +127,11 @@ def build_features(spark: SparkSession, p: Params) -> None:
     out = lake(spark, p)
     users, products, rows = [out.as_of("prepared", n, p.run_date)
                              for n in ("users", "products", "transactions")]
-    out.save(features.user_features(rows, users, products), "features", "user_features",
-             p.run_date)
-    out.save(features.item_features(rows, products), "features", "item_features", p.run_date)
-    out.save(features.interaction_features(rows), "features", "interaction_features", p.run_date)
+    made = {"user_features": features.user_features(rows, users, products),
+            "item_features": features.item_features(rows, products),
+            "interaction_features": features.interaction_features(rows)}
+    together(*[lambda n=n, df=df: out.save(df, "features", n, p.run_date)
+               for n, df in made.items()])
 
 
 def publish(spark: SparkSession, p: Params) -> None:
@@ -131,10 +146,8 @@ def train(spark: SparkSession, p: Params) -> factor_model.FactorModel:
     """Fit on the training part of all interaction snapshots and save the model."""
     rows = lake(spark, p).all_dates("features", "interaction_features")
     part, _ = factor_model.train_test_split(factor_model.rating_triples(rows), p.test_size, p.seed)
-    model = factor_model.fit_factor_model(part, p.rank, p.iterations, p.reg, p.seed)
-    path = f"{p.base}/models/dt={p.run_date}"
-    model.save(path)
-    return factor_model.FactorModel.load(spark, path)
+    return factor_model.fit_factor_model(part, p.rank, p.iterations, p.reg, p.seed,
+                                         path=f"{p.base}/models/dt={p.run_date}")
 
 
 def infer(spark: SparkSession, p: Params) -> DataFrame:

@@ -7,16 +7,19 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from basketry.operators.profiling import content_hash, snapshot_profile
+from basketry.operators.profiling import content_sum
 
 FORMATS = ("parquet", "csv", "json")
 
 
+def _file_system(spark: SparkSession, path: str):
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), folder
+
+
 def child_folders(spark: SparkSession, path: str) -> list[str]:
     """Names of the folders below a path, from one file-system listing."""
-    jvm = spark.sparkContext._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(path)
-    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, folder = _file_system(spark, path)
     if not fs.exists(folder):
         return []
     return [s.getPath().getName() for s in fs.listStatus(folder) if s.isDirectory()]
@@ -61,20 +64,20 @@ class Lake:
          .option("partitionOverwriteMode", "dynamic").parquet(self.path(layer, source)))
 
     def save_profile(self, df: DataFrame, layer: str, source: str, dt: str) -> DataFrame:
-        """Snapshot metadata beside the data: profile, hash and size, as JSON."""
-        size = self.size(layer, source, dt)
-        hashed = content_hash(df)
-        meta = snapshot_profile(df).agg(
-            F.max("record_count").alias("record_count"),
-            F.transform(F.array_sort(F.collect_list(F.struct("position", "column_name",
-                                                             "data_type", "null_count"))),
-                        lambda c: F.struct(c["column_name"].alias("column_name"),
-                                           c["data_type"].alias("data_type"),
-                                           c["null_count"].alias("null_count"))).alias("columns"))
-        meta = meta.select(
+        """Snapshot metadata beside the data: profile, hash and size, as JSON.
+
+        Counts and hash come from one pass over the snapshot.
+        """
+        columns = F.array(*[
+            F.struct(F.lit(f.name).alias("column_name"),
+                     F.lit(f.dataType.simpleString()).alias("data_type"),
+                     F.count_if(F.col(f"`{f.name}`").isNull()).alias("null_count"))
+            for f in df.schema.fields])
+        meta = df.agg(F.count(F.lit(1)).alias("record_count"), columns.alias("columns"),
+                      content_sum(df.columns).alias("content_hash")).select(
             F.lit(source).alias("source"), F.lit(layer).alias("layer"), F.lit(dt).alias("dt"),
-            F.lit(size).cast("bigint").alias("size_bytes"), "record_count", "columns",
-            hashed.select("content_hash").scalar().alias("content_hash"))
+            F.lit(self.size(layer, source, dt)).cast("bigint").alias("size_bytes"),
+            "record_count", "columns", "content_hash")
         path = f"{self.base.rstrip('/')}/_profiles/{layer}/{source}/dt={dt}"
         meta.write.mode("overwrite").json(path)
         return self.spark.read.schema(meta.schema).json(path)
@@ -115,7 +118,6 @@ class Lake:
                 .withColumn("dt", F.col("dt").cast("string")))
 
     def size(self, layer: str, source: str, dt: str) -> int:
-        """Bytes of one snapshot."""
-        files = (self.spark.read.format("binaryFile").option("recursiveFileLookup", True)
-                 .load(self.path(layer, source, dt)))
-        return files.agg(F.sum("length")).first()[0] or 0
+        """Bytes of one snapshot, from the file system's own summary."""
+        fs, folder = _file_system(self.spark, self.path(layer, source, dt))
+        return fs.getContentSummary(folder).getLength()
