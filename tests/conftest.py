@@ -18,7 +18,7 @@ def make_session():
     spark = build_session("basketry-tests", "local[8]", {
         "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
-        "spark.driver.memory": "8g", "spark.driver.bindAddress": "127.0.0.1"})
+        "spark.driver.memory": "8g"})
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
