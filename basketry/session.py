@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -36,8 +38,8 @@ def build_session(app_name: str = "basketry", master: str | None = None,
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only where the setting is absent, as in tests on one machine, a temporary
-    folder takes its place.
+    Only where the setting is absent and everything runs on one machine, as in
+    tests, a temporary folder takes its place; on a cluster its absence raises.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     current = spark.sparkContext.getCheckpointDir()
@@ -47,6 +49,8 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if current:
         return current.rstrip("/")
+    if not spark.sparkContext.master.split("[")[0] == "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     folder = tempfile.mkdtemp(prefix="basketry-")
     spark.sparkContext.setCheckpointDir(folder)
     return folder
@@ -67,3 +71,19 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors once per session.
+
+    Functions that run in Python workers are pickled by reference, so workers
+    must be able to import the package even where only the driver has it.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_basketry_shipped", False):
+        return
+    package = Path(__file__).resolve().parent
+    archive = shutil.make_archive(f"{tempfile.mkdtemp(prefix='basketry-')}/{package.name}",
+                                  "zip", package.parent, package.name)
+    context.addPyFile(archive)
+    context._basketry_shipped = True

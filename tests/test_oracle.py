@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
+from basketry.plans import oracle, queries
 from tests.compare import compare, duck
 
 try:
@@ -10,7 +11,7 @@ try:
 except ImportError:
     pytest.skip("duckdb is absent", allow_module_level=True)
 
-SQL = entry.oracle_sql()
+SQL = oracle.oracle_sql()
 # No SQL: lists of an iterative model (tested against brute force on a fixture),
 # and a hash function DuckDB lacks (its md5 sibling has SQL).
 WITHOUT_SQL = {"als_topk", "hybrid_topk", "content_hash"}
@@ -22,12 +23,12 @@ def con(sf_dir):
 
 
 def test_names():
-    assert set(SQL) == set(entry.queries()) - WITHOUT_SQL
+    assert set(SQL) == set(queries.queries()) - WITHOUT_SQL
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(queries.queries()))
 def test_query(spark, sf_dir, con, name):
-    problem, rows, _ = compare(spark, con, sf_dir, name, entry.queries()[name], SQL.get(name))
+    problem, rows, _ = compare(spark, con, sf_dir, name, queries.queries()[name], SQL.get(name))
     assert problem is None and rows > 0
 
 
