@@ -1,0 +1,65 @@
+"""Small tables with the awkward cases: nulls, empty and long texts, ties, repeats, odd columns."""
+
+from __future__ import annotations
+
+import random
+import zlib
+
+SCHEMA = ("doc_id bigint, text string, lang string, source string, n_chars bigint, "
+          "body string, digest string, h string, batch int, lines string, n_words string")
+PLAIN = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+
+
+def rows(seed: int = 7, n: int = 120) -> list[tuple[int, str | None]]:
+    """Invented texts with copies, near copies, shared passages and junk."""
+    r = random.Random(seed)
+    words = ["".join(r.choice("abcdeéß") for _ in range(r.randint(1, 8))) for _ in range(60)]
+    passage = " ".join(r.choice(words) for _ in range(30))
+    out: list[tuple[int, str | None]] = []
+    for i in range(n):
+        kind = i % 8
+        lines = [" ".join(r.choice(words) for _ in range(r.randint(0, 14)))
+                 for _ in range(r.randint(1, 9))]
+        text = "\n".join(lines)
+        if kind == 1 and out:
+            text = r.choice(out)[1] or ""
+        elif kind == 2:
+            text = text[: len(text) // 2] + passage + text[len(text) // 2:]
+        elif kind == 3 and out:
+            text = " " + (r.choice(out)[1] or "").replace(" ", "  \t", 3) + "\x0b"
+        elif kind == 4:
+            text = "\n".join([text, "  A common LINE of all  ", text[:30], "A common line of ALL"])
+        elif kind == 5:
+            text = (r.choice(words) + " ") * r.randint(40, 80)
+        out.append((i * 3 + 1, text))
+    out += [(500, None), (501, ""), (502, " \t\n \r\x0c"), (503, "\n\n"), (504, "x"),
+            (505, "y " * 5000 + passage), (506, out[4][1]), (506, out[4][1]), (506, "other text"),
+            (None, "a null id and its own line of text"), (None, out[5][1]), (-9, passage * 3),
+            (507, " nbsp is no space   x " * 3), (508, "#*$%&|<> " * 60)]
+    return out
+
+
+def frame(spark, table=None, wide: bool = True):
+    """The rows as documents; ``wide`` adds columns whose names clash with internal ones."""
+    table = rows() if table is None else table
+    if wide:
+        return spark.createDataFrame(
+            [(i, t, "en", "s", None, "b", "d", "h", 1, "l", "w") for i, t in table], SCHEMA)
+    return spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in table], PLAIN)
+
+
+def collected(df) -> list[tuple]:
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+def by_id(table) -> list[tuple[int, bytes]]:
+    return [(i, (t or "").encode()) for i, t in table]
+
+
+def id_order(doc_id):
+    """Null before all others."""
+    return (doc_id is not None, doc_id or 0)
+
+
+def fold(doc_id) -> int:
+    return zlib.crc32(str(doc_id).encode()) % 7

@@ -1,0 +1,68 @@
+import hashlib
+
+from basketry.llm import linededup
+from tests.llm.cases import by_id, collected, frame, id_order, rows
+
+SPACES = " \t\n\x0b\x0c\r"
+
+
+def key(line: str):
+    k = line.strip(SPACES)
+    k = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in k)
+    return k if len(k) >= 10 else None
+
+
+def brute(table):
+    owner = {}
+    for i, body in by_id(table):
+        for line in body.decode().split("\n"):
+            if (k := key(line)) is not None:
+                owner[k] = min(owner.get(k, i), i, key=id_order)
+    out = []
+    for i, body in by_id(table):
+        lines = body.decode().split("\n")
+        kept = [x for x in lines if key(x) is None or owner[key(x)] == i]
+        out.append((i, len(lines), len(lines) - len(kept), "\n".join(kept)))
+    return out
+
+
+def digests(table):
+    return sorted(((i, n, d, hashlib.sha256(t.encode()).hexdigest())
+                   for i, n, d, t in brute(table)), key=repr)
+
+
+def test_report(spark):
+    table = rows()
+    want = digests(table)
+    assert any(d for _, _, d, _ in want)
+    for batches in (1, 4):
+        assert collected(linededup.line_report(frame(spark), batches=batches)) == want
+
+
+def test_many_batches_compact(spark):
+    assert collected(linededup.line_report(frame(spark), batches=9, fanout=2)) == digests(rows())
+
+
+def test_empty(spark):
+    assert collected(linededup.line_report(frame(spark, []))) == []
+    assert collected(linededup.line_report(frame(spark, [(None, None)]))) == digests([(None, None)])
+
+
+def test_texts(spark):
+    df = linededup.drop_repeated_lines(frame(spark))
+    assert df.columns == frame(spark).columns
+    got = sorted(((r.doc_id, r.text) for r in df.collect()), key=repr)
+    assert got == sorted(((i, t) for i, _, _, t in brute(rows())), key=repr)
+
+
+def test_runs_are_read_in_place(spark):
+    """The anti-join reads a run without a shuffle or a sort of it."""
+    runs = linededup.SortedRuns(spark, 8)
+    keys = spark.range(50).selectExpr("unhex(md5(string(id))) line_hash", "id owner")
+    name = runs.add(keys.repartition(8, "line_hash"))
+    fresh = keys.repartition(8, "line_hash").join(
+        spark.table(name).select("line_hash").hint("merge"), "line_hash", "left_anti")
+    plan = fresh._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and plan.count("Exchange") == 1, plan
+    assert fresh.count() == 0
+    runs.close()

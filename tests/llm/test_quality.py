@@ -1,0 +1,82 @@
+import duckdb
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from basketry.llm import quality
+from tests.llm.cases import collected, frame, rows
+
+SPACES = " \t\n\x0b\x0c\r"
+
+
+def words_of(text):
+    import re
+
+    return re.findall("[^\x20\x09-\x0d]+", text or "")
+
+
+def brute(text):
+    text = text or ""
+    words = words_of(text)
+    windows = [tuple(words[i:i + 3]) for i in range(len(words) - 2)]
+    inside = {i + k for i, w in enumerate(windows) if windows.count(w) > 1 for k in range(3)}
+    seen, again = set(), 0
+    for line in text.split("\n"):
+        if words_of(line):
+            again += line in seen
+            seen.add(line)
+    n = len(words)
+    failed = n < 50 or 100 * len(inside) > 50 * n
+    return (n, sum(map(len, words)), sum(c in "#*$%&|<>" for c in text), again, len(inside), failed)
+
+
+def test_base(spark):
+    table = [(i, t if t is None or len(t) < 4000 else t[-2500:]) for i, t in rows()]
+    got = quality.judge(frame(spark, table)).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed")
+    assert collected(got) == sorted(((i, *brute(t)) for i, t in table), key=repr)
+    assert not quality.judge(frame(spark, table)).where("base_failed and kept").count()
+
+
+def test_empty(spark):
+    assert quality.judge(frame(spark, [])).count() == 0
+    assert quality.keep_good(frame(spark, [(1, None), (None, "")])).count() == 0
+
+
+def test_wide_vocabulary(monkeypatch):
+    words = b"a b c d a b c e f a b c d x".split()
+    want = quality.repeated_words(words)
+    monkeypatch.setattr(quality, "_WIDE_VOCABULARY", 1)
+    assert quality.repeated_words(words) == want == (7, 11)
+
+
+def test_rows_stay_whole(spark):
+    df = frame(spark)
+    kept = quality.keep_good(df)
+    assert kept.columns == df.columns
+    assert kept.exceptAll(df).count() == 0
+
+
+def test_em_finds_accuracies():
+    """Votes drawn from a known model: the fit recovers classes and accuracies."""
+    r = np.random.default_rng(5)
+    truth = r.random(40_000) < 0.8
+    right = np.array([0.95, 0.9, 0.85, 0.8, 0.75])
+    votes = np.where(r.random((40_000, 5)) < right, truth[:, None], ~truth[:, None]) * 2 - 1
+    votes[r.random(votes.shape) < 0.2] = 0
+    patterns, counts = np.unique(votes, axis=0, return_counts=True)
+    model = quality.fit_votes(tuple("abcde"), patterns, counts.astype(float))
+    assert abs(model.good_share - 0.8) < 0.03
+    assert np.allclose(list(model.accuracies().values()), right, atol=0.04)
+
+
+def test_held_out_labels(spark):
+    """Labels take no part in the fit, so all of them are held out."""
+    folder = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    judged = quality.judge(docs).where(~F.col("base_failed")).join(labels, "doc_id")
+    good = judged.where("quality = 1").agg(F.avg(F.col("kept").cast("int"))).first()[0]
+    bad = judged.where("quality = 0").agg(F.avg(F.col("kept").cast("int"))).first()[0]
+    assert good >= 0.99 and bad <= 0.3, (good, bad)
