@@ -6,14 +6,26 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from basketry.llm import linededup, quality
+from basketry.llm import exactdedup, linededup, packing, pieces, quality
 from basketry.llm.common import read_documents
 
 
+def op1_token_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(read_documents(spark, folder))
+
+
 def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return linededup.line_report(read_documents(spark, folder))
 
 
+def op4_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return exactdedup.mark_copies(read_documents(spark, folder))
+
+
+def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return pieces.digests(pieces.power_of_two_pieces(read_documents(spark, folder)))
+
+
 def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judge(read_documents(spark, folder)).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -21,7 +33,7 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op3_line_dedup, op10_quality_rules)
+    found = (op1_token_packing, op3_line_dedup, op4_exact_dedup, op9_packing, op10_quality_rules)
     return {f.__name__: f for f in found}
 
 

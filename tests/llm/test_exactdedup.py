@@ -1,0 +1,58 @@
+import hashlib
+
+import numpy as np
+
+from basketry.llm import exactdedup
+from tests.llm.cases import by_id, collected, frame, id_order, rows
+
+
+def brute(table):
+    out, groups = [], {}
+    for i, body in by_id(table):
+        norm = body.translate(None, b" \t\n\x0b\x0c\r")
+        groups.setdefault(norm, []).append((-len(body.decode()), id_order(i), i))
+    for i, body in by_id(table):
+        norm = body.translate(None, b" \t\n\x0b\x0c\r")
+        best = min(groups[norm], key=lambda g: g[:2])
+        out.append((i, best[2], len(groups[norm]), (-len(body.decode()), id_order(i)) == best[:2],
+                    hashlib.sha256(norm).hexdigest()))
+    return sorted(out, key=repr)
+
+
+def test_rows(spark):
+    got = exactdedup.mark_copies(frame(spark), bucket_keys=4).select(
+        "doc_id", "keep_id", "group_size", "kept", "text_sha256")
+    assert collected(got) == brute(rows())
+
+
+def test_empty(spark):
+    assert collected(exactdedup.mark_copies(frame(spark, []))) == []
+    assert collected(exactdedup.mark_copies(frame(spark, [(None, None)]))) == brute([(None, None)])
+
+
+def test_equal_hashes_are_chained(spark, monkeypatch):
+    """With one hash for all texts the bytes still tell them apart."""
+    monkeypatch.setattr(exactdedup, "text_key", lambda norm: 5)
+    batches = [next(exactdedup._entry_step(exactdedup.Directory(0, np.zeros(1, np.int32)), 1)(
+        iter([_batch([(1, b"a b"), (2, b"c"), (3, b"ab  "), (4, b"c")])])))]
+    out = [r for b in exactdedup._owner_step(batches) for r in b.to_pylist()]
+    assert [(r["slot"], r["group_size"], r["keep_id"]) for r in out] == [(0, 2, 3), (1, 2, 2)]
+
+
+def _batch(table):
+    import pyarrow as pa
+
+    return pa.RecordBatch.from_pydict({"doc_id": [i for i, _ in table],
+                                       "body": [b for _, b in table]})
+
+
+def test_directory_doubles():
+    counts = np.zeros(16, dtype=np.int64)
+    counts[[0, 1, 2, 15]] = 5, 9, 3, 4
+    d = exactdedup.Directory.grown(counts, 4, 8)
+    assert d.depth == 4 and list(np.diff(d.buckets) >= 0) == [True] * 15
+    sizes = np.bincount(d.buckets, weights=counts, minlength=d.n_buckets)
+    assert sizes[d.buckets[1]] == 9 and sorted(sizes)[-2] <= 8  # 9 keys in the finest bucket
+    signed = [(p << 60) - (1 << 63) for p in range(16)]
+    assert [d.bucket(k) for k in signed] == list(d.buckets)
+    assert exactdedup.Directory.grown(counts, 4, 100).n_buckets == 1
