@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from basketry.llm import exactdedup, linededup, packing, pieces, quality
+from basketry.llm import (exactdedup, linededup, packing, pieces, quality, simhash,
+                          urlfilter)
 from basketry.llm.common import read_documents
 
 
@@ -14,6 +15,10 @@ def op1_token_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(read_documents(spark, folder))
 
 
+def op2_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    return urlfilter.judge(spark.read.parquet(f"{folder}/pages.parquet"))
+
+
 def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return linededup.line_report(read_documents(spark, folder))
 
@@ -22,6 +27,10 @@ def op4_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exactdedup.mark_copies(read_documents(spark, folder))
 
 
+def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_duplicates(read_documents(spark, folder))
+
+
 def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.digests(pieces.power_of_two_pieces(read_documents(spark, folder)))
 
@@ -33,7 +42,8 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_token_packing, op3_line_dedup, op4_exact_dedup, op9_packing, op10_quality_rules)
+    found = (op1_token_packing, op2_url_filter, op3_line_dedup, op4_exact_dedup, op5_simhash,
+             op9_packing, op10_quality_rules)
     return {f.__name__: f for f in found}
 
 
