@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from basketry.llm import (exactdedup, linededup, packing, pieces, quality, simhash,
+from basketry.llm import (exactdedup, linededup, lm, packing, pieces, quality, simhash,
                           urlfilter)
 from basketry.llm.common import read_documents
 
@@ -31,6 +31,10 @@ def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(read_documents(spark, folder))
 
 
+def op8_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    return lm.score(read_documents(spark, folder))
+
+
 def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.digests(pieces.power_of_two_pieces(read_documents(spark, folder)))
 
@@ -43,7 +47,7 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (op1_token_packing, op2_url_filter, op3_line_dedup, op4_exact_dedup, op5_simhash,
-             op9_packing, op10_quality_rules)
+             op8_lm_scoring, op9_packing, op10_quality_rules)
     return {f.__name__: f for f in found}
 
 
