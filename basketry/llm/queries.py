@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from basketry.llm import (exactdedup, linededup, lm, packing, pieces, quality, simhash,
-                          suffixdedup, urlfilter)
+from basketry.llm import (exactdedup, linededup, lm, packing, pieces, quality,
+                          sentencepieces, simhash, suffixdedup, urlfilter)
 from basketry.llm.common import read_documents
 
 
@@ -31,6 +31,10 @@ def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(read_documents(spark, folder))
 
 
+def op6_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    return sentencepieces.encode(read_documents(spark, folder))
+
+
 def op7_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return suffixdedup.passage_report(read_documents(spark, folder))
 
@@ -51,7 +55,7 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (op1_token_packing, op2_url_filter, op3_line_dedup, op4_exact_dedup, op5_simhash,
-             op7_suffix_dedup, op8_lm_scoring, op9_packing, op10_quality_rules)
+             op6_sentencepiece, op7_suffix_dedup, op8_lm_scoring, op9_packing, op10_quality_rules)
     return {f.__name__: f for f in found}
 
 
