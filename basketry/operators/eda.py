@@ -109,17 +109,15 @@ def rating_counts(interactions: DataFrame) -> DataFrame:
     return interactions.groupBy("rating").agg(F.count(F.lit(1)).alias("row_count"))
 
 
-def user_item_matrix(interactions: DataFrame, value: Column, items: list[int] | None = None,
-                     max_items: int = 5_000) -> DataFrame:
-    """Wide matrix: one row per user, one column per item, zero where empty.
+def user_item_rows(interactions: DataFrame, value: Column) -> DataFrame:
+    """Sparse matrix: one row per user with a map from item to value, for any catalogue."""
+    cells = interactions.groupBy("user_id", "item_id").agg(F.sum(value).alias("value"))
+    return cells.groupBy("user_id").agg(
+        F.map_from_entries(F.array_sort(F.collect_list(F.struct("item_id", "value"))))
+        .alias("items"))
 
-    Columns have to be known when the plan is made; a catalogue above
-    ``max_items`` is refused (the triples are its scalable form).
-    """
-    if items is None:
-        head = interactions.select("item_id").distinct().limit(max_items + 1).collect()
-        if len(head) > max_items:
-            raise ValueError(f"more than {max_items} items for a wide matrix")
-        items = sorted(r["item_id"] for r in head)
+
+def user_item_matrix(interactions: DataFrame, value: Column, items: list[int]) -> DataFrame:
+    """Wide matrix: one row per user, one column per listed item, zero where empty."""
     return (interactions.groupBy("user_id").pivot("item_id", items).agg(F.sum(value))
             .fillna(0, [str(i) for i in items]))

@@ -4,20 +4,15 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from basketry.functions.cleaning import clean_text, null_tokens, to_key, to_number
 from basketry.functions.positions import global_position
 from basketry.functions.quantiles import exact_percentiles
 from basketry.functions.scores import implicit_score
-from basketry.functions.small import attach
 from basketry.schemas import DEFAULT_DEVICE, DEFAULT_GENDER, NULL_LABEL, PRICE_TIERS
 from basketry.session import materialise
 
-# Up to this many labels an encoding is a literal in the plan; above it a join.
-LITERAL_LABELS = 256
-
-
 # Rows ----------------------------------------------------------------------
 
 def clean_raw_users(df: DataFrame) -> DataFrame:
@@ -79,9 +74,9 @@ def fill_mean(df: DataFrame, column: str) -> DataFrame:
 
 def fill_group_median(df: DataFrame, column: str, by: str) -> DataFrame:
     """Median of the row's group; a null group or an all-null group stays null."""
-    medians = (exact_percentiles(df.where(F.col(by).isNotNull()), column, [0.5], [by])
-               .select(by, F.col("q")[0].alias("_median")))
-    return (attach(df, medians, by)
+    medians = materialise(exact_percentiles(df.where(F.col(by).isNotNull()), column, [0.5], [by])
+                          .select(by, F.col("q")[0].alias("_median")), "medians")
+    return (df.join(medians, by, "left")
             .withColumn(column, F.coalesce(F.col(column), F.col("_median")))
             .select(*df.columns))
 
@@ -95,39 +90,23 @@ def as_label(column: Column) -> Column:
 
 @dataclass(frozen=True)
 class LabelCodes:
-    """Sorted distinct labels of a column and their codes 0..n-1.
-
-    A short list is kept as a literal; a long one as a table (label, code).
-    """
+    """Sorted distinct labels of a column and their codes 0..n-1, as a written table."""
 
     column: str
-    literal: tuple[str, ...] | None
-    table: DataFrame | None
+    dictionary: DataFrame  # label, code
 
     def encode(self, df: DataFrame, output: str | None = None) -> DataFrame:
         """Add the code column; a label not seen at fit time gives null."""
         output = output or f"{self.column}_encoded"
-        label = as_label(F.col(self.column))
-        if self.literal is None:
-            codes = self.table.select(F.col("label").alias("_label"),
-                                      F.col("code").cast("int").alias(output))
-            return df.join(codes, label == F.col("_label"), "left").drop("_label")
-        if not self.literal:
-            return df.withColumn(output, F.lit(None).cast("int"))
-        at = F.array_position(F.array(*[F.lit(x) for x in self.literal]), label)
-        return df.withColumn(output, F.nullif(at, F.lit(0)).cast("int") - 1)
-
-    def dictionary(self, spark: SparkSession) -> DataFrame:
-        """(label, code), to be saved with the prepared data."""
-        if self.literal is None:
-            return self.table
-        return spark.createDataFrame(list(zip(self.literal, range(len(self.literal)))),
-                                     "label string, code int")
+        codes = self.dictionary.select(F.col("label").alias("_label"),
+                                       F.col("code").cast("int").alias(output))
+        return (df.join(codes, as_label(F.col(self.column)) == F.col("_label"), "left")
+                .drop("_label"))
 
 
 def fit_labels(df: DataFrame, columns: list[str],
                filled_with: dict[str, str] | None = None) -> dict[str, LabelCodes]:
-    """Fit the encodings of several columns in one pass.
+    """Fit the encodings of several columns in one pass and one sort.
 
     ``filled_with`` fits mode-filled columns on the rows before the fill: nulls
     take the mode, which is among the labels, or the given default when there
@@ -138,20 +117,23 @@ def fit_labels(df: DataFrame, columns: list[str],
         F.struct(F.lit(c).alias("column"), (F.col(c).cast("string") if c in defaults
                                             else as_label(F.col(c))).alias("label"))
         for c in columns]))).where(F.col("label").isNotNull()).distinct()
-    head = pairs.limit(LITERAL_LABELS + 1).collect()
-    if len(head) <= LITERAL_LABELS:
-        # Code point order is the byte order of UTF-8, which Spark sorts by.
-        found = {c: tuple(sorted(r["label"] for r in head if r["column"] == c)) for c in columns}
-        return {c: LabelCodes(c, found[c] or ((defaults[c],) if c in defaults else ()), None)
-                for c in columns}
-    fitted = {}
-    for c in columns:
-        labels = pairs.where(F.col("column") == c).select("label")
-        if c in defaults and labels.isEmpty():
-            fitted[c] = LabelCodes(c, (defaults[c],), None)
-        else:
-            fitted[c] = LabelCodes(c, None, global_position(labels, [F.asc("label")], "code"))
-    return fitted
+    if defaults:
+        pairs = materialise(pairs, "labels")
+        spare = df.sparkSession.createDataFrame(list(defaults.items()), pairs.schema)
+        pairs = pairs.unionByName(spare.join(pairs, "column", "left_anti"))
+    ranked = global_position(pairs, [F.asc("column"), F.asc("label")], "at")
+    first = ranked.groupBy("column").agg(F.min("at").alias("first"))  # a row per column
+    codes = materialise(ranked.join(F.broadcast(first), "column").select(
+        "column", "label", (F.col("at") - F.col("first")).cast("int").alias("code")), "codes")
+    return {c: LabelCodes(c, codes.where(F.col("column") == c).select("label", "code"))
+            for c in columns}
+
+
+def label_dictionary(encoded: DataFrame, columns: list[str]) -> DataFrame:
+    """(column, label, code) as used in an encoded table, to be kept beside it."""
+    return encoded.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column"), as_label(F.col(c)).alias("label"),
+                 F.col(f"{c}_encoded").alias("code")) for c in columns]))).distinct()
 
 
 def encode_labels(df: DataFrame, columns: list[str], fit_on: DataFrame | None = None,
@@ -163,21 +145,23 @@ def encode_labels(df: DataFrame, columns: list[str], fit_on: DataFrame | None =
     return df
 
 
-def one_hot(df: DataFrame, columns: list[str], keep: list[str], max_width: int = 2_000) -> DataFrame:
-    """``keep`` plus one 0/1 double per distinct value, named ``<column>_<value>``.
+def one_hot(df: DataFrame, values: dict[str, list[str]], keep: list[str]) -> DataFrame:
+    """``keep`` plus one 0/1 double per listed value, named ``<column>_<value>``.
 
-    The output columns have to be known when the plan is made; a column with
-    more values than ``max_width`` is refused, not cut.
+    A wide table needs its columns when the plan is made, so the values are given.
+    ``one_hot_sparse`` takes columns of any number of values.
     """
-    flags = []
-    for column in columns:
-        values = sorted(r[0] for r in df.select(column).where(F.col(column).isNotNull())
-                        .distinct().limit(max_width + 1).collect())
-        if len(values) > max_width:
-            raise ValueError(f"{column}: more than {max_width} distinct values to one-hot")
-        flags += [F.coalesce((F.col(column) == v).cast("double"), F.lit(0.0))
-                  .alias(f"{column}_{v}") for v in values]
-    return df.select(*keep, *flags)
+    return df.select(*keep, *[
+        F.coalesce((F.col(column) == v).cast("double"), F.lit(0.0)).alias(f"{column}_{v}")
+        for column, listed in values.items() for v in listed])
+
+
+def one_hot_sparse(df: DataFrame, columns: list[str], output: str = "one_hot") -> DataFrame:
+    """Add the entries of the one-hot vector that are not zero: ``<column>_<value>`` -> 1.0."""
+    entries = [F.struct(F.concat(F.lit(f"{c}_"), F.col(c).cast("string")).alias("k"),
+                        F.lit(1.0).alias("v")) for c in columns]
+    held = F.filter(F.array(*entries), lambda e: e["k"].isNotNull())
+    return df.withColumn(output, F.map_from_entries(held))
 
 
 # Scaling and binning -------------------------------------------------------
@@ -227,11 +211,11 @@ SCALERS = {"minmax": min_max_scale, "standard": standard_scale}
 def encode_columns(df: DataFrame, columns: list[str], method: str,
                    fit_on: DataFrame | None = None,
                    filled_with: dict[str, str] | None = None) -> DataFrame:
-    """Label codes, or one 0/1 column per value beside the given columns."""
+    """Label codes, or a sparse one-hot vector beside the given columns."""
     if method == "label":
         return encode_labels(df, columns, fit_on, filled_with)
     if method == "one_hot":
-        return one_hot(df, columns, df.columns)
+        return one_hot_sparse(df, columns)
     raise ValueError(f"unknown encoding {method}")
 
 
@@ -265,6 +249,7 @@ def clean_interactions(raw: DataFrame, users: DataFrame, products: DataFrame) ->
     ``raw`` carries a parsed ``timestamp``.
     """
     known = keep_known(keep_known(raw, users, "user_id"), products, "item_id")
-    valid = known.where(F.col("timestamp").isNotNull())
+    # Fitting the labels and encoding both read the kept rows: they are written once.
+    valid = materialise(known.where(F.col("timestamp").isNotNull()), "known-interactions")
     return (encode_labels(valid, ["view_mode"])
             .withColumn("implicit_score", implicit_score(F.col("view_mode"))))

@@ -62,8 +62,12 @@ _CTE = {
                p_size % 5 <> 0, 'products_2'
         FROM part WHERE p_partkey % 250 = 0"""),
     "products_first": ("products_raw", """
-        SELECT item_id, price, brand, category, rating, in_stock FROM products_raw
-        WHERE source_file = 'products_1'"""),
+        SELECT item_id, price, brand, category, rating, in_stock FROM (
+            SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY source_file) AS rn
+            FROM products_raw) t WHERE rn = 1"""),
+    "order_triples": ("facts", """
+        SELECT user_id, item_id, CAST(max(rating) AS DOUBLE) AS score FROM facts
+        GROUP BY user_id, item_id"""),
     "products_filled": ("products_first", """
         SELECT p.item_id, coalesce(p.price, m.median_price) AS price, p.brand, p.category,
                coalesce(p.rating, (SELECT avg(rating) FROM products_first)) AS rating, p.in_stock
@@ -310,10 +314,10 @@ def _profile(source: str, columns: dict[str, str]) -> str:
         for i, (c, t) in enumerate(columns.items()))
 
 
-_DRIFT_OLD = _profile("(SELECT * FROM products_first WHERE item_id % 2 = 0) o", {
+_DRIFT_OLD = _profile("(SELECT * FROM products_raw WHERE source_file = 'products_1') o", {
     "item_id": "bigint", "price": "double", "brand": "string", "category": "string",
     "rating": "double", "in_stock": "boolean"})
-_DRIFT_NEW = _profile("(SELECT *, price * 0.1 AS discount FROM products_first) n", {
+_DRIFT_NEW = _profile("(SELECT *, price * 0.1 AS discount FROM products_raw) n", {
     "item_id": "bigint", "price": "double", "brand": "string", "category": "string",
     "rating": "string", "discount": "double"})
 
@@ -329,6 +333,27 @@ def _one_hot() -> str:
             f"{', '.join(flags)} FROM products_first")
 
 
+def _list_facts(users: str, items: str) -> str:
+    """Users with the number of items they know, and all items: what the lists must come to."""
+    return (f", u AS {users}, size AS (SELECT count(*) AS items FROM {items} i), "
+            "unseen AS (SELECT least(10, items - n) AS k FROM u, size) "
+            "SELECT 'users' AS fact, count(*) AS value FROM unseen WHERE k > 0 UNION ALL "
+            "SELECT 'list_rows', CAST(sum(k) AS BIGINT) FROM unseen UNION ALL "
+            "SELECT * FROM (VALUES ('bad_ranks', 0), ('rising_scores', 0), ('outside_scale', 0), "
+            "('known_pairs', 0)) v(fact, value)")
+
+
+def _metrics(dataset: str, source: str, columns: list[str], valid: str, key: str) -> str:
+    filled = " + ".join(f"count({c})" for c in columns)
+    return (f"SELECT '{dataset}' AS dataset, 'completeness' AS metric, round(v, 6) AS value, "
+            f"CAST(0.98 AS DOUBLE) AS target, v >= 0.98 AS passed FROM (SELECT ({filled}) "
+            f"/ ({len(columns)}.0 * count(*)) AS v FROM {source}) a UNION ALL "
+            f"SELECT '{dataset}', 'schema_validity', round(v, 6), 1.0, v >= 1 FROM "
+            f"(SELECT avg(CASE WHEN {valid} THEN 1.0 ELSE 0.0 END) AS v FROM {source}) b UNION ALL "
+            f"SELECT '{dataset}', 'duplicate_rate', round(v, 6), 0.01, v < 0.01 FROM "
+            f"(SELECT 1.0 - count(DISTINCT {key}) / count(*) AS v FROM {source}) c")
+
+
 def _correlations() -> str:
     columns = ["rating", "implicit_score", "view_mode_encoded", "days_since",
                "user_item_affinity"]
@@ -398,6 +423,11 @@ def oracle_sql() -> dict[str, str]:
         "products_clean": _with(f"SELECT item_id, {clean_product} FROM products_clean",
                                 "products_clean"),
         "products_one_hot": _with(_one_hot(), "products_first"),
+        "products_one_hot_sparse": _with(
+            "SELECT item_id, 'brand_' || brand AS entry, CAST(1 AS DOUBLE) AS value "
+            "FROM products_first WHERE brand IS NOT NULL UNION ALL SELECT item_id, "
+            "'category_' || category, 1 FROM products_first WHERE category IS NOT NULL",
+            "products_first"),
         "products_standard_scaled": _with(
             f"SELECT item_id, {_r('(price - avg(price) OVER ()) / stddev_pop(price) OVER ()', 'price_scaled')}, "
             f"{_r('(rating - avg(rating) OVER ()) / stddev_pop(rating) OVER ()', 'rating_scaled')} "
@@ -429,17 +459,18 @@ def oracle_sql() -> dict[str, str]:
             "WHERE view_mode NOT IN ('view', 'add_to_cart', 'purchase') GROUP BY view_mode",
             "inter_raw"),
         "quality_metrics": _with(
-            "SELECT 'completeness' AS metric, round(v, 6) AS value, CAST(0.98 AS DOUBLE) AS target, v >= 0.98 AS passed "
-            "FROM (SELECT (count(user_id) + count(age) + count(gender) + count(device)) "
-            "/ (4.0 * count(*)) AS v FROM users_raw) a UNION ALL "
-            "SELECT 'schema_validity', round(v, 6), 1.0, v >= 1 FROM "
-            "(SELECT avg(CASE WHEN age BETWEEN 18 AND 65 THEN 1.0 ELSE 0.0 END) AS v "
-            "FROM users_raw) b UNION ALL "
-            "SELECT 'duplicate_rate', round(v, 6), 0.01, v < 0.01 FROM "
-            "(SELECT 1.0 - count(DISTINCT user_id) / count(*) AS v FROM users_raw) c",
-            "users_raw"),
+            " UNION ALL ".join([
+                _metrics("users", "users_raw", ["user_id", "age", "gender", "device"],
+                         "age BETWEEN 18 AND 65", "user_id"),
+                _metrics("products", "products_raw",
+                         ["item_id", "price", "brand", "category", "rating", "in_stock"],
+                         "price > 0", "item_id"),
+                _metrics("transactions", "inter_raw",
+                         ["user_id", "item_id", "view_mode", "rating", "ts"],
+                         "view_mode IN ('view', 'add_to_cart', 'purchase')", "event_id")]),
+            "users_raw", "products_raw", "inter_raw"),
         "feature_freshness": _with(
-            "SELECT d AS age_days, d < 30 AS passed FROM (SELECT "
+            "SELECT d AS age_days, d < 1 AS passed FROM (SELECT "
             "date_diff('day', CAST(max(ts) AS DATE), DATE '2001-12-01') AS d FROM facts) t",
             "facts"),
         "snapshot_profile": _with(_profile("users_raw", {
@@ -454,11 +485,12 @@ def oracle_sql() -> dict[str, str]:
             "CASE WHEN o.data_type IS NULL THEN 'added' WHEN n.data_type IS NULL THEN 'removed' "
             "WHEN o.data_type <> n.data_type THEN 'retyped' ELSE 'kept' END AS change, "
             f"{_r('n.null_count / n.record_count - o.null_count / o.record_count', 'null_share_change')} "
-            "FROM old o FULL JOIN new n ON o.column_name = n.column_name", "products_first"),
+            "FROM old o FULL JOIN new n ON o.column_name = n.column_name", "products_raw"),
         "content_md5": _with(
             "SELECT count(*) AS record_count, CAST(sum(CAST(CAST('0x' || substr(md5("
-            "CAST(user_id AS VARCHAR) || '|' || coalesce(gender, '\\N') || '|' || "
-            "coalesce(device, '\\N') || '|' || source_file), 1, 15) AS BIGINT) AS HUGEINT)) "
+            "CAST(user_id AS VARCHAR) || '|' || coalesce(CAST(age AS VARCHAR), '\\N') || '|' || "
+            "coalesce(gender, '\\N') || '|' || coalesce(device, '\\N') || '|' || source_file "
+            "|| '|' || CAST(row_seq AS VARCHAR)), 1, 15) AS BIGINT) AS HUGEINT)) "
             "AS VARCHAR) AS content_hash FROM users_raw", "users_raw"),
         "latest_partition": f"SELECT {_EVENT} FROM events "
                             "WHERE CAST(ts AS DATE) = (SELECT max(CAST(ts AS DATE)) FROM events)",
@@ -502,8 +534,8 @@ def oracle_sql() -> dict[str, str]:
             "CASE WHEN o.c IS NOT NULL THEN '2024-01-01 00:00:00' ELSE '2024-02-01 00:00:00' END "
             "AS created_at, CASE WHEN n.c IS NOT NULL THEN '2024-02-01 00:00:00' "
             "ELSE '2024-01-01 00:00:00' END AS updated_at "
-            "FROM (SELECT item_id, count(*) AS c FROM facts WHERE ts < '1995-03-01' GROUP BY 1) o "
-            "FULL JOIN (SELECT item_id, count(*) AS c FROM facts WHERE ts >= '2001-06-01' GROUP BY 1) n "
+            "FROM (SELECT item_id, count(*) AS c FROM facts WHERE ts < '1998-06-01' GROUP BY 1) o "
+            "FULL JOIN (SELECT item_id, count(*) AS c FROM facts WHERE ts >= '1998-06-01' GROUP BY 1) n "
             "USING (item_id)", "facts"),
         "feature_registry": _with(_registry(), "facts"),
         "rating_triples": _with(f"SELECT user_id, item_id, {_r('score', 'score')} FROM triples",
@@ -527,18 +559,25 @@ def oracle_sql() -> dict[str, str]:
             "FROM split s LEFT JOIN bias_i USING (item_id) LEFT JOIN bias_u USING (user_id), biases "
             "WHERE part = 'test'", "bias_u"),
         "baseline_topk": _with(
-            ", m AS (SELECT avg(score) AS mu FROM triples), "
-            "bi AS (SELECT item_id, sum(score - mu) / (count(*) + 10) AS b FROM triples, m GROUP BY 1), "
+            ", m AS (SELECT avg(score) AS mu FROM order_triples), "
+            "bi AS (SELECT item_id, sum(score - mu) / (count(*) + 10) AS b FROM order_triples, m GROUP BY 1), "
             "bu AS (SELECT user_id, sum(score - mu - b) / (count(*) + 15) AS b "
-            "FROM triples JOIN bi USING (item_id), m GROUP BY 1), "
+            "FROM order_triples JOIN bi USING (item_id), m GROUP BY 1), "
             "u AS (SELECT user_id, round((mu + b) * 1048576) / 1048576 AS x FROM bu, m), "
             "i AS (SELECT item_id, round(b * 1048576) / 1048576 AS y FROM bi) "
             "SELECT user_id, item_id, round(s, 6) AS predicted_score, rnk AS rank FROM ("
             "SELECT user_id, item_id, s, row_number() OVER (PARTITION BY user_id "
             "ORDER BY s DESC, item_id) AS rnk FROM ("
             "SELECT u.user_id, i.item_id, least(5.0, greatest(1.0, x + y)) AS s FROM u CROSS JOIN i "
-            "WHERE NOT EXISTS (SELECT 1 FROM triples t WHERE t.user_id = u.user_id "
-            "AND t.item_id = i.item_id)) a) b WHERE rnk <= 10", "triples"),
+            "WHERE NOT EXISTS (SELECT 1 FROM order_triples t WHERE t.user_id = u.user_id "
+            "AND t.item_id = i.item_id)) a) b WHERE rnk <= 10", "order_triples"),
+        "als_topk": _with(_list_facts(
+            "(SELECT user_id, count(*) AS n FROM pairs GROUP BY user_id)",
+            "(SELECT DISTINCT item_id FROM pairs)"), "pairs"),
+        "hybrid_topk": _with(_list_facts(
+            "(SELECT c.user_id, count(p.item_id) AS n FROM (SELECT DISTINCT user_id FROM users_raw) c "
+            "LEFT JOIN pairs p USING (user_id) GROUP BY c.user_id)",
+            "products_first"), "pairs", "users_raw", "products_first"),
         "content_similar": _with(
             ", p AS (SELECT item_id, coalesce(brand, 'None') AS brand, "
             "coalesce(category, 'None') AS category FROM products_first) "
@@ -590,6 +629,9 @@ def oracle_sql() -> dict[str, str]:
                 f"CAST(coalesce(sum(implicit_score) FILTER (WHERE item_id = {i}), 0) AS BIGINT) "
                 f"AS \"{i}\"" for i in range(100))
             + " FROM inter_clean GROUP BY user_id", "inter_clean"),
+        "user_item_rows": _with(
+            "SELECT user_id, item_id, CAST(sum(implicit_score) AS BIGINT) AS value "
+            "FROM inter_clean GROUP BY user_id, item_id", "inter_clean"),
         "completeness": _with(
             "SELECT 'users' AS dataset, count(*) AS record_count, 4 AS attributes, "
             "CAST(floor(round((count(user_id) + count(age) + count(gender) + count(device)) "
@@ -635,8 +677,17 @@ def oracle_sql() -> dict[str, str]:
             "CAST(coalesce(sum(copies) FILTER (WHERE view_mode = 'view'), 0) AS BIGINT) AS view_count "
             "FROM wire_valid GROUP BY item_id) "
             f"SELECT item_id, {stats}, {rate} FROM s", "wire_valid"),
-        "stream_new_files": "SELECT event_type, count(*) AS events, 2 AS run FROM events "
-                            "GROUP BY event_type",
+        "stream_new_files": "SELECT event_type, count(*) AS events, 1 AS run FROM events "
+                            "WHERE event_id % 2 = 0 GROUP BY event_type UNION ALL "
+                            "SELECT event_type, count(*), 2 FROM events GROUP BY event_type",
+        "stream_user_counts": _with(
+            ", s AS (SELECT user_id, CAST(sum(copies) AS BIGINT) AS user_activity_count, "
+            "sum(copies * rating) / sum(CASE WHEN rating IS NOT NULL THEN copies END) AS avg_rating_given, "
+            "CAST(coalesce(sum(copies) FILTER (WHERE view_mode = 'purchase'), 0) AS BIGINT) AS purchase_count "
+            "FROM wire_valid GROUP BY user_id) "
+            f"SELECT user_id, user_activity_count, {_r('avg_rating_given', 'avg_rating_given')}, "
+            f"purchase_count, {_r('purchase_count / user_activity_count', 'purchase_ratio')} FROM s",
+            "wire_valid"),
         "stream_staged_union": _with(
             "SELECT view_mode, CAST(sum(copies) AS BIGINT) AS row_count, CAST(sum(copies * rating) AS BIGINT) AS rating_sum FROM ("
             "SELECT view_mode, rating, 1 AS copies FROM inter_raw UNION ALL "

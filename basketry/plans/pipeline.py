@@ -93,7 +93,10 @@ def ingest(spark: SparkSession, p: Params) -> DataFrame:
         users, products, transactions)
     (bad_users.unionByName(bad_rows).coalesce(1).write.mode("overwrite")
      .json(f"{p.base}/quarantine/dt={p.run_date}"))
-    return users_warn.unionByName(products_warn).unionByName(rows_warn)
+    warnings = users_warn.unionByName(products_warn).unionByName(rows_warn)
+    path = f"{p.base}/warnings/dt={p.run_date}"
+    warnings.coalesce(1).write.mode("overwrite").json(path)
+    return spark.read.schema(warnings.schema).json(path)
 
 
 def raw_tables(spark: SparkSession, p: Params) -> list[DataFrame]:
@@ -117,10 +120,16 @@ def prepare_tables(spark: SparkSession, p: Params) -> None:
     clean_users, clean_products = together(
         lambda: out.save(prepare.clean_users(users, files.FILE_ORDER, p.encoding, p.scaling),
                          "prepared", "users", p.run_date),
-        lambda: out.save(prepare.clean_products(products, ["item_id"], p.encoding, p.scaling),
+        lambda: out.save(prepare.clean_products(products, files.FILE_ORDER, p.encoding,
+                                                p.scaling),
                          "prepared", "products", p.run_date))
-    out.save(prepare.clean_interactions(rows, clean_users, clean_products),
-             "prepared", "transactions", p.run_date)
+    clean_rows = out.save(prepare.clean_interactions(rows, clean_users, clean_products),
+                          "prepared", "transactions", p.run_date)
+    for name, df in (("users", clean_users), ("products", clean_products),
+                     ("transactions", clean_rows)):
+        encoded = [c for c in df.columns if f"{c}_encoded" in df.columns]
+        if encoded:
+            out.save(prepare.label_dictionary(df, encoded), "encoders", name, p.run_date)
 
 
 def build_features(spark: SparkSession, p: Params) -> None:
@@ -143,8 +152,8 @@ def publish(spark: SparkSession, p: Params) -> None:
 
 
 def train(spark: SparkSession, p: Params) -> factor_model.FactorModel:
-    """Fit on the training part of all interaction snapshots and save the model."""
-    rows = lake(spark, p).all_dates("features", "interaction_features")
+    """Fit on the training part of the snapshots up to the run date and save the model."""
+    rows = lake(spark, p).all_dates("features", "interaction_features", p.run_date)
     part, _ = factor_model.train_test_split(factor_model.rating_triples(rows), p.test_size, p.seed)
     return factor_model.fit_factor_model(part, p.rank, p.iterations, p.reg, p.seed,
                                          path=f"{p.base}/models/dt={p.run_date}")
@@ -162,7 +171,7 @@ def infer(spark: SparkSession, p: Params) -> DataFrame:
 def evaluate(spark: SparkSession, p: Params) -> DataFrame:
     """Ranking metrics of the model on the held-out pairs."""
     model = factor_model.FactorModel.load(spark, f"{p.base}/models/dt={p.run_date}")
-    rows = lake(spark, p).all_dates("features", "interaction_features")
+    rows = lake(spark, p).all_dates("features", "interaction_features", p.run_date)
     known, held_out = factor_model.train_test_split(factor_model.rating_triples(rows),
                                                     p.test_size, p.seed)
     lists = factor_model.recommend(model, known, max(p.k_values))

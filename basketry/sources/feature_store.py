@@ -6,13 +6,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from basketry.functions.small import attach
 from basketry.operators.upsert import upsert
 from basketry.schemas import FEATURE_REGISTRY
-from basketry.sources.lake import child_folders
-
-# Up to this many ids become a pushed-down IN list.
-LITERAL_IDS = 1_000
+from basketry.sources.lake import child_folders, is_finished
 
 # The definitions the registry starts with
 # (name, type, description, data type, source, logic).
@@ -37,16 +33,16 @@ def feature_definitions(spark: SparkSession) -> DataFrame:
 
 
 def select_by_ids(table: DataFrame, key: str, ids=None) -> DataFrame:
-    """Rows of the given ids (list or single-column DataFrame); all without ids."""
+    """Rows of the given ids; all without ids.
+
+    A list becomes a filter that reaches the scan, a single-column DataFrame a semi-join.
+    """
     if ids is None:
         return table
-    if isinstance(ids, DataFrame):
-        wanted = ids.select(F.col(ids.columns[0]).alias(key)).distinct()
-        return attach(table, wanted, key, "left_semi")
-    if len(ids) <= LITERAL_IDS:
+    if not isinstance(ids, DataFrame):
         return table.where(F.col(key).isin(list(ids)))
-    rows = table.sparkSession.createDataFrame([(i,) for i in ids], f"{key} bigint")
-    return attach(table, rows.distinct(), key, "left_semi")
+    wanted = ids.select(F.col(ids.columns[0]).alias(key)).distinct()
+    return table.join(wanted, key, "left_semi")
 
 
 @dataclass(frozen=True)
@@ -59,12 +55,18 @@ class FeatureStore:
     def _root(self, name: str) -> str:
         return f"{self.base.rstrip('/')}/{name}"
 
-    def versions(self, name: str) -> list[int]:
+    def _started(self, name: str) -> list[int]:
         folders = child_folders(self.spark, self._root(name))
         return sorted(int(f[8:]) for f in folders if f.startswith("version="))
 
+    def versions(self, name: str) -> list[int]:
+        """Versions whose publication came to its end."""
+        return [v for v in self._started(name)
+                if is_finished(self.spark, f"{self._root(name)}/version={v}")]
+
     def _write(self, name: str, df: DataFrame) -> DataFrame:
-        version = (self.versions(name) or [0])[-1] + 1
+        """The next version; of two publishers at once the second fails on the folder."""
+        version = (self._started(name) or [0])[-1] + 1
         path = f"{self._root(name)}/version={version}"
         df.write.mode("errorifexists").parquet(path)
         return self.spark.read.parquet(path)

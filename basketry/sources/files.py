@@ -21,10 +21,20 @@ def list_sources(spark: SparkSession, folder: str, glob: str) -> DataFrame:
     try:
         return (spark.read.format("binaryFile").option("pathGlobFilter", glob).load(folder)
                 .select("path", "length"))
-    except AnalysisException:
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], SOURCES)
 
 
+def empty_sources(spark: SparkSession, folder: str, glob: str) -> list[str]:
+    """Matching files without content, which Spark's readers do not list."""
+    pattern = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder}/{glob}")
+    fs = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [s.getPath().toString() for s in fs.globStatus(pattern) or []
+            if s.isFile() and s.getLen() == 0]
+
+
 def missing_sources(spark: SparkSession, folder: str, names: list[str]) -> DataFrame:
     """Expected file names that are absent or empty."""
     expected = spark.createDataFrame([(n,) for n in names], "name string")
@@ -64,13 +74,13 @@ def read_csv_sources(spark: SparkSession, folder: str, glob: str,
 
     All columns are text; ``source_file``, ``block_start`` and ``row_seq`` give
     the order of rows.  Files with the same header share one scan, layouts are
-    united by column name, and a file without the required columns goes to the
-    quarantine (path, missing_columns) instead of the rows.
+    united by column name.  A file without the required columns, or an empty
+    one, goes to the quarantine (path, missing_columns) instead of the rows.
     """
     layouts: dict[tuple[str, ...], list[str]] = {}
-    refused = []
+    refused = [(path, ",".join(required)) for path in empty_sources(spark, folder, glob)]
     # Only file names and header lines pass through the driver here.
-    for row in list_sources(spark, folder, glob).where("length > 0").select("path").collect():
+    for row in list_sources(spark, folder, glob).where("length > 0").collect():
         header = tuple(spark.read.option("header", True).csv(row["path"]).columns)
         absent = [c for c in required if c not in header]
         if absent:
@@ -107,10 +117,11 @@ def read_interactions(spark: SparkSession, folder: str) -> tuple[DataFrame, Data
 def read_products(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
     """Products from a JSON array, or from JSON lines (splittable, for large files).
 
-    A malformed document fails the read.
+    ``source_file``, ``block_start`` and ``row_seq`` give the order of rows.  A malformed
+    document fails the read.
     """
-    return (spark.read.schema(PRODUCTS_RAW).option("multiLine", not lines)
-            .option("mode", "FAILFAST").option("encoding", "UTF-8").json(path))
+    return _with_lineage(spark.read.schema(PRODUCTS_RAW).option("multiLine", not lines)
+                         .option("mode", "FAILFAST").option("encoding", "UTF-8").json(path))
 
 
 def write_csv(df: DataFrame, path: str) -> None:

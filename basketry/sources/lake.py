@@ -25,6 +25,12 @@ def child_folders(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(folder) if s.isDirectory()]
 
 
+def is_finished(spark: SparkSession, path: str) -> bool:
+    """Whether the job that wrote the folder came to its end."""
+    fs, marker = _file_system(spark, f"{path}/_SUCCESS")
+    return fs.exists(marker)
+
+
 def _check_format(fmt: str) -> str:
     if fmt not in FORMATS:
         raise ValueError(f"unsupported format {fmt}")
@@ -62,6 +68,9 @@ class Lake:
         dated = df.withColumn("dt", F.date_format(F.col(date_column).cast("date"), "yyyy-MM-dd"))
         (dated.hint("rebalance", "dt").write.mode("overwrite").partitionBy("dt")
          .option("partitionOverwriteMode", "dynamic").parquet(self.path(layer, source)))
+        # Dates are moved into place one by one when the job is done; Spark leaves no marker then.
+        fs, marker = _file_system(self.spark, f"{self.path(layer, source)}/_SUCCESS")
+        fs.create(marker, True).close()
 
     def save_profile(self, df: DataFrame, layer: str, source: str, dt: str) -> DataFrame:
         """Snapshot metadata beside the data: profile, hash and size, as JSON.
@@ -85,8 +94,11 @@ class Lake:
     # Reading
 
     def dates(self, layer: str, source: str) -> list[str]:
-        folders = child_folders(self.spark, self.path(layer, source))
-        return sorted(f[3:] for f in folders if f.startswith("dt="))
+        """Dates of finished snapshots: those marked one by one or written by date."""
+        root = self.path(layer, source)
+        by_date = is_finished(self.spark, root)
+        return sorted(f[3:] for f in child_folders(self.spark, root) if f.startswith("dt=")
+                      and (by_date or is_finished(self.spark, f"{root}/{f}")))
 
     def snapshot(self, layer: str, source: str, dt: str, fmt: str = "parquet",
                  schema: StructType | None = None) -> DataFrame:
@@ -110,11 +122,14 @@ class Lake:
             raise FileNotFoundError(f"no snapshot of {layer}/{source} up to {date}")
         return self.snapshot(layer, source, usable[-1], fmt, schema)
 
-    def all_dates(self, layer: str, source: str) -> DataFrame:
-        """Every snapshot, columns united by name, with its date as ``dt``."""
-        if not self.dates(layer, source):
-            raise FileNotFoundError(f"no snapshot of {layer}/{source}")
-        return (self.spark.read.option("mergeSchema", True).parquet(self.path(layer, source))
+    def all_dates(self, layer: str, source: str, upto: str = "9999-12-31") -> DataFrame:
+        """Every finished snapshot not after a date, columns united by name, with ``dt``."""
+        usable = [d for d in self.dates(layer, source) if d <= upto]
+        if not usable:
+            raise FileNotFoundError(f"no snapshot of {layer}/{source} up to {upto}")
+        root = self.path(layer, source)
+        return (self.spark.read.option("mergeSchema", True).option("basePath", root)
+                .parquet(*[f"{root}/dt={d}" for d in usable])
                 .withColumn("dt", F.col("dt").cast("string")))
 
     def size(self, layer: str, source: str, dt: str) -> int:

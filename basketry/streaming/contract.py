@@ -11,6 +11,8 @@ from basketry.schemas import (CORRUPT, DEVICES, EVENT_GENDERS, TRANSACTION_EVENT
                               VIEW_MODES)
 
 USER_TOPIC, TRANSACTION_TOPIC = "users", "transactions"
+# How far a sender's clock may be ahead of the arrival.
+MAX_AHEAD = "1 DAY"
 
 
 def route(events: DataFrame, topic: str) -> DataFrame:
@@ -71,7 +73,9 @@ def decode_transactions(events: DataFrame) -> DataFrame:
         "user_id": F.col("user_id").isNotNull(), "item_id": F.col("item_id").isNotNull(),
         "view_mode": F.col("view_mode").isin(*VIEW_MODES),
         "rating": F.col("no_rating") | F.col("rating").between(1, 5),
-        "timestamp": F.col("no_stamp") | F.col("stamp").isNotNull()})
+        "timestamp": F.col("no_stamp") | F.col("stamp").isNotNull(),
+        "future": F.coalesce(F.col("stamp") <= F.col("arrival") + F.expr(f"INTERVAL {MAX_AHEAD}"),
+                             F.lit(True))})
     return typed.select(
         "payload", "arrival", "user_id", "item_id", "view_mode",
         F.col("rating").try_cast("int").alias("rating"),
@@ -83,6 +87,18 @@ def accepted(decoded: DataFrame) -> DataFrame:
     return decoded.where(F.col("reasons") == "").drop("payload", "arrival", "reasons")
 
 
+def identified(decoded: DataFrame) -> DataFrame:
+    """Accepted transactions, each with an event_id.
+
+    An event that came without one gets an id from its user, item, stamp and payload, so a
+    repeat of it is known and different events stay apart.
+    """
+    parts = F.concat_ws("_", "user_id", "item_id", F.col("timestamp").cast("string"),
+                        F.md5("payload"))
+    named = decoded.withColumn("event_id", F.coalesce("event_id", F.concat(F.lit("~"), parts)))
+    return accepted(named)
+
+
 def rejected(decoded: DataFrame) -> DataFrame:
     """Payload, arrival and the names of the failed checks."""
     return decoded.where(F.col("reasons") != "").select("payload", "arrival", "reasons")

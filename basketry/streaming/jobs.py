@@ -7,6 +7,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from basketry.functions.scores import ratio_or_zero
+from basketry.sources.lake import child_folders
 from basketry.streaming.contract import accepted
 
 
@@ -38,13 +39,34 @@ def file_events(spark: SparkSession, path: str, schema: StructType, fmt: str = "
     return reader.load(path)
 
 
-# Steps -------------------------------------------------------------------------
+def append_unrepeated(events: DataFrame, path: str, checkpoint: str, key: str = "event_id",
+                      available_now: bool = True) -> StreamingQuery:
+    """Append one event per id to a Parquet table; nothing else is left out, however late it is.
 
-def drop_repeats(events: DataFrame, delay: str = "1 hour") -> DataFrame:
-    """One event per event_id; state is dropped ``delay`` behind the newest event."""
-    return (events.withColumn("event_time", F.col("timestamp").cast("timestamp"))
-            .withWatermark("event_time", delay)
-            .dropDuplicatesWithinWatermark(["event_id"]).drop("event_time"))
+    A watermark would drop late events, so the ids are kept in a table instead: every
+    micro-batch reduces its own repeats, anti-joins the ids of the batches before it, and
+    writes its events and ids to a folder of its own.  A repeated batch replaces its earlier
+    attempt and looks at earlier batches only, so a restart gives the same table.  Rows
+    without an id count as different events.
+    """
+    spark, schema = events.sparkSession, events.schema
+    ids = f"{path}-ids"
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        named = batch.where(F.col(key).isNotNull()).dropDuplicates([key])
+        if child_folders(spark, ids):
+            before = (spark.read.schema(f"{key} {schema[key].dataType.simpleString()}, batch bigint")
+                      .parquet(ids).where(F.col("batch") < batch_id).select(key))
+            named = named.join(before, key, "left_anti").select(*batch.columns)
+        new = named.unionByName(batch.where(F.col(key).isNull())).persist()
+        new.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        (new.where(F.col(key).isNotNull()).select(key)
+         .write.mode("overwrite").parquet(f"{ids}/batch={batch_id}"))
+        new.unpersist()
+
+    writer = (events.writeStream.foreachBatch(step).outputMode("append")
+              .option("checkpointLocation", checkpoint))
+    return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
 # Sinks -------------------------------------------------------------------------
@@ -76,16 +98,16 @@ def with_staged(raw: DataFrame, spark: SparkSession, staged: str, schema: Struct
 
 # Incremental features ------------------------------------------------------------
 
-def fold_item_counts(events: DataFrame, path: str, checkpoint: str,
-                     available_now: bool = True) -> StreamingQuery:
-    """Keep per-batch partial counts per item, interaction type and day.
+def fold_counts(events: DataFrame, key: str, path: str, checkpoint: str,
+                available_now: bool = True) -> StreamingQuery:
+    """Keep per-batch partial counts per key (user or item), interaction type and day.
 
     Every micro-batch writes its own folder, so a repeated batch replaces its
     earlier attempt; sums over the folders are the current counts.  Rows per
-    batch are bounded by items, types and days, not by events.
+    batch are bounded by keys, types and days, not by events.
     """
     def fold(batch: DataFrame, batch_id: int) -> None:
-        (batch.groupBy("item_id", "view_mode", F.col("timestamp").cast("date").alias("day"))
+        (batch.groupBy(key, "view_mode", F.col("timestamp").cast("date").alias("day"))
          .agg(F.count(F.lit(1)).alias("events"), F.sum("rating").alias("rating_sum"),
               F.count("rating").alias("rating_n"))
          .write.mode("overwrite").parquet(f"{path}/batch={batch_id}"))
@@ -95,31 +117,44 @@ def fold_item_counts(events: DataFrame, path: str, checkpoint: str,
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
-def item_counts(spark: SparkSession, path: str) -> DataFrame:
-    """Current counts per item, interaction type and day."""
-    return (spark.read.parquet(path).groupBy("item_id", "view_mode", "day")
+def folded_counts(spark: SparkSession, key: str, path: str) -> DataFrame:
+    """Current counts per key, interaction type and day."""
+    return (spark.read.parquet(path).groupBy(key, "view_mode", "day")
             .agg(F.sum("events").alias("events"), F.sum("rating_sum").alias("rating_sum"),
                  F.sum("rating_n").alias("rating_n")))
 
 
-def compact_counts(spark: SparkSession, path: str, target: str) -> DataFrame:
+def compact_counts(spark: SparkSession, key: str, path: str, target: str) -> DataFrame:
     """Rewrite the partial counts of all finished batches as one table.
 
     Run while no stream writes to ``path``; the target starts the next folder.
     """
-    item_counts(spark, path).write.mode("errorifexists").parquet(f"{target}/batch=-1")
-    return item_counts(spark, target)
+    folded_counts(spark, key, path).write.mode("errorifexists").parquet(f"{target}/batch=-1")
+    return folded_counts(spark, key, target)
+
+
+def _of_mode(mode: str):
+    return F.coalesce(F.sum(F.when(F.col("view_mode") == mode, F.col("events"))), F.lit(0))
+
+
+def fresh_user_features(counts: DataFrame) -> DataFrame:
+    """User statistics from the folded counts."""
+    return (counts.groupBy("user_id")
+            .agg(F.sum("events").alias("user_activity_count"),
+                 (F.sum("rating_sum") / F.nullif(F.sum("rating_n"), F.lit(0)))
+                 .alias("avg_rating_given"),
+                 _of_mode("purchase").alias("purchase_count"))
+            .withColumn("purchase_ratio",
+                        ratio_or_zero(F.col("purchase_count"), F.col("user_activity_count"))))
 
 
 def fresh_item_features(counts: DataFrame) -> DataFrame:
     """Item statistics from the folded counts."""
-    def of(mode: str):
-        return F.coalesce(F.sum(F.when(F.col("view_mode") == mode, F.col("events"))), F.lit(0))
-
     return (counts.groupBy("item_id")
             .agg(F.sum("events").alias("popularity_score"),
                  (F.sum("rating_sum") / F.nullif(F.sum("rating_n"), F.lit(0)))
                  .alias("avg_item_rating"),
-                 of("purchase").alias("purchase_count"), of("view").alias("view_count"))
+                 _of_mode("purchase").alias("purchase_count"),
+                 _of_mode("view").alias("view_count"))
             .withColumn("view_to_purchase_rate",
                         ratio_or_zero(F.col("purchase_count"), F.col("view_count"))))

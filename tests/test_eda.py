@@ -51,11 +51,11 @@ def test_matrix_and_activity(spark):
     got = eda.activity(rows, users, "user_id").first()
     assert (got["mean"], got["median"], got["max"]) == (pytest.approx(4 / 3), 1.0, 3)
     assert got["zero_share"] == pytest.approx(1 / 3)
-    wide = eda.user_item_matrix(rows, F.lit(1))
+    wide = eda.user_item_matrix(rows, F.lit(1), [10, 11])
     assert wide.columns == ["user_id", "10", "11"]
     assert sorted(map(tuple, wide.collect())) == [(1, 2, 1), (2, 1, 0)]
-    with pytest.raises(ValueError):
-        eda.user_item_matrix(rows, F.lit(1), max_items=1)
+    sparse = {r.user_id: r["items"] for r in eda.user_item_rows(rows, F.lit(1)).collect()}
+    assert sparse == {1: {10: 2, 11: 1}, 2: {10: 1}}
 
 
 def test_counts(spark):

@@ -12,9 +12,7 @@ except ImportError:
     pytest.skip("duckdb is absent", allow_module_level=True)
 
 SQL = oracle.oracle_sql()
-# No SQL: lists of an iterative model (tested against brute force on a fixture),
-# and a hash function DuckDB lacks (its md5 sibling has SQL).
-WITHOUT_SQL = {"als_topk", "hybrid_topk", "content_hash"}
+WITHOUT_SQL: set[str] = set()
 
 
 @pytest.fixture(scope="module")

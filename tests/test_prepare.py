@@ -74,23 +74,27 @@ def test_clean_products(spark):
         [got[i].price_tier for i in (1, 3, 2, 6)] == ["low", "low", "medium", "high"]
 
 
-def test_encoding_by_table_equals_encoding_by_literal(spark, monkeypatch):
+def test_label_codes_follow_the_sorted_labels(spark):
     df = spark.createDataFrame([("b", 1), ("a", 1), (None, 2), ("B", 3), ("é", 4)],
                                "v string, w int")
-    literal = prepare.encode_labels(df, ["v", "w"]).collect()
-    monkeypatch.setattr(prepare, "LITERAL_LABELS", 2)
-    by_table = prepare.encode_labels(df, ["v", "w"]).collect()
-    key = lambda r: (str(r.v), r.w)
-    assert sorted(map(tuple, literal), key=str) == sorted(map(tuple, by_table), key=str)
+    rows = prepare.encode_labels(df, ["v", "w"]).collect()
     want = {"B": 0, "None": 1, "a": 2, "b": 3, "é": 4}
-    assert all(r.v_encoded == want[str(r.v)] for r in sorted(literal, key=key))
+    assert len(rows) == 5 and all(r.v_encoded == want[str(r.v)] for r in rows)
+    assert all(r.w_encoded == r.w - 1 for r in rows)
+
+
+def test_default_label_only_where_there_is_none(spark):
+    df = spark.createDataFrame([(None, "x"), (None, None)], "v string, w string")
+    fitted = prepare.fit_labels(df, ["v", "w"], {"v": "Other", "w": "Else"})
+    assert [tuple(r) for r in fitted["v"].dictionary.collect()] == [("Other", 0)]
+    assert [tuple(r) for r in fitted["w"].dictionary.collect()] == [("x", 0)]
 
 
 def test_label_not_seen_at_fit_time_is_null(spark):
     codes = prepare.fit_labels(spark.createDataFrame([("a",), ("b",)], "v string"), ["v"])["v"]
     got = codes.encode(spark.createDataFrame([("b",), ("c",)], "v string")).orderBy("v").collect()
     assert [r.v_encoded for r in got] == [1, None]
-    assert [tuple(r) for r in codes.dictionary(spark).collect()] == [("a", 0), ("b", 1)]
+    assert sorted(map(tuple, codes.dictionary.collect())) == [("a", 0), ("b", 1)]
 
 
 def test_scaling_edge_cases(spark):
@@ -115,12 +119,12 @@ def test_tier_shares_on_distinct_prices(spark):
 
 def test_one_hot(spark):
     df = spark.createDataFrame([(1, "a"), (2, "b"), (3, None)], "i int, v string")
-    got = prepare.one_hot(df, ["v"], ["i"])
+    got = prepare.one_hot(df, {"v": ["a", "b"]}, ["i"])
     assert got.columns == ["i", "v_a", "v_b"]
     assert [tuple(r) for r in got.orderBy("i").collect()] == \
         [(1, 1.0, 0.0), (2, 0.0, 1.0), (3, 0.0, 0.0)]
-    with pytest.raises(ValueError):
-        prepare.one_hot(df, ["v"], ["i"], max_width=1)
+    sparse = prepare.one_hot_sparse(df, ["v"]).orderBy("i").collect()
+    assert [r.one_hot for r in sparse] == [{"v_a": 1.0}, {"v_b": 1.0}, {}]
 
 
 def test_clean_interactions(spark):
@@ -143,7 +147,8 @@ def test_one_hot_and_standard_options(spark):
     rows = [(1, 20.0, "M", "Mobile", "f", 1), (2, 40.0, "F", "Tablet", "f", 2)]
     got = prepare.clean_users(spark.createDataFrame(rows, USERS), ["row_seq"], "one_hot",
                               "standard").orderBy("user_id").collect()
-    assert [r.gender_M for r in got] == [1.0, 0.0]
+    assert [r.one_hot for r in got] == [{"gender_M": 1.0, "device_Mobile": 1.0},
+                                        {"gender_F": 1.0, "device_Tablet": 1.0}]
     assert [r.age_normalized for r in got] == [-1.0, 1.0]
     with pytest.raises(ValueError):
         prepare.encode_columns(spark.createDataFrame(rows, USERS), ["gender"], "hash")

@@ -91,14 +91,34 @@ def test_staging_survives_a_restart(spark, tmp_path):
     assert both.count() == 3 and "event_id" in both.columns
 
 
+def deduped(spark, tmp_path, files=1):
+    decoded = contract.decode_transactions(source(spark, tmp_path / "in", max_files=files))
+    unique = contract.identified(decoded)
+    out = str(tmp_path / "out")
+    jobs.append_unrepeated(unique, out, str(tmp_path / "ck")).awaitTermination()
+    return spark.read.schema(unique.schema).parquet(out).collect()
+
+
 def test_repeats_across_batches(spark, tmp_path):
     for ids in ("ab", "bc", "ca"):
         deliver(spark, tmp_path / "in", [event(event_id=i) for i in ids])
-    decoded = contract.decode_transactions(source(spark, tmp_path / "in", max_files=1))
-    unique = jobs.drop_repeats(contract.accepted(decoded), "1 hour")
-    jobs.append_files(unique, str(tmp_path / "out"), str(tmp_path / "ck")).awaitTermination()
-    got = spark.read.parquet(str(tmp_path / "out"))
-    assert sorted(r.event_id for r in got.collect()) == ["a", "b", "c"]
+    assert sorted(r.event_id for r in deduped(spark, tmp_path)) == ["a", "b", "c"]
+    deliver(spark, tmp_path / "in", [event(event_id=i) for i in "adda"])
+    assert sorted(r.event_id for r in deduped(spark, tmp_path)) == ["a", "b", "c", "d"]
+
+
+def test_no_event_is_lost(spark, tmp_path):
+    """Events without id, far behind, and behind one that claims to come from the future."""
+    deliver(spark, tmp_path / "in", [event(event_id="absent", item_id=i) for i in range(20)])
+    deliver(spark, tmp_path / "in", [event(event_id="f", timestamp="2099-01-01T00:00:00")])
+    deliver(spark, tmp_path / "in", [event(event_id=f"o{i}", timestamp=f"2019-01-{i + 1:02d}T00:00:00")
+                                     for i in range(9)])
+    deliver(spark, tmp_path / "in", [event(event_id="absent", item_id=i) for i in range(3)])
+    deliver(spark, tmp_path / "in", [event(event_id="o1", timestamp="2019-01-02T00:00:00")])
+    got = deduped(spark, tmp_path)
+    assert len(got) == 29 and len({r.event_id for r in got}) == 29
+    decoded = contract.decode_transactions(spark.read.parquet(str(tmp_path / "in")))
+    assert [r.reasons for r in contract.rejected(decoded).collect()] == ["future"]
 
 
 def test_folded_counts(spark, tmp_path):
@@ -106,14 +126,19 @@ def test_folded_counts(spark, tmp_path):
         deliver(spark, tmp_path / "in", [event(view_mode=m) for m in modes])
     decoded = contract.decode_transactions(source(spark, tmp_path / "in", max_files=1))
     valid, counts = contract.accepted(decoded), str(tmp_path / "counts")
-    jobs.fold_item_counts(valid, counts, str(tmp_path / "ck")).awaitTermination()
+    jobs.fold_counts(valid, "item_id", counts, str(tmp_path / "ck")).awaitTermination()
     assert len(list((tmp_path / "counts").glob("batch=*"))) == 3
-    row = jobs.fresh_item_features(jobs.item_counts(spark, counts)).first()
+    row = jobs.fresh_item_features(jobs.folded_counts(spark, "item_id", counts)).first()
     assert (row.item_id, row.popularity_score, row.purchase_count, row.view_count) == (2, 5, 1, 3)
     assert row.avg_item_rating == 3.0 and row.view_to_purchase_rate == pytest.approx(1 / 3)
-    compact = jobs.compact_counts(spark, counts, str(tmp_path / "compact"))
+    compact = jobs.compact_counts(spark, "item_id", counts, str(tmp_path / "compact"))
     assert sorted(map(tuple, compact.collect())) == \
-        sorted(map(tuple, jobs.item_counts(spark, counts).collect()))
+        sorted(map(tuple, jobs.folded_counts(spark, "item_id", counts).collect()))
+    users = str(tmp_path / "users")
+    jobs.fold_counts(valid, "user_id", users, str(tmp_path / "ck-users")).awaitTermination()
+    row = jobs.fresh_user_features(jobs.folded_counts(spark, "user_id", users)).first()
+    assert (row.user_id, row.user_activity_count, row.purchase_count) == (1, 5, 1)
+    assert row.avg_rating_given == 3.0 and row.purchase_ratio == pytest.approx(0.2)
 
 
 def test_kafka_needs_its_connector(spark):
