@@ -1,4 +1,4 @@
-"""The registered queries of the text operators and their SQL."""
+"""The registered queries of the text operators; their SQL is in ``oracle``."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from basketry.llm import (exactdedup, linededup, lm, packing, pieces, quality,
+from basketry.llm import (exactdedup, linededup, lm, oracle, packing, pieces, quality,
                           sentencepieces, simhash, suffixdedup, urlfilter)
 from basketry.llm.common import read_documents
 
@@ -60,4 +60,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return oracle.oracle_sql()
