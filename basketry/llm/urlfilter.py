@@ -84,6 +84,13 @@ def _attribute(tag: Column, name: str) -> Column:
     return F.replace(F.trim(F.concat(*parts)), F.lit("&amp;"), F.lit("&"))
 
 
+def _once(df: DataFrame, keep: list[str], **columns: Column) -> DataFrame:
+    """``keep`` and new columns.  The generator keeps later expressions from being merged with
+    these, which would repeat each pattern wherever its result is used."""
+    made = F.struct(*(c.alias(name) for name, c in columns.items()))
+    return df.select(*keep, F.inline(F.array(made)))
+
+
 def page_links(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
     """``(url, target)`` of canonical links and meta refreshes, targets made absolute."""
     html = F.col(f"`{html_col}`").cast("string")
@@ -92,30 +99,32 @@ def page_links(pages: DataFrame, url_col: str = "url", html_col: str = "html") -
             .select("url", F.explode(F.regexp_extract_all(
                 F.regexp_replace("html", _HIDDEN, ""), F.lit(_TAGS), 0)).alias("tag")))
     tag = F.col("tag")
+    parts = _once(tags, ["url", "tag"], rel=_attribute(tag, "rel"), href=_attribute(tag, "href"),
+                  equiv=_attribute(tag, "http-equiv"), content=_attribute(tag, "content"))
     canonical = tag.rlike(r"(?i)^<link") & F.array_contains(
-        F.split(F.lower(_attribute(tag, "rel")), r"\s+"), "canonical")
-    refresh = tag.rlike(r"(?i)^<meta") & (F.lower(_attribute(tag, "http-equiv")) == "refresh")
-    moved = F.regexp_extract(_attribute(tag, "content"), r"(?is)url\s*=\s*['\"]?([^'\"]*)", 1)
-    found = tags.select("url", F.when(canonical, _attribute(tag, "href")).when(refresh, F.trim(moved))
-                        .alias("to")).where("to <> ''")
-    to, url = F.col("to"), F.col("url")
-    root = F.regexp_extract(url, r"(?s)^.*?://[^/?#]*", 0)
-    folder = F.regexp_replace(path_of(url), r"[^/]*$", "")
+        F.split(F.lower("rel"), r"\s+"), "canonical")
+    refresh = tag.rlike(r"(?i)^<meta") & (F.lower("equiv") == "refresh")
+    moved = F.trim(F.regexp_extract("content", r"(?is)url\s*=\s*['\"]?([^'\"]*)", 1))
+    found = _once(parts, ["url"], to=F.when(canonical, F.col("href")).when(refresh, moved))
+    url = F.col("url")
+    found = _once(found.where("to <> ''"), ["url", "to"], path=path_of(url),
+                  root=F.regexp_extract(url, r"(?s)^.*?://[^/?#]*", 0))
+    to, root, path = F.col("to"), F.col("root"), F.col("path")
+    folder = F.regexp_replace(path, r"[^/]*$", "")
     target = (F.when(to.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), to)
               .when(to.startswith("//"), F.concat(F.lit("http:"), to))
               .when(to.startswith("/"), F.concat(root, to))
-              .when(to.startswith("?"), F.concat(root, path_of(url), to))
+              .when(to.startswith("?"), F.concat(root, path, to))
               .when(to.startswith("#") | to.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), None)
               .otherwise(F.concat(root, F.when(folder == "", "/").otherwise(folder), to)))
-    return found.select("url", target.alias("target"))
+    return _once(found, ["url"], target=target)
 
 
 def alias_verdicts(links: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """``(key, blocked)`` for every URL that has an alias, from ``(url, target)`` links."""
-    urls = F.array("url", "target")
-    edges = links.select(url_key(F.col("url")).alias("a"), url_key(F.col("target")).alias("b"),
-                         urls.alias("urls")).where("a <> b")
-    edges = materialise(edges, "aliases")
+    edges = _once(links, [], a=url_key(F.col("url")), b=url_key(F.col("target")),
+                  urls=F.array("url", "target"))
+    edges = materialise(edges.where("a <> b"), "aliases")
     roots = components(edges)
     judged = edges.select(F.explode("urls").alias("url")).select(
         url_key(F.col("url")).alias("node"),
@@ -138,8 +147,9 @@ def judge(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     if redirects is not None:
         links = links.unionAll(redirects.select("url", "target"))
     url = F.col(f"`{url_col}`").cast("string")
-    rows = pages.select(F.col(f"`{id_col}`").alias("page_id"), host_of(url).alias("host"),
-                        path_of(url).alias("path"), url_key(url).alias("key"))
+    rows = _once(pages.select(F.col(f"`{id_col}`").alias("page_id"), url.alias("url")),
+                 ["page_id"], host=host_of(F.col("url")), path=path_of(F.col("url")),
+                 key=url_key(F.col("url")))
     rows = rows.withColumn("fit", fitting_rule(F.col("host"), F.col("path"), rules))
     return (rows.join(alias_verdicts(links, rules), "key", "left")
             .select("page_id", "host", "path", F.col("fit.rule").alias("rule"),
