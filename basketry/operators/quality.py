@@ -84,6 +84,8 @@ def key_match_rate(df: DataFrame, dimension: DataFrame, key: str) -> Column:
             .agg((matched / F.sum("_n")).cast("double")).scalar())
 
 
+# Names, wordings and thresholds of the rules are part of the reports.
+
 def user_rules(age_low: int = 18, age_high: int = 65) -> list[Rule]:
     return [
         Rule("user_id_unique", "count", duplicate_count("user_id"), 0, "duplicates found",

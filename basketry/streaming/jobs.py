@@ -79,10 +79,14 @@ def append_files(df: DataFrame, path: str, checkpoint: str,
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
-def kafka_sink(encoded: DataFrame, servers: str, checkpoint: str) -> StreamingQuery:
-    """Write key, value and topic rows; acknowledged by all replicas, with retries."""
+def kafka_sink(encoded: DataFrame, servers: str, checkpoint: str, acks: str = "all",
+               retries: int = 3) -> StreamingQuery:
+    """Write key, value and topic rows; acknowledged by all replicas, with retries.
+
+    Option names are fixed by the connector.
+    """
     return (encoded.writeStream.format("kafka").option("kafka.bootstrap.servers", servers)
-            .option("kafka.acks", "all").option("kafka.retries", "3")
+            .option("kafka.acks", acks).option("kafka.retries", str(retries))
             .option("checkpointLocation", checkpoint).start())
 
 
