@@ -413,6 +413,19 @@ def oracle_sql() -> dict[str, str]:
              f"view_count")
     rate = _r("CASE WHEN view_count > 0 THEN purchase_count / view_count ELSE 0.0 END",
               "view_to_purchase_rate")
+    baseline = _with(
+        ", m AS (SELECT avg(score) AS mu FROM order_triples), "
+        "bi AS (SELECT item_id, sum(score - mu) / (count(*) + 10) AS b FROM order_triples, m GROUP BY 1), "
+        "bu AS (SELECT user_id, sum(score - mu - b) / (count(*) + 15) AS b "
+        "FROM order_triples JOIN bi USING (item_id), m GROUP BY 1), "
+        "u AS (SELECT user_id, round((mu + b) * 1048576) / 1048576 AS x FROM bu, m), "
+        "i AS (SELECT item_id, round(b * 1048576) / 1048576 AS y FROM bi) "
+        "SELECT user_id, item_id, round(s, 6) AS predicted_score, rnk AS rank FROM ("
+        "SELECT user_id, item_id, s, row_number() OVER (PARTITION BY user_id "
+        "ORDER BY s DESC, item_id) AS rnk FROM ("
+        "SELECT u.user_id, i.item_id, least(5.0, greatest(1.0, x + y)) AS s FROM u CROSS JOIN i "
+        "WHERE NOT EXISTS (SELECT 1 FROM order_triples t WHERE t.user_id = u.user_id "
+        "AND t.item_id = i.item_id)) a) b WHERE rnk <= 10", "order_triples")
     sql = {
         "users_ingest_clean": _with(f"SELECT {users_row} FROM users_raw", "users_raw"),
         "users_dedup_first": _with(f"SELECT {users_row} FROM users_first", "users_first"),
@@ -444,6 +457,7 @@ def oracle_sql() -> dict[str, str]:
             f"{_r('count(*) FILTER (WHERE passed) / count(*)', 'quality_score')} "
             "FROM (SELECT dataset, passed FROM rules UNION ALL SELECT 'overall', passed FROM rules) t "
             "GROUP BY dataset", *_RULE_NEEDS),
+        "quality_report_saved": _with(_ALL_RULES, *_RULE_NEEDS),
         "quality_gate": _with(
             f", rules AS ({_ALL_RULES}) SELECT round(s, 6) AS quality_score, "
             "CAST(0.9 AS DOUBLE) AS threshold, s >= 0.9 AS passed "
@@ -499,6 +513,11 @@ def oracle_sql() -> dict[str, str]:
         "all_partitions": f"SELECT {_EVENT}, strftime(ts, '%Y-%m-%d') AS dt FROM events",
         "users_csv_scan": _with("SELECT user_id, round(age, 6) AS age, gender, device "
                                 "FROM users_raw", "users_raw"),
+        "transactions_csv_scan": _with(
+            f"SELECT user_id, item_id, view_mode, rating, {_ts('ts', 'timestamp')} FROM inter_raw",
+            "inter_raw"),
+        "quarantined_files": "SELECT 'user_matrix_0.csv' AS file, 'age,gender,device' AS "
+                             "missing_columns FROM customer LIMIT 1",
         "products_json_scan": _with(
             "SELECT item_id, round(price, 6) AS price, brand, category, round(rating, 6) AS rating, "
             "in_stock FROM products_raw", "products_raw"),
@@ -558,19 +577,15 @@ def oracle_sql() -> dict[str, str]:
             f"{_r('least(5.0, greatest(1.0, mu + coalesce(item_bias, 0) + coalesce(user_bias, 0)))', 'prediction')} "
             "FROM split s LEFT JOIN bias_i USING (item_id) LEFT JOIN bias_u USING (user_id), biases "
             "WHERE part = 'test'", "bias_u"),
-        "baseline_topk": _with(
-            ", m AS (SELECT avg(score) AS mu FROM order_triples), "
-            "bi AS (SELECT item_id, sum(score - mu) / (count(*) + 10) AS b FROM order_triples, m GROUP BY 1), "
-            "bu AS (SELECT user_id, sum(score - mu - b) / (count(*) + 15) AS b "
-            "FROM order_triples JOIN bi USING (item_id), m GROUP BY 1), "
-            "u AS (SELECT user_id, round((mu + b) * 1048576) / 1048576 AS x FROM bu, m), "
-            "i AS (SELECT item_id, round(b * 1048576) / 1048576 AS y FROM bi) "
-            "SELECT user_id, item_id, round(s, 6) AS predicted_score, rnk AS rank FROM ("
-            "SELECT user_id, item_id, s, row_number() OVER (PARTITION BY user_id "
-            "ORDER BY s DESC, item_id) AS rnk FROM ("
-            "SELECT u.user_id, i.item_id, least(5.0, greatest(1.0, x + y)) AS s FROM u CROSS JOIN i "
-            "WHERE NOT EXISTS (SELECT 1 FROM order_triples t WHERE t.user_id = u.user_id "
-            "AND t.item_id = i.item_id)) a) b WHERE rnk <= 10", "order_triples"),
+        "baseline_topk": baseline,
+        "recommendation_sample": (
+            f"SELECT user_id, item_id, predicted_score, rank, '2024-02-01' AS inference_date, "
+            f"saved_rows FROM (SELECT *, count(*) OVER () AS saved_rows, row_number() OVER "
+            f"(ORDER BY user_id, rank) AS place FROM ({baseline}) l) s WHERE place <= 20"),
+        "model_saved_and_served": _with(_list_facts(
+            "(SELECT user_id, count(*) AS n FROM pairs WHERE user_id = "
+            "(SELECT min(user_id) FROM pairs) GROUP BY user_id)",
+            "(SELECT DISTINCT item_id FROM pairs)"), "pairs"),
         "als_topk": _with(_list_facts(
             "(SELECT user_id, count(*) AS n FROM pairs GROUP BY user_id)",
             "(SELECT DISTINCT item_id FROM pairs)"), "pairs"),

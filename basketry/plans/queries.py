@@ -10,7 +10,8 @@ from basketry.functions.cleaning import plausible_age
 from basketry.functions.scores import RATING_HIGH, RATING_LOW
 from basketry.operators import (content, eda, factor_model, features, metrics, prepare, profiling,
                                 quality, ranking, upsert)
-from basketry.schemas import PRODUCT_COLUMNS, USER_COLUMNS, VIEW_MODES
+from basketry.plans import pipeline
+from basketry.schemas import INTERACTION_COLUMNS, PRODUCT_COLUMNS, USER_COLUMNS, VIEW_MODES
 from basketry.session import materialise, scratch_path
 from basketry.sources import bindings, files
 from basketry.sources.feature_store import FeatureStore, feature_definitions
@@ -186,6 +187,14 @@ def quality_overall(spark, folder):
     return quality.quality_scores(_report(spark, folder))
 
 
+@query
+def quality_report_saved(spark, folder):
+    """The report as JSON records, read back."""
+    path, report = scratch_path(spark, "report"), _report(spark, folder)
+    report.write.json(path)
+    return spark.read.schema(report.schema).json(path)
+
+
 @query
 def quality_gate(spark, folder):
     return quality.quality_gate(quality.quality_scores(_report(spark, folder)), 0.90)
@@ -281,19 +290,53 @@ def all_partitions(spark, folder):
     return _dated_lake(spark, folder).all_dates("raw", "events")
 
 
+def _deliver_csv(df: DataFrame, inbox: str, name: str) -> None:
+    """Write a table as CSV files with names as a sender gives them."""
+    spark, part = df.sparkSession, scratch_path(df.sparkSession, "csv")
+    files.write_csv(df, part)
+    jvm = spark.sparkContext._jvm.org.apache.hadoop.fs
+    source = jvm.Path(f"{part}/*.csv")
+    fs = source.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(jvm.Path(inbox))
+    for i, status in enumerate(fs.globStatus(source)):
+        fs.rename(status.getPath(), jvm.Path(f"{inbox}/{name}_{i}.csv"))
+
+
 @query
 def users_csv_scan(spark, folder):
-    path = scratch_path(spark, "csv")
+    inbox = scratch_path(spark, "inbox")
     text = bindings.users_text(spark, folder)
-    files.write_csv(text.where("source_file = 'users_1'").select(*USER_COLUMNS), path)
-    second = text.where("source_file = 'users_2'").select("user_id", "gender", "age", "device")
-    second.write.mode("append").option("header", True).csv(path)
-    # Files without the required columns must not get in.
-    text.select("user_id", "row_seq").write.mode("append").option("header", True).csv(path)
-    rows, _ = files.read_csv_sources(spark, path, "*.csv", USER_COLUMNS)
+    _deliver_csv(text.where("source_file = 'users_1'").select(*USER_COLUMNS), inbox, "Users_old")
+    _deliver_csv(text.where("source_file = 'users_2'").select("user_id", "gender", "age", "device"),
+                 inbox, "new-USER-file")
+    # Files without the required columns, or with other names, must not get in.
+    _deliver_csv(text.select("user_id", "row_seq"), inbox, "user_matrix")
+    _deliver_csv(text.select(*USER_COLUMNS), inbox, "people")
+    rows, _ = files.read_users(spark, inbox)
     return prepare.clean_raw_users(rows).select(*USER_COLUMNS)
 
 
+@query
+def transactions_csv_scan(spark, folder):
+    inbox = scratch_path(spark, "inbox")
+    text = bindings.interactions_text(spark, folder).select(*INTERACTION_COLUMNS)
+    _deliver_csv(text.where("view_mode = 'view'"), inbox, "transactions_views")
+    _deliver_csv(text.where("view_mode <> 'view'"), inbox, "all TRANSACTIONS")
+    rows, _ = files.read_interactions(spark, inbox)
+    return pipeline.typed_interactions(rows).select(*INTERACTION_COLUMNS)
+
+
+@query
+def quarantined_files(spark, folder):
+    """Files that the reader refuses, with the columns they lack."""
+    inbox = scratch_path(spark, "inbox")
+    text = bindings.users_text(spark, folder)
+    _deliver_csv(text.select(*USER_COLUMNS).coalesce(1), inbox, "users")
+    _deliver_csv(text.select("user_id", "row_seq").coalesce(1), inbox, "user_matrix")
+    _, refused = files.read_users(spark, inbox)
+    return refused.select(F.substring_index("path", "/", -1).alias("file"), "missing_columns")
+
+
 @query
 def products_json_scan(spark, folder):
     path = scratch_path(spark, "json")
@@ -396,8 +439,39 @@ def baseline_predict(spark, folder):
     return factor_model.predict_baseline(train, test)
 
 
+@query
+def recommendation_sample(spark, folder):
+    """Lists saved by date, and the small sample that is saved beside them."""
+    path, lists = scratch_path(spark, "lists"), _baseline_lists(spark, folder)
+    ranking.write_recommendations(lists, path, "2024-02-01")
+    sample = spark.read.schema("user_id bigint, item_id bigint, predicted_score double, rank int, "
+                               "inference_date string").json(f"{path}/sample")
+    saved = spark.read.parquet(f"{path}/recommendations").agg(
+        F.count(F.lit(1)).alias("n")).scalar()
+    return sample.withColumn("saved_rows", saved)
+
+
+@query
+def model_saved_and_served(spark, folder):
+    """A model that is saved, loaded again and asked for the list of one user."""
+    rows = order_triples(spark, folder)
+    model = factor_model.fit_factor_model(rows, rank=8, iterations=3)
+    path = scratch_path(spark, "saved-model")
+    model.save(path)
+    loaded = factor_model.FactorModel.load(spark, path)
+    user = rows.agg(F.min("user_id")).first()[0]
+    seen = ranking.seen_pairs(rows)
+    one = _written(factor_model.recommend_for_user(
+        loaded, user, rows.select("item_id").distinct(), seen.where(F.col("user_id") == user), 10))
+    return ranking.list_facts(one, seen, RATING_LOW, RATING_HIGH)
+
+
 @query
 def baseline_topk(spark, folder):
+    return _baseline_lists(spark, folder)
+
+
+def _baseline_lists(spark, folder):
     """Mean and biases as two-entry vectors: the block product without factors."""
     rows = order_triples(spark, folder)
     mean, item_bias, user_bias = factor_model.bias_tables(rows)
