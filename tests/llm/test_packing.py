@@ -20,14 +20,14 @@ def ids_of(plain, text):
 
 
 ODD = ["don't stop, it's 3.14 <|endoftext|>x", " a b ́c", "é é ﬁ İ", "日本語 テキスト 🙂🙂",
-       "a\x00b \x1c c\x85d", "<|startoftext|> <|endoftext|>", "1234 ½ ²", "x" * 3000]
+       "a\x00b \x1c c\x85d", "ΣΑΣ ǅx \u0345a \u1e9e", "\ufeffa </w> <w/> '' 's'sa 's", "<|startoftext|> <|endoftext|>", "1234 ½ ²", "x" * 3000]
 
 
 def test_words_equal_whole_texts(plain):
     encoder = WordTokenizer(default_tokenizer(), cache_words=20)
-    for text in [*ODD, *(t or "" for _, t in rows())]:
-        got = np.frombuffer(encoder.encode(text.encode()), "<u4").tolist()
-        assert got + [END_ID] == ids_of(plain, text), text[:40]
+    texts = [*ODD, *(t or "" for _, t in rows())]
+    for text in texts:
+        assert np.frombuffer(encoder.encode(text.encode()), "<u4").tolist() + [END_ID] == ids_of(plain, text), text[:40]
 
 
 def test_lengths():
