@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from basketry.functions.cleaning import null_tokens, parse_timestamp, to_key
 from basketry.operators import factor_model, features, metrics, prepare, quality, ranking
+from basketry.session import drop_scratch, scratch_paths
 from basketry.sources import files
 from basketry.sources.feature_store import FeatureStore, feature_definitions
 from basketry.sources.lake import Lake
@@ -175,11 +176,15 @@ def evaluate(spark: SparkSession, p: Params) -> DataFrame:
     known, held_out = factor_model.train_test_split(factor_model.rating_triples(rows),
                                                     p.test_size, p.seed)
     lists = factor_model.recommend(model, known, max(p.k_values))
-    return metrics.summarise_metrics(metrics.ranking_metrics(lists, held_out, p.k_values))
+    summary = metrics.summarise_metrics(metrics.ranking_metrics(lists, held_out, p.k_values))
+    path = f"{p.base}/evaluation/dt={p.run_date}"
+    summary.coalesce(1).write.mode("overwrite").json(path)
+    return spark.read.schema(summary.schema).json(path)
 
 
 def run(spark: SparkSession, p: Params) -> DataFrame:
-    """All stages in order; gives the evaluation summary."""
+    """All stages in order; gives the evaluation summary and drops the run's scratch tables."""
+    before = scratch_paths(spark)
     ingest(spark, p)
     validate(spark, p)
     prepare_tables(spark, p)
@@ -187,4 +192,6 @@ def run(spark: SparkSession, p: Params) -> DataFrame:
     publish(spark, p)
     train(spark, p)
     infer(spark, p)
-    return evaluate(spark, p)
+    summary = evaluate(spark, p)
+    drop_scratch(spark, before)
+    return summary

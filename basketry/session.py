@@ -58,7 +58,29 @@ def shared_folder(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
-    return f"{shared_folder(spark)}/basketry/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/basketry/{name}-{uuid.uuid4().hex}"
+    context = spark.sparkContext
+    context._basketry_scratch = [*scratch_paths(spark), path]
+    return path
+
+
+def scratch_paths(spark: SparkSession) -> list[str]:
+    """What this session has written below the shared folder so far."""
+    return getattr(spark.sparkContext, "_basketry_scratch", [])
+
+
+def drop_scratch(spark: SparkSession, keep: list[str] = ()) -> int:
+    """Delete the session's scratch paths but for ``keep``; gives the number of paths.
+
+    For the end of a job: tables that are still to be computed may read from these paths.
+    """
+    context = spark.sparkContext
+    paths = [p for p in scratch_paths(spark) if p not in set(keep)]
+    for path in paths:
+        folder = context._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
+    context._basketry_scratch = [p for p in scratch_paths(spark) if p in set(keep)]
+    return len(paths)
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:

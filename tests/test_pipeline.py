@@ -4,6 +4,7 @@ import random
 import pytest
 
 from basketry.plans import pipeline
+from basketry.session import scratch_paths
 from basketry.sources.lake import Lake
 
 
@@ -34,10 +35,12 @@ def data(tmp_path_factory):
 def test_whole_run(spark, data, tmp_path):
     p = pipeline.Params(data, str(tmp_path), "2026-02-01", quality_threshold=0.9, rank=3,
                         iterations=3, k_values=(5, 10))
+    before = scratch_paths(spark)
     summary = {(r.metric, r.k): r for r in pipeline.run(spark, p).collect()}
     assert set(summary) == {(m, k) for m in ("precision", "recall", "ndcg", "hit_rate")
                             for k in (5, 10)} | {("mrr", None)}
     assert all(0 <= r.min <= r.mean <= r.max <= 1 for r in summary.values())
+    assert scratch_paths(spark) == before  # the run cleared its own
     lake = Lake(spark, f"{tmp_path}/lake")
     assert lake.latest("raw", "users").count() == 61
     # Both timestamp formats survive the cleaning.
