@@ -4,7 +4,7 @@ sampled run ends, and matching statistics streamed through it.
 The text is a list of byte strings, each closed by an end mark of its own.  The index keeps one
 record per run of equal symbols in the transform: first row, symbol, the shift that maps rows of
 the run to the rows of the suffixes one symbol longer, and the text places of its first and last
-row.  A query is read from its end to its start.  While the row's symbol is the query's, the
+row (and, to find the run of a row at once, its number beside each row).  A query is read from its end to its start.  While the row's symbol is the query's, the
 match grows; else it moves to the nearest run end with that symbol above or below, whichever
 agrees with more of the query, which the sampled places tell.  All queries advance together.
 """
@@ -31,24 +31,27 @@ def suffix_ranks(symbols: np.ndarray, depths: tuple[int, ...] = ()):
         open_ &= at > 0
     order = np.argsort(key, kind="stable")
     sorted_key = key[order]
-    new = np.empty(n, dtype=bool)
-    new[:1] = True
-    new[1:] = (sorted_key[1:] != sorted_key[:-1]) | ~open_[order[1:]]
-    rank = np.empty(n, dtype=np.int64)
-    rank[order] = np.cumsum(new) - 1
+    new = np.empty(n + 1, dtype=bool)  # rows that begin a group of equal suffixes
+    new[0] = new[n] = True
+    new[1:n] = (sorted_key[1:] != sorted_key[:-1]) | ~open_[order[1:]]
+    del key, open_, padded, sorted_key
+    rank = np.empty(n, dtype=np.int64)  # first row of the group
+    rank[order] = np.maximum.accumulate(np.where(new[:n], np.arange(n), 0))
     kept, depth = {}, _PACK
     while True:
         if depth in depths:
             kept[depth] = rank.copy()
-        if new.all():
+        rows = np.flatnonzero(~(new[:n] & new[1:]))  # rows of groups not yet told apart
+        if not len(rows):
             break
-        ahead = np.zeros(n, dtype=np.int64)
-        ahead[:n - depth] = rank[depth:]
-        key = rank * n + ahead
-        order = np.argsort(key)
-        sorted_key = key[order]
-        new[1:] = sorted_key[1:] != sorted_key[:-1]
-        rank[order] = np.cumsum(new) - 1
+        tied = order[rows]
+        key = rank[tied] * n + rank[np.minimum(tied + depth, n - 1)]
+        by = np.argsort(key)
+        tied, key = tied[by], key[by]
+        order[rows] = tied
+        fresh = np.concatenate([[True], key[1:] != key[:-1]])
+        new[rows] = fresh
+        rank[tied] = np.maximum.accumulate(np.where(fresh, rows, 0))
         depth *= 2
     for d in depths:
         kept.setdefault(d, rank)
@@ -69,7 +72,7 @@ class RunIndex:
         while 2 * depth <= window:
             depth *= 2
         order, kept = suffix_ranks(self.symbols, (depth,))
-        self.text_of = np.repeat(np.arange(len(texts)), lengths + 1)
+        self.text_of = np.repeat(np.arange(len(texts), dtype=np.int32), lengths + 1)
         self._build_runs(order, n)
         self._build_classes(order, kept[depth], depth, n, marks)
 
@@ -79,6 +82,7 @@ class RunIndex:
         change = np.ones(n, dtype=bool)
         change[1:] = (before[1:] != before[:-1]) | (before[1:] == 0)
         self.starts = np.flatnonzero(change)
+        self.run_of_row = (np.cumsum(change) - 1).astype(np.int32)
         self.run_symbol = before[self.starts].astype(np.int64)
         ends = np.append(self.starts[1:], n) - 1
         self.ends = ends
@@ -104,7 +108,6 @@ class RunIndex:
         self.class_of_row = (np.cumsum(~same) - 1).astype(np.int32)
         self.class_starts = np.flatnonzero(~same)
         self.row_text = self.text_of[order]
-        self.row_long = rest >= self.window
 
     def least(self, values: np.ndarray) -> np.ndarray:
         """Per class, the least of ``values`` (one per text) over the texts that hold it."""
@@ -140,7 +143,7 @@ class RunIndex:
         for t in range(widest - 1, -1, -1):
             q = np.flatnonzero(sizes > t)
             symbol = query[q, t].astype(np.int64)
-            run = np.searchsorted(self.starts, row[q], side="right") - 1
+            run = self.run_of_row[row[q]].astype(np.int64)
             miss = np.flatnonzero(self.run_symbol[run] != symbol)
             length[q] += 1
             if len(miss):

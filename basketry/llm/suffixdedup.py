@@ -2,9 +2,9 @@
 
 A byte goes when a ``window``-byte string that covers it also starts in a document with a smaller
 id.  No task sees the whole corpus, so equal windows are first brought together: the anchor of a
-window is the place in it whose 16-byte string hashes lowest.  Equal windows have equal anchors,
+window is the place in it whose 24-byte string hashes lowest.  Equal windows have equal anchors,
 and neighbouring windows mostly share theirs, so a document falls into segments, runs of windows
-with one anchor, of some 66 bytes each.
+with one anchor, of some 63 bytes each.
 
 1. Anchor hashes are counted over all documents.  Only those found in two or more can belong to
    a repeated window; they set their bits in a filter of fixed size (2 ** ``filter_bits``), the
@@ -12,9 +12,10 @@ with one anchor, of some 66 bytes each.
 2. Segments that pass are dealt by anchor hash, equal ones of a batch once.  An anchor that more
    than ``hot_documents`` documents hold would deal a hot shard; its segments are cut into single
    windows and dealt by the window, and inside a batch equal windows are one.
-3. Each shard builds the run-compressed transform of its distinct segments with sampled run ends,
-   streams the matching statistics of the segments through it, and marks every window-long match
-   whose class (the rows that share it) has a smaller document.
+3. A segment whose anchor no different segment has can only repeat as a whole, and its documents
+   are known.  Of the others each shard builds the run-compressed transform with sampled run ends,
+   streams their matching statistics through it, and marks every window-long match whose class
+   (the rows that share it) has a smaller document.
 4. Documents meet their marked spans, by id and text digest, and lose those bytes.
 
 Defined results: null counts as empty; a null id counts as the smallest bigint; rows with the
@@ -25,6 +26,7 @@ gives an empty result; columns other than the id and the text are ignored.
 from __future__ import annotations
 
 import hashlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +37,7 @@ from basketry.llm.common import bodies, python_rows, shuffle_width, whole_rows
 from basketry.llm.runindex import RunIndex
 
 WINDOW = 50
-GRAM = 16
+GRAM = 24
 FILTER_BITS = 27
 HOT_BITS = 22
 HOT_DOCUMENTS = 1 << 14
@@ -47,8 +49,8 @@ _SHIFT = np.uint64(32)
 KEY_SCHEMA = ("shard int, base bigint, keys binary, docs binary, more_keys binary, "
               "more_docs binary, more_n binary")
 FILTER_SCHEMA = "shard int, bits binary, hot binary"
-SEGMENT_SCHEMA = ("shard int, base bigint, texts binary, sizes binary, segment binary, "
-                  "doc binary, digest binary, start binary")
+SEGMENT_SCHEMA = ("shard int, base bigint, texts binary, sizes binary, anchors binary, "
+                  "segment binary, doc binary, digest binary, start binary")
 SPAN_SCHEMA = "doc_id bigint, digest bigint, start bigint, stop bigint"
 
 
@@ -78,8 +80,10 @@ def segments(buffer: bytes, starts: np.ndarray, window: int = WINDOW):
     padded = buffer + bytes(GRAM)
     words = np.ndarray((n + GRAM - 7,), dtype="<u8", buffer=padded, strides=(1,))
     h = words[:n] * np.uint64(0x9E3779B97F4A7C15)
-    h ^= h >> np.uint64(31)
-    h += words[8:n + 8] * np.uint64(0xC2B2AE3D27D4EB4F)
+    for at in range(8, GRAM, 8):
+        h ^= h >> np.uint64(31)
+        h += words[at:n + at] * np.uint64(0xC2B2AE3D27D4EB4F)
+        h *= np.uint64(0x165667B19E3779F9)
     h ^= h >> np.uint64(29)
     h *= np.uint64(0xBF58476D1CE4E5B9)
     h ^= h >> _SHIFT
@@ -96,7 +100,10 @@ def segments(buffer: bytes, starts: np.ndarray, window: int = WINDOW):
     count = np.diff(np.append(new, len(first)))
     at = first[new]
     owner = text[at]
-    return owner, at - starts[owner], count, h[a[new].astype(np.int64)]
+    # Anchors have low hashes; mixed again, their keys fill all 64 bits evenly.
+    keys = h[a[new].astype(np.int64)] * np.uint64(0x9FB21C651E98DF25)
+    keys ^= keys >> np.uint64(28)
+    return owner, at - starts[owner], count, keys * np.uint64(0xD6E8FEB86659FD93)
 
 
 def _texts(batches, chunk: int = CHUNK_BYTES):
@@ -172,7 +179,7 @@ def _arrow(schema: str) -> pa.Schema:
     return pa.schema([(n, kinds[t]) for n, t in (f.split() for f in schema.split(", "))])
 
 
-def _key_step(window: int, shard_bits: int, held_keys: int = 1 << 21):
+def _key_step(window: int, shard_bits: int, held_keys: int = 1 << 20):
     def step(batches):
         schema, held, size = _arrow(KEY_SCHEMA), [], 0
         for ids, _, buffer, starts in _texts(batches):
@@ -239,24 +246,30 @@ def _segment_step(window: int, shard_bits: int, bits: int, shared):
     def step(batches):
         passing, hot_bits = shared.value
         schema = _arrow(SEGMENT_SCHEMA)
-        held: dict[int, tuple[dict, list]] = {}
+        held: dict[int, tuple[dict, array, array]] = {}
         size = 0
 
-        def put(shard, text, *place):
+        def put(shard, text, anchor, *place):
             nonlocal size
-            texts, places = held.setdefault(shard, ({}, []))
-            places.append((texts.setdefault(text, len(texts)), *place))
-            size += len(text) + 32
+            texts, anchors, places = (held.get(shard)
+                                      or held.setdefault(shard, ({}, array("I"), array("q"))))
+            known = len(texts)
+            places.extend((texts.setdefault(text, known), *place))
+            if len(texts) > known:
+                anchors.append(anchor)
+                size += 250 + len(text)
+            size += 32
 
         def rows():
             out = []
-            for shard, (texts, places) in held.items():
-                segment, doc, digest, start = (np.array(c) for c in zip(*places, strict=True))
+            for shard, (texts, anchors, places) in held.items():
+                segment, doc, digest, start = np.array(places).reshape(-1, 4).T
                 base = int(doc.min())
                 sizes = np.array([len(t) for t in texts])
-                out.append((shard, base, b"".join(texts), _narrow(sizes), _narrow(segment),
-                            _narrow(_from_base(doc.astype(np.int64), base)),
-                            digest.astype(np.uint32).tobytes(), _narrow(start)))
+                out.append((shard, base, pa.compress(b"".join(texts), "zstd", asbytes=True),
+                            _narrow(sizes), anchors.tobytes(), _narrow(segment),
+                            _narrow(_from_base(doc, base)), digest.astype(np.uint32).tobytes(),
+                            _narrow(start)))
             return _records(out, schema)
 
         for ids, texts, buffer, starts in _texts(batches):
@@ -266,19 +279,19 @@ def _segment_step(window: int, shard_bits: int, bits: int, shared):
             found = np.flatnonzero(_bit(passing, (shard << bits) | (low & ((1 << bits) - 1))))
             hot = _bit(hot_bits, low[found] & ((1 << HOT_BITS) - 1))
             digests: dict[int, int] = {}
-            for o, s, c, k, h in zip(owner[found].tolist(), first[found].tolist(),
-                                     count[found].tolist(), shard[found].tolist(), hot.tolist(),
-                                     strict=True):
+            for o, s, c, k, a, h in zip(
+                    owner[found].tolist(), first[found].tolist(), count[found].tolist(),
+                    shard[found].tolist(), low[found].tolist(), hot.tolist(), strict=True):
                 if (digest := digests.get(o)) is None:
                     digest = digests[o] = text_digest(texts[o])
                 text = texts[o]
                 if not h:
-                    put(k, text[s:s + c + window - 1], ids[o], digest, s)
+                    put(k, text[s:s + c + window - 1], a, ids[o], digest, s)
                 else:
                     for w in range(s, s + c):
                         one = text[w:w + window]
-                        put(xxhash.xxh3_64_intdigest(one) >> (64 - shard_bits), one, ids[o],
-                            digest, w)
+                        key = xxhash.xxh3_64_intdigest(one)
+                        put(key >> (64 - shard_bits), one, key & 0xFFFFFFFF, ids[o], digest, w)
             if size > 64 << 20:
                 yield rows()
                 held.clear()
@@ -314,14 +327,22 @@ def _span_step(window: int):
     def step(batches):
         for _, rows in _by_shard(batches):
             texts: dict[bytes, int] = {}
+            anchors = array("I")
             segment, doc, digest, start = [], [], [], []
             for r in rows:
                 n = len(r["digest"]) // 4
                 places = _wide(r["segment"], n).astype(np.int64)
-                sizes = _wide(r["sizes"], int(places.max()) + 1).astype(np.int64)
+                anchor = np.frombuffer(r["anchors"], dtype=np.uint32)
+                sizes = _wide(r["sizes"], len(anchor)).astype(np.int64)
                 ends = np.cumsum(sizes)
-                number = np.array([texts.setdefault(r["texts"][a:b], len(texts)) for a, b in
-                                   zip((ends - sizes).tolist(), ends.tolist(), strict=True)])
+                data = pa.decompress(r["texts"], int(ends[-1]), "zstd", asbytes=True)
+                number = np.empty(len(sizes), dtype=np.int64)
+                for i, (a, b) in enumerate(zip((ends - sizes).tolist(), ends.tolist(),
+                                               strict=True)):
+                    known = len(texts)
+                    number[i] = texts.setdefault(data[a:b], known)
+                    if len(texts) > known:
+                        anchors.append(int(anchor[i]))
                 segment.append(number[places])
                 doc.append(_to_ids(_wide(r["doc"], n), r["base"]))
                 digest.append(np.frombuffer(r["digest"], dtype=np.uint32).astype(np.int64))
@@ -329,22 +350,38 @@ def _span_step(window: int):
             segment, doc, digest, start = map(np.concatenate, (segment, doc, digest, start))
             first = np.full(len(texts), np.iinfo(np.int64).max)
             np.minimum.at(first, segment, doc)
-            least = repeated_windows(list(texts), first, window)
-            spans = _spans(segment, doc, digest, start, least, window)
+            least, offsets = _least_documents(list(texts), np.array(anchors), first, window)
+            spans = _spans(segment, doc, digest, start, least, offsets, window)
             if len(spans[0]):
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in spans],
                                                  names=["doc_id", "digest", "start", "stop"])
     return step
 
 
-def _spans(segment, doc, digest, start, least, window):
+def _least_documents(texts: list[bytes], anchors: np.ndarray, first: np.ndarray, window: int):
+    """The least document of every window of all texts in a row, and where each text starts.
+
+    The windows of a text whose anchor no other text has are found nowhere else; the others
+    are looked up in the index of their texts.
+    """
+    counts = np.array([len(t) for t in texts]) - window + 1
+    offsets = np.concatenate([[0], np.cumsum(counts)])
+    least = np.repeat(first, counts)
+    _, group, size = np.unique(anchors, return_inverse=True, return_counts=True)
+    shared = np.flatnonzero(size[group] > 1)
+    if len(shared):
+        found = repeated_windows([texts[i] for i in shared.tolist()], first[shared], window)
+        for i, row in zip(shared.tolist(), found, strict=True):
+            least[offsets[i]:offsets[i + 1]] = row
+    return least, offsets
+
+
+def _spans(segment, doc, digest, start, least, offsets, window):
     """Maximal runs of windows that a smaller document holds, as byte spans per place."""
-    counts = np.array([len(x) for x in least])[segment]
-    flat = np.concatenate(least)
-    offsets = np.concatenate([[0], np.cumsum([len(x) for x in least])])[segment]
+    counts = np.diff(offsets)[segment]
     place = np.repeat(np.arange(len(segment)), counts)
     within = np.arange(len(place)) - np.repeat(np.cumsum(counts) - counts, counts)
-    gone = flat[offsets[place] + within] < doc[place]
+    gone = least[offsets[segment][place] + within] < doc[place]
     begins = gone.copy()
     begins[1:] &= ~gone[:-1] | (place[1:] != place[:-1])
     stops = gone.copy()
@@ -360,12 +397,16 @@ def _dealt(rows: DataFrame, width: int) -> DataFrame:
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
                    window: int = WINDOW, filter_bits: int = FILTER_BITS,
-                   hot_documents: int = HOT_DOCUMENTS) -> DataFrame:
-    """``(doc_id, digest, start, stop)``: byte spans to remove; they may overlap."""
+                   hot_documents: int = HOT_DOCUMENTS, shards: int | None = None) -> DataFrame:
+    """``(doc_id, digest, start, stop)``: byte spans to remove; they may overlap.
+
+    ``shards`` (default 16 for each shuffle partition) should leave a shard about a megabyte of
+    segments; its index takes some 250 bytes of memory for each of them.
+    """
     spark = docs.sparkSession
     context, width = spark.sparkContext, shuffle_width(spark)
     texts = bodies(docs, id_col, text_col)
-    shard_bits = (4 * width - 1).bit_length()
+    shard_bits = (shards or 16 * width - 1).bit_length()
     bits = max(3, filter_bits - shard_bits)  # of the filter, per shard
     keys = python_rows(texts, _key_step(window, shard_bits), KEY_SCHEMA)
     passing = np.zeros(1 << (shard_bits + bits - 3), dtype=np.uint8)
