@@ -77,12 +77,14 @@ class SortedRuns:
         self.spark, self.buckets, self.fanout = spark, buckets, fanout
         self.folder = folder or scratch_path(spark, "line-runs")
         self.levels: list[list[str]] = []
+        self.made: list[str] = []
 
     def _write(self, rows: DataFrame) -> str:
         """A run: bucketed and sorted by hash.  ``rows`` are already dealt by the hash."""
         name = f"line_run_{uuid.uuid4().hex}"
         (rows.write.format("parquet").option("path", f"{self.folder}/{name}")
          .bucketBy(self.buckets, "line_hash").sortBy("line_hash").saveAsTable(name))
+        self.made.append(name)
         return name
 
     def tables(self) -> list[str]:
@@ -115,7 +117,7 @@ class SortedRuns:
 
     def close(self) -> None:
         """Take the runs out of the session's catalogue; files stay in the folder."""
-        for name in self.tables():
+        for name in self.made:
             self.spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
