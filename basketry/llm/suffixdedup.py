@@ -51,7 +51,7 @@ KEY_SCHEMA = ("shard int, base bigint, keys binary, docs binary, more_keys binar
 FILTER_SCHEMA = "shard int, bits binary, hot binary"
 SEGMENT_SCHEMA = ("shard int, base bigint, texts binary, sizes binary, anchors binary, "
                   "segment binary, doc binary, digest binary, start binary")
-SPAN_SCHEMA = "doc_id bigint, digest bigint, start bigint, stop bigint"
+SPAN_SCHEMA = "doc_id bigint, digest bigint, span bigint"
 
 
 def text_digest(body: bytes) -> int:
@@ -354,7 +354,7 @@ def _span_step(window: int):
             spans = _spans(segment, doc, digest, start, least, offsets, window)
             if len(spans[0]):
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in spans],
-                                                 names=["doc_id", "digest", "start", "stop"])
+                                                 names=["doc_id", "digest", "span"])
     return step
 
 
@@ -388,7 +388,8 @@ def _spans(segment, doc, digest, start, least, offsets, window):
     stops[:-1] &= ~gone[1:] | (place[1:] != place[:-1])
     a, b = np.flatnonzero(begins), np.flatnonzero(stops)
     at = place[a]
-    return doc[at], digest[at], start[at] + within[a], start[at] + within[b] + window
+    first = start[at] + within[a]
+    return doc[at], digest[at], first << 32 | (first + within[b] - within[a] + window)
 
 
 def _dealt(rows: DataFrame, width: int) -> DataFrame:
@@ -398,7 +399,7 @@ def _dealt(rows: DataFrame, width: int) -> DataFrame:
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
                    window: int = WINDOW, filter_bits: int = FILTER_BITS,
                    hot_documents: int = HOT_DOCUMENTS, shards: int | None = None) -> DataFrame:
-    """``(doc_id, digest, start, stop)``: byte spans to remove; they may overlap.
+    """``(doc_id, digest, span)``: bytes to remove, start * 2 ** 32 + stop; spans may overlap.
 
     ``shards`` (default 16 for each shuffle partition) should leave a shard about a megabyte of
     segments; its index takes some 250 bytes of memory for each of them.
@@ -456,7 +457,7 @@ def _cut_step(report: bool):
             rows = []
             for body, found in zip(batch.column("body").to_pylist(),
                                    batch.column("spans").to_pylist(), strict=True):
-                spans = merged([(s["start"], s["stop"]) for s in found or ()])
+                spans = merged([(s >> 32, s & 0xFFFFFFFF) for s in found or ()])
                 kept = without(body, spans)
                 rows.append((len(body), len(body) - len(kept), len(spans),
                              hashlib.sha256(kept).hexdigest() if report
@@ -471,9 +472,12 @@ def _cut_step(report: bool):
 
 
 def _cut(docs: DataFrame, id_col: str, text_col: str, report: bool, carry: str | None, **options):
+    # Dealt before they are gathered: spans of a document rarely meet inside a shard, and rows
+    # travel lighter than partial lists.
     spans = (repeated_spans(docs, id_col, text_col, **options)
-             .groupBy(F.col("doc_id").alias("at_id"), F.col("digest").alias("at_digest"))
-             .agg(F.collect_set(F.struct("start", "stop")).alias("spans")))
+             .select(F.col("doc_id").alias("at_id"), F.col("digest").alias("at_digest"), "span")
+             .repartition(shuffle_width(docs.sparkSession), "at_id", "at_digest")
+             .groupBy("at_id", "at_digest").agg(F.collect_set("span").alias("spans")))
     whole = bodies(docs, id_col, text_col, carry)
     marked = python_rows(whole, _digest_step, T.StructType(
         [*whole.schema.fields, *(T.StructField(n, T.LongType()) for n in ("at_id", "at_digest"))]))
