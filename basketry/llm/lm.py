@@ -8,12 +8,12 @@ whose weights depend on b, the bucket (power of two) of the context's frequency.
 learned by expectation-maximisation on counts held out of the training documents: estimates from
 one part, counts from the other.  The scores then use the counts of all training documents.
 
-P2 is c(v, w) / c(v) for pairs that make up at least ``pair_share`` of the training tokens; the
-mass of the other pairs after v is pooled and spread like the words themselves, so P2 sums to
-one.  There can be no more than 1 / pair_share such pairs and 1 / head_share frequent words,
-however large the corpus is; only these two tables are broadcast.  All other words keep their
-exact counts in a table of their own, which their occurrences meet in a shuffled join; none of
-them is frequent, so that join has no hot key.
+P2 is c(v, w) / c(v) for every pair of the training documents, whatever its count, and every
+word is a context.  Frequent words (``head_share`` of the training tokens and more, so no more
+than 1 / head_share) and frequent pairs (``pair_share``) are broadcast; this is a fast path only
+and changes no score.  The counts of all pairs are a table dealt by pair.  An occurrence of any
+other pair meets its row there in a shuffled join; such a pair is not frequent, so that join has
+no hot key.  Infrequent words are known by 63 bits of their xxhash64.
 
 A document is its words and one end; the end is also the context of the first word.
 
@@ -31,6 +31,7 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -46,10 +47,12 @@ COUNTER_WORDS = 400_000
 BUCKETS = 64
 
 COUNT_SCHEMA = "word binary, n_fit bigint, n_tune bigint"
-PAIR_SCHEMA = "pair bigint, n_fit bigint, n_tune bigint"
+PAIR_SCHEMA = "v bigint, w bigint, n_fit bigint, n_tune bigint"
 HISTOGRAM_SCHEMA = "bucket int, q2 int, q1 int, n bigint"
-SCORE_SCHEMA = ("tag bigint, doc_id bigint, n_tokens bigint, n_known bigint, base double, "
-                "score double, word binary, a double, bucket int")
+VALUE_SCHEMA = "v bigint, w bigint, value double, w_n bigint"
+SCORE_SCHEMA = ("tag bigint, v bigint, w bigint, n bigint, doc struct<doc_id: bigint, "
+                "n_tokens: bigint, n_known: bigint, base: double, score: double>")
+HASH_SEED = 42  # as in Spark's xxhash64
 _STEP = 0.25  # of the natural logarithms in the tuning histogram
 _NONE = -1_000_000
 
@@ -99,7 +102,7 @@ def _count_step(batches):
 
 @dataclass
 class Counts:
-    """What is broadcast.  Words with number 0 .. ``n_model`` - 1 may form pairs; 0 is the end."""
+    """What is broadcast.  Words 0 .. ``n_model`` - 1 may form broadcast pairs; 0 is the end."""
 
     numbers: dict[bytes, int]
     fit: np.ndarray
@@ -148,6 +151,15 @@ class Estimates:
     def unigram(self, word: np.ndarray) -> np.ndarray:
         return np.where(word >= 0, self.words[word], 0.0) / self.total
 
+    def frequent(self, context: np.ndarray, word: np.ndarray) -> np.ndarray:
+        """P2 of the broadcast pairs, -1 for all others."""
+        c = self.counts
+        if not len(c.pairs):
+            return np.full(len(word), -1.0)
+        code = np.where((context >= 0) & (word >= 0), context * c.n_model + word, -1)
+        at = np.minimum(np.searchsorted(c.pairs, code), len(c.pairs) - 1)
+        return np.where(c.pairs[at] == code, self.pair[at], -1.0)
+
     def bigram(self, context: np.ndarray, word: np.ndarray) -> np.ndarray:
         c = self.counts
         p = self.rest(context) * self.unigram(word)
@@ -160,39 +172,67 @@ class Estimates:
 
 
 def _numbered(texts: list[bytes], numbers: dict[bytes, int]):
-    """Words of all texts in a row, their numbers (-1: not frequent), contexts, and text starts."""
+    """Ids of all words in a row, contexts, and text starts; ids of infrequent words are negative."""
     words, starts = [], []
     for body in texts:
         starts.append(len(words))
         words += tokens(body)
     ids = np.array(list(map(numbers.get, words, repeat(-1))), dtype=np.int64)
+    rare = np.flatnonzero(ids < 0)
+    digest = xxhash.xxh64_intdigest
+    ids[rare] = np.array([digest(words[i], HASH_SEED) | 1 << 63 for i in rare.tolist()],
+                         dtype=np.uint64).view(np.int64)
     context = np.empty_like(ids)
     context[1:] = ids[:-1]
     context[starts] = 0
-    return words, ids, context, np.array(starts)
+    return ids, context, np.array(starts)
+
+
+def _mixed(v: np.ndarray, w: np.ndarray) -> np.ndarray:
+    mixed = v.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    mixed = (mixed ^ mixed >> np.uint64(29)) + w.view(np.uint64)
+    mixed *= np.uint64(0xBF58476D1CE4E5B9)
+    return mixed ^ mixed >> np.uint64(32)
 
 
-def _pair_step(numbers, n_model: int):
+def _grouped(key: np.ndarray, *columns: np.ndarray):
+    """Order by ``key``, and where a run of equal ``columns`` starts in that order."""
+    order = np.argsort(key)
+    new = np.zeros(len(order), dtype=bool)
+    new[:1] = True
+    for x in columns:
+        x = x[order]
+        new[1:] |= x[1:] != x[:-1]
+    return order, np.flatnonzero(new)
+
+
+def _pair_step(shared):
+    """Partial counts of all pairs; columns are doc_id, body, fold.
+
+    Of held-out texts only pairs with an infrequent word are given, with counts of zero, so that
+    the table of pairs has a row for each pair that cannot be scored without it.
+    """
     def step(batches):
-        held: list[tuple[np.ndarray, np.ndarray]] = []
+        numbers = shared.value
+        held: list[tuple[np.ndarray, ...]] = []
         size = 0
 
         def rows():
-            codes, tune = (np.concatenate(x) for x in zip(*held, strict=True))
-            found, inverse = np.unique(codes, return_inverse=True)
-            n_tune = np.bincount(inverse, weights=tune, minlength=len(found)).astype(np.int64)
-            n_all = np.bincount(inverse, minlength=len(found)).astype(np.int64)
+            v, w, fit, tune = (np.concatenate(x) for x in zip(*held, strict=True))
+            order, first = _grouped(_mixed(v, w), v, w)
+            at = order[first]
             return pa.RecordBatch.from_arrays(
-                [pa.array(found), pa.array(n_all - n_tune), pa.array(n_tune)],
-                names=["pair", "n_fit", "n_tune"])
+                [pa.array(v[at]), pa.array(w[at]),
+                 *(pa.array(np.add.reduceat(x[order].astype(np.int64), first))
+                   for x in (fit, tune))], names=["v", "w", "n_fit", "n_tune"])
 
         for _, texts, folds in chunks(batches):
-            _, ids, context, starts = _numbered(texts, numbers.value)
-            both = (ids >= 0) & (ids < n_model) & (context >= 0) & (context < n_model)
-            lengths = np.diff(np.append(starts, len(ids)))
-            tune = np.repeat(np.array(folds) == TUNING, lengths)
-            held.append((context[both] * n_model + ids[both], tune[both]))
-            size += int(both.sum())
+            ids, context, starts = _numbered(texts, numbers)
+            at = np.repeat(np.array(folds), np.diff(np.append(starts, len(ids))))
+            took = (at != HELD_OUT) | (ids < 0) | (context < 0)
+            held.append((context[took], ids[took], ((at != TUNING) & (at != HELD_OUT))[took],
+                         (at == TUNING)[took]))
+            size += int(took.sum())
             if size > 4_000_000:
                 yield rows()
                 held, size = [], 0
@@ -206,22 +246,34 @@ def _quantised(p: np.ndarray) -> np.ndarray:
         return np.where(p > 0, np.round(np.log(p) / _STEP), _NONE).astype(np.int64)
 
 
+def _with_counts(batch, counts: Counts, all_of: bool):
+    """Words of pairs, and counts of pairs, contexts and words."""
+    table = {name: batch.column(name).to_numpy(zero_copy_only=False)
+             for name in batch.schema.names}
+    head = counts.fit + counts.tune if all_of else counts.fit
+    count = lambda x: table[f"{x}_fit"] + table[f"{x}_tune"] if all_of else table[f"{x}_fit"]
+    of = lambda x: np.where(table[x] >= 0, head[np.maximum(table[x], 0)], count(x))
+    return table["v"], table["w"], count("n"), of("v"), of("w")
+
+
+def _buckets(n: np.ndarray) -> np.ndarray:
+    found = np.where(n > 0, np.floor(np.log2(np.maximum(n, 1))) + 1, 0)
+    return np.minimum(found, BUCKETS - 1).astype(np.int64)
+
+
 def _histogram_step(shared):
-    """Counts of (bucket, P2, P1) over held-out tokens; infrequent words share one P1, none."""
+    """Counts of (bucket, P2, P1) over held-out tokens, from the pairs they have."""
     def step(batches):
-        numbers, counts = shared.value
-        model = Estimates(counts, all_of=False)
+        counts = shared.value
         found: Counter = Counter()
-        for _, texts in chunks(batches):
-            _, ids, context, _ = _numbered(texts, numbers)
-            p1, p2 = model.unigram(ids), model.bigram(context, ids)
-            # Of an infrequent word P2 is a share of its P1; the share is kept, as q1 = none - 1.
-            tail = ids < 0
-            q1 = np.where(tail, _NONE - 1, _quantised(p1))
-            q2 = _quantised(np.where(tail, model.rest(context), p2))
-            keys, n = np.unique(np.stack([model.bucket(context), q2, q1]), axis=1,
-                                return_counts=True)
-            for key, k in zip(keys.T.tolist(), n.tolist(), strict=True):
+        for batch in batches:
+            _, _, n, n_v, n_w = _with_counts(batch, counts, all_of=False)
+            q2 = _quantised(n / np.maximum(n_v, 1))
+            q1 = _quantised(n_w / max(1, counts.n_fit))
+            keys, at = np.unique(np.stack([_buckets(n_v), q2, q1]), axis=1, return_inverse=True)
+            n_tune = batch.column("n_tune").to_numpy(zero_copy_only=False)
+            held_out = np.bincount(at.ravel(), weights=n_tune, minlength=keys.shape[1])
+            for key, k in zip(keys.T.tolist(), held_out.astype(np.int64).tolist(), strict=True):
                 found[tuple(key)] += k
         if found:
             yield pa.RecordBatch.from_arrays(
@@ -270,48 +322,71 @@ def fit_weights(histogram: list[tuple[int, int, int, int]], tail: list[tuple[flo
     return weights
 
 
+def _value_step(shared):
+    """Scores of the pairs that are not broadcast.
+
+    Between frequent words it is what the pair adds to the score of a pair never seen, else the
+    whole score; ``w_n`` is the count of an infrequent word.
+    """
+    def step(batches):
+        counts, weights = shared.value
+        model = Estimates(counts, all_of=True)
+        for batch in batches:
+            v, w, n, n_v, n_w = _with_counts(batch, counts, all_of=True)
+            share = weights[_buckets(n_v)]
+            unseen = share[:, 0] * model.uniform + share[:, 1] * n_w / model.total
+            value = np.log10(unseen + share[:, 2] * n / np.maximum(n_v, 1))
+            value = np.where((v >= 0) & (w >= 0), value - np.log10(unseen), value)
+            at = np.flatnonzero(model.frequent(v, w) < 0)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(x[at]) for x in (v, w, value, np.where(w < 0, n_w, 0))],
+                names=["v", "w", "value", "w_n"])
+    return step
+
+
 def _score_step(shared):
+    """A row per text with the sums over its frequent words and pairs, and a row per other pair."""
     def step(batches):
         numbers, counts, weights = shared.value
         model = Estimates(counts, all_of=True)
         base_of = model.total + counts.n_types + 1 if counts.total else 1.0
         tag = TaskContext.get().partitionId() << 40
         for ids_in, texts in chunks(batches):
-            words, ids, context, starts = _numbered(texts, numbers)
-            bucket, rest = model.bucket(context), model.rest(context)
-            w = weights[bucket]
-            p = (w[:, 0] * model.uniform + w[:, 1] * model.unigram(ids)
-                 + w[:, 2] * model.bigram(context, ids))
+            ids, context, starts = _numbered(texts, numbers)
+            w = weights[model.bucket(context)]
             head = ids >= 0
-            known = head & (model.words[np.maximum(ids, 0)] > 0)
             count = np.where(head, model.words[np.maximum(ids, 0)], 0)
+            p2 = model.frequent(context, ids)
+            p = (w[:, 0] * model.uniform + w[:, 1] * count / model.total
+                 + w[:, 2] * np.maximum(p2, 0))
             base = np.where(head, np.log10((count + 1) / base_of), 0.0)
-            score = np.where(head, np.log10(p), 0.0)
-            sums = [np.add.reduceat(x, starts) for x in (known.astype(np.int64), base, score)]
+            score = np.where(head & (context >= 0), np.log10(p), 0.0)
+            known = (head & (count > 0)).astype(np.int64)
+            sums = [np.add.reduceat(x, starts) for x in (known, base, score)]
+            n = np.diff(np.append(starts, len(ids)))
+            other = np.flatnonzero(p2 < 0)
+            text = np.repeat(np.arange(len(texts)), n)[other]
+            v, w = context[other], ids[other]
+            order, first = _grouped(text.astype(np.uint64) << np.uint64(40)
+                                    | _mixed(v, w) >> np.uint64(24), text, v, w)
+            at = order[first]
+            each = np.diff(np.append(first, len(order)))
             tags = tag + np.arange(len(texts))
             tag += len(texts)
-            n = np.diff(np.append(starts, len(ids)))
-            at = np.flatnonzero(~head)
-            a = (w[at, 1] + w[at, 2] * rest[at]) / model.total
-            m, none = len(at), len(texts)
+            m = len(at)
+            doc = pa.StructArray.from_arrays(
+                [pa.array(ids_in, pa.int64()), *map(pa.array, (n, *sums))],
+                names=["doc_id", "n_tokens", "n_known", "base", "score"])
+            # A text's own row has a pair that no table holds: word -1 - tag after itself.
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate([tags, np.repeat(tags, n)[at]])),
-                 pa.array(ids_in + [None] * m, pa.int64()),
-                 *(_padded(x, m) for x in (n, *sums)),
-                 pa.array([None] * none + [words[i] for i in at.tolist()], pa.binary()),
-                 pa.concat_arrays([pa.nulls(none, pa.float64()), pa.array(a)]),
-                 pa.concat_arrays([pa.nulls(none, pa.int32()),
-                                   pa.array(bucket[at].astype(np.int32))])],
-                names=["tag", "doc_id", "n_tokens", "n_known", "base", "score", "word", "a",
-                       "bucket"])
+                [pa.array(np.concatenate([tags, tags[text[at]]])),
+                 pa.array(np.concatenate([tags, v[at]])), pa.array(np.concatenate([-1 - tags, w[at]])),
+                 pa.array(np.concatenate([np.zeros(len(texts), np.int64), each])),
+                 pa.concat_arrays([doc, pa.nulls(m, doc.type)])],
+                names=["tag", "v", "w", "n", "doc"])
     return step
 
 
-def _padded(values: np.ndarray, m: int) -> pa.Array:
-    found = pa.array(values)
-    return pa.concat_arrays([found, pa.nulls(m, found.type)])
-
-
 def count_words(training: DataFrame) -> DataFrame:
     """``(word, n_fit, n_tune)`` over all training documents, written once."""
     counted = python_rows(training, _count_step, COUNT_SCHEMA)
@@ -319,10 +394,24 @@ def count_words(training: DataFrame) -> DataFrame:
                                                    F.sum("n_tune").alias("n_tune")), "words")
 
 
-def gather(training: DataFrame, vocabulary: DataFrame, head_share: float,
-           pair_share: float) -> Counts:
-    """The bounded tables: frequent words and frequent pairs."""
-    spark = training.sparkSession
+def _once(df: DataFrame, name: str) -> DataFrame:
+    """``materialise`` that leaves no shuffle files behind."""
+    conf, key = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(key)
+    conf.set(key, "true")
+    try:
+        return materialise(df, name)
+    finally:
+        conf.set(key, before)
+
+
+def gather(texts: DataFrame, vocabulary: DataFrame, head_share: float,
+           pair_share: float) -> tuple[Counts, DataFrame]:
+    """The bounded tables of frequent words and pairs, and the table of all pairs.
+
+    ``texts`` are all texts, with their folds.
+    """
+    spark = texts.sparkSession
     n = F.col("n_fit") + F.col("n_tune")
     sums = vocabulary.agg(F.sum("n_fit"), F.sum("n_tune"), F.count(F.lit(1)),
                           F.count_if(F.col("n_fit") > 0)).first()
@@ -339,36 +428,52 @@ def gather(training: DataFrame, vocabulary: DataFrame, head_share: float,
     numbers = {w: i for i, (w, _, _) in enumerate(order)}
     fit, tune = (np.array([r[i] for r in order], dtype=np.int64) for i in (1, 2))
     least = max(2.0, pair_share * total)
-    n_model = 1 + int((fit[1:] + tune[1:] >= least).sum())
-    pairs = (python_rows(training, _pair_step(spark.sparkContext.broadcast(numbers), n_model),
-                         PAIR_SCHEMA)
-             .groupBy("pair").agg(F.sum("n_fit").alias("n_fit"), F.sum("n_tune").alias("n_tune"))
-             .where(n >= least).toArrow().sort_by("pair"))  # <= 1 / pair_share rows
+    n_model = len(order)
+    pairs = _once(python_rows(texts, _pair_step(spark.sparkContext.broadcast(numbers)), PAIR_SCHEMA)
+                  .groupBy("v", "w").agg(F.sum("n_fit").alias("n_fit"),
+                                         F.sum("n_tune").alias("n_tune")), "pairs")
+    top = (pairs.where((n >= least) & (F.col("v") >= 0) & (F.col("w") >= 0))
+           .select((F.col("v") * n_model + F.col("w")).alias("pair"), "n_fit", "n_tune")
+           .toArrow().sort_by("pair"))  # <= 1 / pair_share rows
     return Counts(numbers, fit, tune, n_model, n_fit, n_tune, n_types, fit_types,
-                  *(pairs.column(i).to_numpy().astype(np.int64) for i in range(3)))
+                  *(top.column(i).to_numpy().astype(np.int64) for i in range(3))), pairs
 
 
-def tail_estimates(vocabulary: DataFrame, counts: Counts, head_share: float):
-    """P1 of infrequent words and the share of their held-out tokens, in steps of the logarithm."""
+def infrequent(vocabulary: DataFrame, counts: Counts, head_share: float) -> DataFrame:
+    """``(id, n_fit, n_tune)`` of the words that are not broadcast."""
     n = F.col("n_fit") + F.col("n_tune")
-    step = F.when(F.col("n_fit") > 0, F.round(F.log(F.col("n_fit").cast("double")) / _STEP)
-                  .cast("int")).otherwise(_NONE)
-    rows = (vocabulary.where((n < max(1.0, head_share * counts.total)) & (F.col("n_tune") > 0))
-            .groupBy(step.alias("q")).agg(F.sum("n_tune").alias("n")).collect())
-    total = sum(r["n"] for r in rows) or 1
-    return [(0.0 if r["q"] == _NONE else math.exp(r["q"] * _STEP) / max(1, counts.n_fit),
-             r["n"] / total) for r in sorted(rows)]
-
-
-def learn_weights(tuning: DataFrame, vocabulary: DataFrame, counts: Counts,
-                  head_share: float) -> np.ndarray:
-    """Mixture weights from the counts of held-out training documents."""
-    shared = tuning.sparkSession.sparkContext.broadcast((counts.numbers, counts))
-    histogram = (python_rows(tuning, _histogram_step(shared), HISTOGRAM_SCHEMA)
-                 .groupBy("bucket", "q2", "q1").agg(F.sum("n").alias("n")))
+    rare = vocabulary.where((n < max(1.0, head_share * counts.total))
+                            & (F.col("word") != F.lit(END)))
+    return _once(rare.groupBy(F.xxhash64("word").bitwiseOR(F.lit(-1 << 63)).alias("id"))
+                 .agg(F.sum("n_fit").alias("n_fit"), F.sum("n_tune").alias("n_tune")), "rare")
+
+
+def counted_pairs(pairs: DataFrame, rare: DataFrame) -> DataFrame:
+    """``pairs`` with the counts of their infrequent words, 0 for frequent ones.
+
+    No key of these joins is hot: a pair is there once, and its word is infrequent.
+    """
+    zero = F.lit(0).cast("bigint")
+    found = pairs.select("v", "w", "n_fit", "n_tune")
+    for side in ("v", "w"):
+        named = rare.select(F.col("id").alias(side), F.col("n_fit").alias("fit"),
+                            F.col("n_tune").alias("tune"))
+        low = found.where(F.col(side) < 0).join(named, side, "left").select(
+            *found.columns, F.coalesce("fit", zero).alias(f"{side}_fit"),
+            F.coalesce("tune", zero).alias(f"{side}_tune"))
+        found = low.unionAll(found.where(F.col(side) >= 0).select(
+            "*", zero.alias(f"{side}_fit"), zero.alias(f"{side}_tune")))
+    return found
+
+
+def learn_weights(pairs: DataFrame, rare: DataFrame, counts: Counts) -> np.ndarray:
+    """Mixture weights from the pairs of held-out training documents."""
+    shared = pairs.sparkSession.sparkContext.broadcast(counts)
+    held_out = counted_pairs(pairs.where("n_tune > 0"), rare)
+    histogram = _once(python_rows(held_out, _histogram_step(shared), HISTOGRAM_SCHEMA)
+                      .groupBy("bucket", "q2", "q1").agg(F.sum("n").alias("n")), "histogram")
     return fit_weights([tuple(r) for r in histogram.collect()],  # bounded by the three scales
-                       tail_estimates(vocabulary, counts, head_share),
-                       Estimates(counts, all_of=False).uniform)
+                       [], Estimates(counts, all_of=False).uniform)
 
 
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
@@ -381,30 +486,27 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
     spark = docs.sparkSession
     texts = bodies(docs, id_col, text_col)
     at = fold(F.col("doc_id"))
-    training = texts.withColumn("fold", at.cast("int")).where(F.col("fold") != HELD_OUT)
-    vocabulary = count_words(training)
-    counts = gather(training, vocabulary, head_share, pair_share)
+    folds = texts.withColumn("fold", at.cast("int"))
+    vocabulary = count_words(folds.where(F.col("fold") != HELD_OUT))
+    counts, pairs = gather(folds, vocabulary, head_share, pair_share)
+    rare = infrequent(vocabulary, counts, head_share)
     if weights is None:
-        weights = learn_weights(texts.where(at == TUNING), vocabulary, counts, head_share)
-    shared = spark.sparkContext.broadcast((counts.numbers, counts, weights))
-    scored = materialise(python_rows(texts, _score_step(shared), SCORE_SCHEMA), "scores")
+        weights = learn_weights(pairs, rare, counts)
+    context = spark.sparkContext
+    values = python_rows(counted_pairs(pairs, rare),
+                         _value_step(context.broadcast((counts, weights))), VALUE_SCHEMA)
+    rows = python_rows(texts, _score_step(context.broadcast((counts.numbers, counts, weights))),
+                       SCORE_SCHEMA)
 
-    # Infrequent words: their exact counts, from the table of all words.
-    n = F.coalesce(F.col("n_fit") + F.col("n_tune"), F.lit(0))
     base_of = float(counts.total + counts.n_types + 1)
-    uniform = F.element_at(F.lit((weights[:, 0] / (counts.n_types + 1)).tolist()),
-                           F.col("bucket") + 1)
-    rare = (scored.where("word is not null").select("tag", "word", "a", "bucket")
-            .join(vocabulary, "word", "left")
-            .groupBy("tag").agg(
-                F.count_if(n > 0).alias("rare_known"),
-                F.sum(F.log10((n + 1) / base_of)).alias("rare_base"),
-                F.sum(F.log10(F.col("a") * n + uniform)).alias("rare_score")))
-    rows = scored.where("word is null").select("tag", "doc_id", "n_tokens", "n_known", "base",
-                                               "score")
-    add = lambda x, y: F.col(x) + F.coalesce(F.col(y), F.lit(0))
-    return rows.join(rare, "tag", "left").select(
-        "doc_id", (at == HELD_OUT).alias("held_out"), "n_tokens",
-        add("n_known", "rare_known").alias("n_known"),
-        F.lit(counts.total).cast("bigint").alias("train_tokens"),
-        add("base", "rare_base").alias("base_score"), add("score", "rare_score").alias("score"))
+    n, w_n = F.col("n"), F.coalesce("w_n", F.lit(0))
+    other = F.col("doc").isNull() & (F.col("w") < 0)  # a pair whose word is infrequent
+    total = lambda name, x: F.sum(F.coalesce(F.col(f"doc.{name}"), x))
+    return (rows.join(values, ["v", "w"], "left").groupBy("tag").agg(
+        F.max("doc.doc_id").alias("doc_id"), F.sum("doc.n_tokens").alias("n_tokens"),
+        total("n_known", F.when(other & (w_n > 0), n).otherwise(0)).alias("n_known"),
+        total("base", F.when(other, n * F.log10((w_n + 1) / base_of)).otherwise(0.0))
+        .alias("base_score"),
+        total("score", n * F.coalesce("value", F.lit(0.0))).alias("score"))
+        .select("doc_id", (at == HELD_OUT).alias("held_out"), "n_tokens", "n_known",
+                F.lit(counts.total).cast("bigint").alias("train_tokens"), "base_score", "score"))

@@ -100,3 +100,31 @@ def test_held_out_beats_base(spark):
     got = lm.score(docs).where("held_out").selectExpr(
         "sum(score) / sum(n_tokens) m", "sum(base_score) / sum(n_tokens) b").first()
     assert got.m > got.b + 0.05, got
+
+
+def test_every_pair_counts(spark):
+    """Scores equal the mixture over the counts of all pairs, however few words are broadcast."""
+    table = rows()
+    weights = lm.fit_weights([(b, -8, -9, 50 + b) for b in range(1, 9)], [], 1e-3)
+    words, pairs = Counter(), Counter()
+    for i, x in table:
+        if fold(i) != 2:
+            ts = tokens(x)
+            words.update(ts)
+            pairs.update(zip([None, *ts], ts))
+    n, types = sum(words.values()), len(words)
+
+    def brute_score(ts):
+        out = 0.0
+        for v, w in zip([None, *ts], ts):
+            l0, l1, l2 = weights[words[v].bit_length()]
+            out += math.log10(l0 / (types + 1) + l1 * words[w] / n
+                              + l2 * pairs[v, w] / max(1, words[v]))
+        return out
+
+    want = sorted((repr(i), len(tokens(x)), brute_score(tokens(x))) for i, x in table)
+    for head, pair in ((1e-6, 5e-6), (0.004, 0.008), (0.9, 0.9)):
+        got = sorted((repr(r.doc_id), r.n_tokens, r.score) for r in lm.score(
+            frame(spark, table), head_share=head, pair_share=pair, weights=weights).collect())
+        for a, b in zip(got, want, strict=True):
+            assert a[:2] == b[:2] and math.isclose(a[2], b[2], rel_tol=1e-9), (head, a, b)
