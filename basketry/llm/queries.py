@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from basketry.llm import (alignment, bytepairs, exactdedup, linededup, lm, oracle, packing, pieces, quality,
-                          sentencepieces, simhash, suffixdedup, urlfilter)
+from basketry.llm import (alignment, bytepairs, exactdedup, linededup, lm, oracle, packing, pieces,
+                          prefixtrie, quality, sentencepieces, simhash, suffixdedup, urlfilter)
 from basketry.llm.common import read_documents
 
 
@@ -53,6 +53,10 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
         "base_failed", "kept", "p_good")
 
 
+def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefixtrie.prefix_trie(spark.read.parquet(f"{folder}/conversations.parquet"))
+
+
 def op12_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bytepairs.digests(bytepairs.decode(bytepairs.encode(read_documents(spark, folder))))
 
@@ -64,7 +68,7 @@ def op13_alignment(spark: SparkSession, folder: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (op1_token_packing, op2_url_filter, op3_line_dedup, op4_exact_dedup, op5_simhash,
              op6_sentencepiece, op7_suffix_dedup, op8_lm_scoring, op9_packing, op10_quality_rules,
-             op12_byte_bpe, op13_alignment)
+             op11_prefix_trie, op12_byte_bpe, op13_alignment)
     return {f.__name__: f for f in found}
 
 
