@@ -119,7 +119,46 @@ SELECT page_id, host, path, rule,
             WHEN v.blocked THEN 'block' ELSE 'allow' END AS verdict
 FROM rows LEFT JOIN verdicts v ON v.k = rows.k"""
 
+# list_reduce goes through the bits of each decimal digit: the checksum 0xEDB88320, reflected.
+TRIE = """
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+           FROM conversations WHERE conv_id IS NOT NULL),
+own AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(
+            octet_length(encode(role)) || ':' || role || text)) AS d
+        FROM t),
+convs AS (SELECT DISTINCT conv_id FROM t),
+taken AS (SELECT conv_id, conv_id - conv_id % 5 AS family, xor(4294967295, list_reduce(
+              list_prepend(4294967295, list_transform(string_split(CAST(conv_id AS VARCHAR), ''),
+                                                      lambda x: CAST(ascii(x) AS BIGINT))),
+              lambda crc, b: list_reduce(list_prepend(xor(crc, b), range(8)), lambda c, i:
+                  xor(c >> 1, 3988292384 * (c & 1))))) % 9 AS h FROM convs),
+built AS (SELECT k.conv_id, 0 AS part, o.d, o.role, o.text
+          FROM taken k JOIN own o ON o.conv_id = k.family AND o.d <= k.h
+          UNION ALL SELECT o.conv_id, 1, o.d, o.role, o.text
+          FROM own o JOIN taken k ON k.conv_id = o.conv_id AND o.d > k.h),
+seq AS (SELECT conv_id, row_number() OVER w AS depth, octet_length(encode(text)) AS size,
+               sha256(string_agg(octet_length(encode(role)) || ':' || octet_length(encode(text))
+                      || ':' || role || text, '') OVER w) AS k
+        FROM built WINDOW w AS (PARTITION BY conv_id ORDER BY part, d)),
+path AS (SELECT conv_id, depth, size, k, lag(k, 1, '') OVER (PARTITION BY conv_id ORDER BY depth)
+                AS parent FROM seq
+         UNION ALL SELECT conv_id, 0, 0, '', NULL FROM convs),
+node AS (SELECT k, min(conv_id) AS conv_id, any_value(depth) AS depth, any_value(parent) AS parent,
+                count(*) AS n_convs, (count(*) - 1) * any_value(size) AS saved FROM path GROUP BY k),
+child AS (SELECT parent AS k, count(*) AS n_children FROM node WHERE parent IS NOT NULL GROUP BY 1),
+below AS (SELECT p.k, count(*) FILTER (WHERE c.k IS NULL) AS n_leaves, sum(n.saved) AS saved_tokens
+          FROM node n JOIN path p ON p.conv_id = n.conv_id AND p.depth <= n.depth
+          LEFT JOIN child c ON c.k = n.k GROUP BY p.k),
+finish AS (SELECT arg_max(k, depth) AS k, conv_id FROM path GROUP BY conv_id),
+ended AS (SELECT k, string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) AS ids
+          FROM finish GROUP BY k)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs,
+       coalesce(c.n_children, 0) AS n_children, b.n_leaves,
+       CAST(b.saved_tokens AS BIGINT) AS saved_tokens, sha256(coalesce(e.ids, '')) AS ends_sha256
+FROM node n LEFT JOIN node p ON p.k = n.parent LEFT JOIN child c ON c.k = n.k
+JOIN below b ON b.k = n.k LEFT JOIN ended e ON e.k = n.k"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {"op2_url_filter": URLS, "op3_line_dedup": LINES, "op4_exact_dedup": COPIES,
-            "op7_suffix_dedup": PASSAGES}
+            "op7_suffix_dedup": PASSAGES, "op11_prefix_trie": TRIE}
