@@ -5,6 +5,9 @@ from __future__ import annotations
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -56,11 +59,16 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+_SCOPES: ContextVar[tuple[list[str], ...]] = ContextVar("scratch scopes", default=())
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
     path = f"{shared_folder(spark)}/basketry/{name}-{uuid.uuid4().hex}"
     context = spark.sparkContext
     context._basketry_scratch = [*scratch_paths(spark), path]
+    for scope in _SCOPES.get():
+        scope.append(path)
     return path
 
 
@@ -69,17 +77,33 @@ def scratch_paths(spark: SparkSession) -> list[str]:
     return getattr(spark.sparkContext, "_basketry_scratch", [])
 
 
+@contextmanager
+def scratch_scope() -> Iterator[list[str]]:
+    """The paths that this thread takes inside the block, so that it can drop its own only."""
+    own: list[str] = []
+    token = _SCOPES.set((*_SCOPES.get(), own))
+    try:
+        yield own
+    finally:
+        _SCOPES.reset(token)
+
+
+def drop_paths(spark: SparkSession, paths: list[str]) -> None:
+    """Delete scratch paths; tables that are still to be computed must not read from them."""
+    context, gone = spark.sparkContext, set(paths)
+    for path in gone:
+        folder = context._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
+    context._basketry_scratch = [p for p in scratch_paths(spark) if p not in gone]
+
+
 def drop_scratch(spark: SparkSession, keep: list[str] = ()) -> int:
     """Delete the session's scratch paths but for ``keep``; gives the number of paths.
 
     For the end of a job: tables that are still to be computed may read from these paths.
     """
-    context = spark.sparkContext
     paths = [p for p in scratch_paths(spark) if p not in set(keep)]
-    for path in paths:
-        folder = context._jvm.org.apache.hadoop.fs.Path(path)
-        folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
-    context._basketry_scratch = [p for p in scratch_paths(spark) if p in set(keep)]
+    drop_paths(spark, paths)
     return len(paths)
 
 

@@ -39,3 +39,17 @@ def test_scratch_is_dropped(spark):
     assert session.drop_scratch(spark) >= 1
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         spark.read.parquet(path)
+
+
+def test_scopes_know_their_own_paths(spark):
+    outer = session.scratch_path(spark, "outer")
+    with session.scratch_scope() as first:
+        a = session.scratch_path(spark, "a")
+        with session.scratch_scope() as second:
+            b = session.scratch_path(spark, "b")
+            spark.range(3).write.parquet(b)
+    assert first == [a, b] and second == [b]
+    session.drop_paths(spark, second)
+    assert b not in session.scratch_paths(spark) and outer in session.scratch_paths(spark)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(b)
