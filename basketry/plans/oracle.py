@@ -586,6 +586,22 @@ def oracle_sql() -> dict[str, str]:
             "(SELECT user_id, count(*) AS n FROM pairs WHERE user_id = "
             "(SELECT min(user_id) FROM pairs) GROUP BY user_id)",
             "(SELECT DISTINCT item_id FROM pairs)"), "pairs"),
+        "baseline_topk_work": _with(
+            ", n AS (SELECT count(DISTINCT user_id) AS users, count(DISTINCT item_id) AS items "
+            "FROM pairs), lists AS (SELECT least(10, items - count(*)) AS k FROM pairs, n "
+            "GROUP BY user_id, items) "
+            "SELECT 'pairs' AS fact, users * items AS value FROM n UNION ALL "
+            "SELECT 'list_rows', CAST(sum(k) AS BIGINT) FROM lists UNION ALL "
+            "SELECT 'products_above_half_the_pairs', 0", "pairs"),
+        "sgd_quality": _with(
+            ", s AS (SELECT *, substr(md5(CAST(user_id AS VARCHAR) || '-' || CAST(item_id AS VARCHAR) "
+            "|| '-42'), 1, 8) < 'cccccccc' AS train FROM pairs) "
+            "SELECT 'train_rows' AS fact, count(*) AS value FROM s WHERE train UNION ALL "
+            "SELECT 'test_rows', count(*) FROM s WHERE NOT train UNION ALL "
+            "SELECT 'users', count(DISTINCT user_id) FROM s WHERE train UNION ALL "
+            "SELECT 'items', count(DISTINCT item_id) FROM s WHERE train UNION ALL "
+            "SELECT * FROM (VALUES ('epochs', 20), ('rising_epochs', 0), "
+            "('no_better_than_biases', 0)) v(fact, value)", "pairs"),
         "als_topk": _with(_list_facts(
             "(SELECT user_id, count(*) AS n FROM pairs GROUP BY user_id)",
             "(SELECT DISTINCT item_id FROM pairs)"), "pairs"),

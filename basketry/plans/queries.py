@@ -9,10 +9,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from basketry.functions.cleaning import plausible_age
 from basketry.functions.scores import RATING_HIGH, RATING_LOW
 from basketry.operators import (content, eda, factor_model, features, metrics, prepare, profiling,
-                                quality, ranking, upsert)
+                                quality, ranking, sgd, upsert)
 from basketry.plans import pipeline
 from basketry.schemas import INTERACTION_COLUMNS, PRODUCT_COLUMNS, USER_COLUMNS, VIEW_MODES
-from basketry.session import materialise, scratch_path
+from basketry.session import materialise, scratch_path, scratch_paths
 from basketry.sources import bindings, files
 from basketry.sources.feature_store import FeatureStore, feature_definitions
 from basketry.sources.lake import Lake
@@ -454,25 +454,62 @@ def recommendation_sample(spark, folder):
 @query
 def model_saved_and_served(spark, folder):
     """A model that is saved, loaded again and asked for the list of one user."""
-    rows = order_triples(spark, folder)
-    model = factor_model.fit_factor_model(rows, rank=8, iterations=3)
+    loaded, rows = _model(spark, folder)
     path = scratch_path(spark, "saved-model")
-    model.save(path)
-    loaded = factor_model.FactorModel.load(spark, path)
+    loaded.save(path)
+    again = factor_model.FactorModel.load(spark, path)
     user = rows.agg(F.min("user_id")).first()[0]
     seen = ranking.seen_pairs(rows)
     one = _written(factor_model.recommend_for_user(
-        loaded, user, rows.select("item_id").distinct(), seen.where(F.col("user_id") == user), 10))
+        again, user, rows.select("item_id").distinct(), seen.where(F.col("user_id") == user), 10))
     return ranking.list_facts(one, seen, RATING_LOW, RATING_HIGH)
 
 
+def _facts(spark, values: dict) -> DataFrame:
+    return spark.createDataFrame(list(values.items()), "fact string, value bigint")
+
+
+@query
+def sgd_quality(spark, folder):
+    """Facts about a fit by gradient descent: who ordered what, with a taste laid into the scores.
+
+    Customers with an odd key like parts with an odd key, those with an even key the others; what
+    the ratings themselves say is left as noise.
+    """
+    likes = F.when((F.col("user_id") + F.col("item_id")) % 2 == 0, 1.2).otherwise(-1.2)
+    rows = materialise(order_triples(spark, folder).withColumn(
+        "score", 3 + likes + (F.col("score") - 3) / 10), "taste")
+    train, test = factor_model.train_test_split(rows)
+    fit = sgd.fit_sgd(train)
+    told = fit.epoch_errors
+
+    def error(predicted):
+        return predicted.select(F.sqrt(F.avg((F.col("score") - F.col("prediction")) ** 2))).first()[0]
+
+    held_out = error(fit.model.predict(test))
+    return _facts(spark, {
+        "train_rows": train.count(), "test_rows": test.count(), "epochs": len(told),
+        "users": fit.model.user_factors.count(), "items": fit.model.item_factors.count(),
+        "rising_epochs": sum(b >= a for a, b in zip(told, told[1:])),
+        "no_better_than_biases": int(held_out >= error(factor_model.predict_baseline(train, test)))})
+
+
 @query
 def baseline_topk(spark, folder):
     return _baseline_lists(spark, folder)
 
 
-def _baseline_lists(spark, folder):
-    """Mean and biases as two-entry vectors: the block product without factors."""
+@query
+def baseline_topk_work(spark, folder):
+    """How many of all user-item products the search of the same lists took."""
+    work = ranking.SearchWork()
+    lists = _baseline_lists(spark, folder, work)
+    return _facts(spark, {"pairs": work.pairs, "list_rows": lists.count(),
+                          "products_above_half_the_pairs": int(2 * work.products > work.pairs)})
+
+
+def _baseline_lists(spark, folder, work=None):
+    """Mean and biases as two-entry vectors: the product search without factors."""
     rows = order_triples(spark, folder)
     mean, item_bias, user_bias = factor_model.bias_tables(rows)
     users = user_bias.select("user_id", F.array(mean + F.col("user_bias"), F.lit(1.0))
@@ -481,15 +518,24 @@ def _baseline_lists(spark, folder):
     # Equal scores must stay equal through the sum: a grid of 2**-20.
     def grid(v):
         return F.transform(v, lambda x: F.round(x * 2**20) / 2**20)
-    return ranking.vector_topk(users.withColumn("vector", grid("vector")),
-                               items.withColumn("vector", grid("vector")),
-                               ranking.seen_pairs(rows), 10, RATING_LOW, RATING_HIGH)
+    return ranking.vector_topk(materialise(users.withColumn("vector", grid("vector")), "users"),
+                               materialise(items.withColumn("vector", grid("vector")), "items"),
+                               ranking.seen_pairs(rows), 10, RATING_LOW, RATING_HIGH, work=work)
+
+
+_SAVED: dict[tuple[str, str], str] = {}
 
 
 def _model(spark, folder):
+    """The model of a folder's orders, fitted and saved once per application, and the orders."""
     rows = order_triples(spark, folder)
-    train, _ = factor_model.train_test_split(rows)
-    return factor_model.fit_factor_model(train), rows
+    key = (spark.sparkContext.applicationId, folder)
+    if _SAVED.get(key) not in scratch_paths(spark):
+        path = scratch_path(spark, "model")
+        train, _ = factor_model.train_test_split(rows)
+        factor_model.fit_factor_model(train, path=path)
+        _SAVED[key] = path
+    return factor_model.FactorModel.load(spark, _SAVED[key]), rows
 
 
 def _written(lists):
