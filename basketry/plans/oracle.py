@@ -701,6 +701,21 @@ def oracle_sql() -> dict[str, str]:
             f"{_ts('ts', 'timestamp')}, 'e' || CAST(event_id AS VARCHAR) AS event_id, "
             "CASE view_mode WHEN 'view' THEN 1 WHEN 'add_to_cart' THEN 2 ELSE 3 END AS implicit_score "
             "FROM wire_valid", "wire_valid"),
+        "stream_window_counts": _with(
+            ", d AS (SELECT *, event_id % 3 AS n, date_trunc('day', ts) AS day FROM wire_valid "
+            "WHERE item_id IS NOT NULL), "
+            "edge AS (SELECT max(ts) FILTER (WHERE n = 0) AS one, max(ts) FILTER (WHERE n < 2) AS two FROM d), "
+            "m AS (SELECT d.*, coalesce(CASE n WHEN 1 THEN day + INTERVAL 8 DAY <= one "
+            "WHEN 2 THEN day + INTERVAL 8 DAY <= two END, FALSE) AS late FROM d, edge) "
+            "SELECT CASE WHEN late THEN 'late' ELSE 'window' END AS kind, item_id, "
+            "strftime(day, '%Y-%m-%d %H:%M:%S') AS window_start, CAST(sum(copies) AS BIGINT) AS events, "
+            "CAST(coalesce(sum(copies) FILTER (WHERE view_mode = 'purchase'), 0) AS BIGINT) AS purchases, "
+            "CAST(coalesce(sum(copies * rating), 0) AS BIGINT) AS rating_sum "
+            "FROM m GROUP BY late, item_id, day", "wire_valid"),
+        "stream_buffered":
+            "SELECT lane, count(*) AS events, CAST(ceil(count(*) / 100.0) AS BIGINT) AS groups, "
+            "count(*) // 100 AS full_groups, least(100, count(*)) AS largest "
+            "FROM (SELECT user_id % 4 AS lane FROM events) e GROUP BY lane",
         "stream_item_counts": _with(
             f", s AS (SELECT item_id, CAST(sum(copies) AS BIGINT) AS popularity_score, "
             "sum(copies * rating) / sum(CASE WHEN rating IS NOT NULL THEN copies END) AS avg_item_rating, "

@@ -16,7 +16,7 @@ from basketry.session import materialise, scratch_path, scratch_paths
 from basketry.sources import bindings, files
 from basketry.sources.feature_store import FeatureStore, feature_definitions
 from basketry.sources.lake import Lake
-from basketry.streaming import contract, jobs
+from basketry.streaming import buffer, contract, jobs, windows
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -730,15 +730,51 @@ def stream_dedup(spark, folder):
     base = scratch_path(spark, "dedup")
     raw = bindings.table(spark, folder, "events")
     # Each file holds a slice of the keys, so stamps jump back with every file.
-    (raw.withColumn("slice", F.col("event_id") % 5).repartitionByRange(5, "slice").drop("slice")
+    (raw.withColumn("slice", F.col("event_id") % 20).repartitionByRange(20, "slice").drop("slice")
      .write.parquet(f"{base}/in"))
-    stream = wire_events(jobs.file_events(spark, f"{base}/in", raw.schema, max_files=2))
+    stream = wire_events(jobs.file_events(spark, f"{base}/in", raw.schema, max_files=1))
     valid = contract.identified(contract.decode_transactions(
         contract.route(stream, contract.TRANSACTION_TOPIC)))
     jobs.append_unrepeated(valid, f"{base}/out", f"{base}/checkpoint").awaitTermination()
     return spark.read.schema(valid.schema).parquet(f"{base}/out").select(*valid.columns)
 
 
+@query
+def stream_window_counts(spark, folder):
+    """Three deliveries, one micro-batch each: counts per item and day, and what came too late."""
+    base = scratch_path(spark, "windows")
+    raw = bindings.table(spark, folder, "events")
+    for part in range(3):
+        raw.where(F.col("event_id") % 3 == part).write.mode("append").parquet(f"{base}/in")
+        stream = wire_events(jobs.file_events(spark, f"{base}/in", raw.schema))
+        valid = contract.accepted(contract.decode_transactions(
+            contract.route(stream, contract.TRANSACTION_TOPIC)))
+        windows.refresh_windows(valid, "item_id", base, f"{base}/checkpoint").awaitTermination()
+    counted = windows.window_counts(spark, "item_id", base).select(
+        F.lit("window").alias("kind"), "item_id", F.col("window_start").cast("string").alias("window_start"),
+        "events", "purchases", "rating_sum")
+    late = windows.late_events(spark, "item_id", base).groupBy(
+        "item_id", F.date_trunc("day", "timestamp").cast("timestamp_ntz").cast("string")
+        .alias("window_start")).agg(
+        F.count(F.lit(1)).alias("events"), F.count_if(F.col("view_mode") == "purchase").alias("purchases"),
+        F.coalesce(F.sum("rating"), F.lit(0)).alias("rating_sum"))
+    return counted.unionByName(late.withColumn("kind", F.lit("late")))
+
+
+@query
+def stream_buffered(spark, folder):
+    """Events in groups of 100, and the rest of each lane once it has waited."""
+    base = scratch_path(spark, "buffer")
+    events = _event_stream(spark, folder).select(
+        "user_id", F.to_json(F.struct("event_id", "event_type")).alias("payload"))
+    groups = buffer.in_groups(events, F.col("user_id") % 4, seconds=2)
+    buffer.drain(buffer.append_groups(groups, f"{base}/out", f"{base}/checkpoint"), 2)
+    sent = spark.read.schema(buffer.FLUSHED).parquet(f"{base}/out")
+    return sent.groupBy("lane").agg(
+        F.sum(F.size("payloads")).alias("events"), F.count(F.lit(1)).alias("groups"),
+        F.count_if("full").alias("full_groups"), F.max("n").alias("largest"))
+
+
 @query
 def stream_item_counts(spark, folder):
     events = contract.route(_stream(spark, folder), contract.TRANSACTION_TOPIC)

@@ -22,6 +22,8 @@ DEFAULTS = {
     # Stream state on local disk with snapshots in the checkpoint, not on the heap.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # A batch adds its changes to the checkpoint, not the whole state.
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     # Call-site capture per column expression only slows plan building.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }

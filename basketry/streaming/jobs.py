@@ -7,7 +7,6 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from basketry.functions.scores import ratio_or_zero
-from basketry.sources.lake import child_folders
 from basketry.streaming.contract import accepted
 
 
@@ -39,34 +38,22 @@ def file_events(spark: SparkSession, path: str, schema: StructType, fmt: str = "
     return reader.load(path)
 
 
-def append_unrepeated(events: DataFrame, path: str, checkpoint: str, key: str = "event_id",
-                      available_now: bool = True) -> StreamingQuery:
-    """Append one event per id to a Parquet table; nothing else is left out, however late it is.
+def unrepeated(events: DataFrame, key: str = "event_id") -> DataFrame:
+    """One event per id, however late a repeat comes; rows without an id are different events.
 
-    A watermark would drop late events, so the ids are kept in a table instead: every
-    micro-batch reduces its own repeats, anti-joins the ids of the batches before it, and
-    writes its events and ids to a folder of its own.  A repeated batch replaces its earlier
-    attempt and looks at earlier batches only, so a restart gives the same table.  Rows
-    without an id count as different events.
+    A watermark would drop late events, so there is none: the ids are kept in the state store,
+    where a micro-batch looks up its own ids only.  No batch reads what earlier ones wrote; with
+    RocksDB the ids lie on the executors' disks, and a batch adds its changes to the checkpoint.
+    The number of state partitions is that of the shuffle when the checkpoint was begun.
     """
-    spark, schema = events.sparkSession, events.schema
-    ids = f"{path}-ids"
-
-    def step(batch: DataFrame, batch_id: int) -> None:
-        named = batch.where(F.col(key).isNotNull()).dropDuplicates([key])
-        if child_folders(spark, ids):
-            before = (spark.read.schema(f"{key} {schema[key].dataType.simpleString()}, batch bigint")
-                      .parquet(ids).where(F.col("batch") < batch_id).select(key))
-            named = named.join(before, key, "left_anti").select(*batch.columns)
-        new = named.unionByName(batch.where(F.col(key).isNull())).persist()
-        new.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
-        (new.where(F.col(key).isNotNull()).select(key)
-         .write.mode("overwrite").parquet(f"{ids}/batch={batch_id}"))
-        new.unpersist()
-
-    writer = (events.writeStream.foreachBatch(step).outputMode("append")
-              .option("checkpointLocation", checkpoint))
-    return (writer.trigger(availableNow=True) if available_now else writer).start()
+    named = events.where(F.col(key).isNotNull()).dropDuplicates([key])
+    return named.unionByName(events.where(F.col(key).isNull()))
+
+
+def append_unrepeated(events: DataFrame, path: str, checkpoint: str, key: str = "event_id",
+                      available_now: bool = True) -> StreamingQuery:
+    """Append one event per id to a Parquet table, exactly once per checkpoint."""
+    return append_files(unrepeated(events, key), path, checkpoint, available_now)
 
 
 # Sinks -------------------------------------------------------------------------

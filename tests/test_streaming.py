@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from basketry.schemas import INTERACTIONS_RAW
-from basketry.streaming import contract, jobs
+from basketry.streaming import buffer, contract, jobs, windows
 
 NOW = datetime(2024, 1, 1, 12)
 WIRE = "topic string, payload string, arrival timestamp_ntz"
@@ -121,6 +121,95 @@ def test_no_event_is_lost(spark, tmp_path):
     assert [r.reasons for r in contract.rejected(decoded).collect()] == ["future"]
 
 
+def test_dedupe_does_not_read_what_came_before(spark, tmp_path):
+    """Over many batches and a restart every batch takes its own rows in, nothing else."""
+    for i in range(22):
+        deliver(spark, tmp_path / "in", [event(event_id=f"e{i + j}") for j in range(5)])
+
+    def run():
+        decoded = contract.decode_transactions(source(spark, tmp_path / "in", max_files=1))
+        query = jobs.append_unrepeated(contract.identified(decoded), str(tmp_path / "out"),
+                                       str(tmp_path / "ck"))
+        query.awaitTermination()
+        return [p for p in query.recentProgress if p["numInputRows"]]
+
+    batches = run()
+    assert len(batches) == 22
+    # The source is read by the two branches, with and without an id.
+    assert {p["numInputRows"] for p in batches} <= {5, 10}
+    assert batches[-1]["stateOperators"][0]["numRowsTotal"] == 26
+    deliver(spark, tmp_path / "in", [event(event_id=f"e{j}") for j in (0, 3, 99, 99)])
+    again, = run()
+    assert again["numInputRows"] <= 8
+    got = spark.read.parquet(str(tmp_path / "out")).collect()
+    assert sorted(r.event_id for r in got) == sorted({f"e{i}" for i in range(26)} | {"e99"})
+
+
+def at(day, hour=0, **change):
+    return event(timestamp=f"2023-12-{day:02d}T{hour:02d}:00:00", event_id="absent", **change)
+
+
+def refresh(spark, tmp_path, **options):
+    valid = contract.accepted(contract.decode_transactions(source(spark, tmp_path / "in", max_files=1)))
+    windows.refresh_windows(valid, "item_id", str(tmp_path / "w"), str(tmp_path / "ck"),
+                            **options).awaitTermination()
+    got = windows.window_counts(spark, "item_id", str(tmp_path / "w")).collect()
+    late = windows.late_events(spark, "item_id", str(tmp_path / "w")).collect()
+    return ({(r.item_id, r.window_start.day): (r.events, r.purchases, r.rating_sum, r.rating_n)
+             for r in got}, sorted((r.item_id, r.timestamp.day) for r in late))
+
+
+def test_windows_are_refreshed_and_late_events_kept(spark, tmp_path):
+    deliver(spark, tmp_path / "in", [at(1), at(1, 5, view_mode="purchase", rating=None), at(2, item_id=9)])
+    assert refresh(spark, tmp_path) == ({(2, 1): (2, 1, 3, 1), (9, 2): (1, 0, 3, 1)}, [])
+    deliver(spark, tmp_path / "in", [at(20), at(1, 7)])       # in time: the edge was the 2nd
+    assert refresh(spark, tmp_path)[0][2, 1] == (3, 1, 6, 2)
+    deliver(spark, tmp_path / "in", [at(1, 8), at(2), at(13), at(12)])  # closed by the 20th but one
+    counts, late = refresh(spark, tmp_path)
+    assert late == [(2, 1), (2, 2), (2, 12)]
+    assert counts == {(2, 1): (3, 1, 6, 2), (9, 2): (1, 0, 3, 1), (2, 20): (1, 0, 3, 1),
+                      (2, 13): (1, 0, 3, 1)}
+    before = sorted(p.name for p in (tmp_path / "w" / "windows").glob("day=*"))
+    deliver(spark, tmp_path / "in", [at(20, 3), at(3)])
+    counts, late = refresh(spark, tmp_path)
+    assert counts[2, 20] == (2, 0, 6, 2) and late == [(2, 1), (2, 2), (2, 3), (2, 12)]
+    assert sorted(p.name for p in (tmp_path / "w" / "windows").glob("day=*")) == before
+    assert len(list((tmp_path / "w" / "edge").glob("*"))) == 2
+
+
+def test_a_repeated_batch_changes_nothing(spark, tmp_path):
+    """A batch that failed after it had written is merged again."""
+    decoded = lambda rows: contract.accepted(contract.decode_transactions(wire(spark, rows)))
+    path = str(tmp_path / "w")
+    batches = [[at(1), at(2)], [at(20), at(1), at(2)], [at(1), at(20), at(20)]]
+    for n, rows in enumerate(batches):
+        for _ in range(1 + n):
+            windows.merge_batch(decoded(rows), n, "item_id", path, "1 day", "7 DAYS")
+    got = {r.window_start.day: r.events for r in windows.window_counts(spark, "item_id", path).collect()}
+    assert got == {1: 2, 2: 2, 20: 3}
+    assert windows.late_events(spark, "item_id", path).count() == 1
+
+
+def test_buffer_flushes_by_number_and_by_time(spark, tmp_path):
+    paths = [str(tmp_path / n) for n in ("out", "ck")]
+
+    def grouped(seconds):
+        return buffer.in_groups(source(spark, tmp_path / "in"), F.length("payload") % 2, 5, seconds)
+
+    deliver(spark, tmp_path / "in", [f"{i:04d}" for i in range(12)])
+    query = buffer.append_groups(grouped(3600), *paths)
+    buffer.taken_in(query)
+    query.stop()  # with two events in the buffer
+    first = spark.read.schema(buffer.FLUSHED).parquet(paths[0]).collect()
+    assert [(r.n, r.full) for r in first] == [(5, True)] * 2
+    deliver(spark, tmp_path / "in", [f"{i:04d}" for i in range(12, 16)] + ["odd"])
+    buffer.drain(buffer.append_groups(grouped(1), *paths), 1)
+    got = spark.read.schema(buffer.FLUSHED).parquet(paths[0]).orderBy("lane", "flush").collect()
+    assert [(r.lane, r.flush, r.n, r.full) for r in got] == [
+        (0, 0, 5, True), (0, 1, 5, True), (0, 2, 5, True), (0, 3, 1, False), (1, 0, 1, False)]
+    assert sorted(p for r in got for p in r.payloads) == sorted([f"{i:04d}" for i in range(16)] + ["odd"])
+
+
 def test_folded_counts(spark, tmp_path):
     for modes in (["view", "purchase"], ["view", "add_to_cart"], ["view"]):
         deliver(spark, tmp_path / "in", [event(view_mode=m) for m in modes])
