@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.errors import AnalysisException
 
 from basketry.schemas import INTERACTION_COLUMNS, PRODUCTS_RAW, USER_COLUMNS
+from basketry.sources.json_array import read_json_array
 
 USER_FILES = "*[uU][sS][eE][rR]*.csv"
 INTERACTION_FILES = "*[tT][rR][aA][nN][sS][aA][cC][tT][iI][oO][nN]*.csv"
@@ -115,13 +116,15 @@ def read_interactions(spark: SparkSession, folder: str) -> tuple[DataFrame, Data
 
 
 def read_products(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
-    """Products from a JSON array, or from JSON lines (splittable, for large files).
+    """Products from JSON arrays, or from JSON lines; both are split over many tasks.
 
     ``source_file``, ``block_start`` and ``row_seq`` give the order of rows.  A malformed
     document fails the read.
     """
-    return _with_lineage(spark.read.schema(PRODUCTS_RAW).option("multiLine", not lines)
-                         .option("mode", "FAILFAST").option("encoding", "UTF-8").json(path))
+    if not lines:
+        return read_json_array(spark, path, PRODUCTS_RAW)
+    return _with_lineage(spark.read.schema(PRODUCTS_RAW).option("mode", "FAILFAST")
+                         .option("encoding", "UTF-8").json(path))
 
 
 def write_csv(df: DataFrame, path: str) -> None:

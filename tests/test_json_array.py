@@ -1,0 +1,68 @@
+import json
+import random
+
+import pytest
+
+from basketry.schemas import PRODUCTS_RAW
+from basketry.sources.json_array import read_json_array, record_texts
+
+SCHEMA = "id bigint, text string, inner struct<a: string, b: array<bigint>>"
+
+
+def rows(n, seed=1):
+    r = random.Random(seed)
+    marks = ['{', '}', '[', ']', '"', '\\', ',', ':', 'a', 'é', ' ', '\n', '\\"', '},{', ']}']
+    text = lambda: "".join(r.choice(marks) for _ in range(r.randint(0, 12)))
+    return [{"id": i, "text": text(), "inner": {"a": text(), "b": [r.randint(0, 9)] * r.randint(0, 3)}}
+            for i in range(n)]
+
+
+def read(spark, path):
+    got = read_json_array(spark, str(path), spark.createDataFrame([], SCHEMA).schema)
+    ordered = got.orderBy("source_file", "block_start", "row_seq").collect()
+    return [{"id": x.id, "text": x.text, "inner": {"a": x.inner.a, "b": x.inner.b}} for x in ordered]
+
+
+@pytest.fixture
+def small_splits(spark):
+    key = "spark.sql.files.maxPartitionBytes"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "300")
+    yield
+    spark.conf.set(key, old)
+
+
+@pytest.mark.parametrize("layout", [{}, {"indent": 2}, {"separators": (",", ":")},
+                                    {"ensure_ascii": False, "indent": 1}])
+def test_any_text_in_any_layout(spark, tmp_path, small_splits, layout):
+    """Braces, quotes and backslashes in strings, over many splits of one file."""
+    want = rows(60)
+    path = tmp_path / "a.json"
+    path.write_text(json.dumps(want, **layout), encoding="utf-8")
+    assert read(spark, path) == want
+    assert record_texts(spark, str(path)).select("block_start").distinct().count() > 5
+
+
+def test_several_files_and_empty_arrays(spark, tmp_path):
+    for name, part in (("a", rows(5)), ("b", []), ("c", rows(7, 2))):
+        (tmp_path / f"{name}.json").write_text(" " + json.dumps(part) + "\n")
+    (tmp_path / "d.json").write_text("\n[ \n ]")
+    assert read(spark, tmp_path) == rows(5) + rows(7, 2)
+
+
+def test_equals_the_reader_of_whole_documents(spark, tmp_path, small_splits):
+    products = [{"item_id": i, "brand": "B}{" * (i % 3), "category": None, "price": i / 3} for i in range(40)]
+    (tmp_path / "p.json").write_text(json.dumps(products))
+    got = read_json_array(spark, str(tmp_path / "p.json"), PRODUCTS_RAW).drop(
+        "source_file", "block_start", "row_seq")
+    want = spark.read.schema(PRODUCTS_RAW).option("multiLine", True).json(str(tmp_path / "p.json"))
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+@pytest.mark.parametrize("text", [
+    '[{"id": 1}, {"id": 2}', '[{"id": 1} {"id": 2}]', '[{"id": 1}, {"id": 2]', '[{"id": 1}] x',
+    '[{"id": "1}]', '{"id": 1}', '[{"id": 1},]', '[1, 2]', '[{"id": {}]'])
+def test_malformed_documents_fail(spark, tmp_path, text):
+    (tmp_path / "bad.json").write_text(text)
+    with pytest.raises(Exception, match="(?i)malformed"):
+        read(spark, tmp_path / "bad.json")
