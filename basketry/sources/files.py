@@ -57,16 +57,28 @@ def _with_lineage(rows: DataFrame) -> DataFrame:
                        F.monotonically_increasing_id().alias("row_seq"))
 
 
-def read_csv_uniform(spark: SparkSession, folder: str, glob: str,
-                     columns: tuple[str, ...]) -> DataFrame:
-    """CSV files that all have the same header, in one scan without a look ahead.
+_COMMA = ',(?=(?:[^"]*"[^"]*")*[^"]*$)'  # outside quotes
 
-    The way to read a folder of very many files; a file with another header
-    fails the scan.
+
+def header_layouts(spark: SparkSession, folder: str, glob: str) -> DataFrame:
+    """``(header, paths)``: the matching files by their first line, found in one job.
+
+    A header is an array of names.  Only the first split of each file can hold its first line; of
+    all other lines nothing but their place is kept.
     """
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    return _with_lineage(spark.read.option("header", True).option("enforceSchema", False)
-                         .option("pathGlobFilter", glob).schema(schema).csv(folder))
+    lines = (spark.read.option("pathGlobFilter", glob).text(folder)
+             .select("value", F.col("_metadata.file_path").alias("path"),
+                     F.col("_metadata.file_block_start").alias("block"),
+                     F.monotonically_increasing_id().alias("seq")).where("block = 0"))
+    first = lines.groupBy("path").agg(F.min_by("value", "seq").alias("line"))
+    bare = F.regexp_replace(F.col("line"), "^\ufeff|\r$", "")
+    quoted = F.regexp_replace(F.trim(F.col("name")), '^"(.*)"$', "$1")
+    # The name comes as part of a URI, in which a plus stands for itself.
+    path = F.url_decode(F.replace("path", F.lit("+"), F.lit("%2B"))).alias("path")
+    return (first.select(path, F.posexplode(F.split(bare, _COMMA)).alias("at", "name"))
+            .groupBy("path").agg(F.array_sort(F.collect_list(F.struct("at", quoted.alias("name")))).alias("n"))
+            .select("path", F.transform("n", lambda x: x["name"]).alias("header"))
+            .groupBy("header").agg(F.array_sort(F.collect_list("path")).alias("paths")))
 
 
 def read_csv_sources(spark: SparkSession, folder: str, glob: str,
@@ -74,30 +86,32 @@ def read_csv_sources(spark: SparkSession, folder: str, glob: str,
     """``(rows, quarantine)`` of the matching CSV files.
 
     All columns are text; ``source_file``, ``block_start`` and ``row_seq`` give
-    the order of rows.  Files with the same header share one scan, layouts are
-    united by column name.  A file without the required columns, or an empty
+    the order of rows.  Headers are read in one job; files with the same header share one scan,
+    layouts are united by column name.  A file without the required columns, or an empty
     one, goes to the quarantine (path, missing_columns) instead of the rows.
     """
-    layouts: dict[tuple[str, ...], list[str]] = {}
     refused = [(path, ",".join(required)) for path in empty_sources(spark, folder, glob)]
-    # Only file names and header lines pass through the driver here.
-    for row in list_sources(spark, folder, glob).where("length > 0").collect():
-        header = tuple(spark.read.option("header", True).csv(row["path"]).columns)
+    parts = []
+    # One row per layout, with the names of its files: all that passes through the driver here.
+    try:
+        layouts = sorted(header_layouts(spark, folder, glob).collect())
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        layouts = []
+    for header, paths in layouts:
         absent = [c for c in required if c not in header]
         if absent:
-            refused.append((row["path"], ",".join(absent)))
+            refused += [(path, ",".join(absent)) for path in paths]
         else:
-            layouts.setdefault(header, []).append(row["path"])
+            schema = T.StructType([T.StructField(c, T.StringType()) for c in header])
+            parts.append(_with_lineage(spark.read.option("header", True).schema(schema).csv(paths)))
     quarantine = spark.createDataFrame(refused, "path string, missing_columns string")
-    if not layouts:
+    if not parts:
         text = ", ".join(f"`{c}` string" for c in required)
         empty = spark.createDataFrame(
             [], f"{text}, source_file string, block_start bigint, row_seq bigint")
         return empty, quarantine
-    parts = []
-    for header, paths in sorted(layouts.items()):
-        schema = T.StructType([T.StructField(c, T.StringType()) for c in header])
-        parts.append(_with_lineage(spark.read.option("header", True).schema(schema).csv(paths)))
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     return rows, quarantine
 

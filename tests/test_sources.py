@@ -46,11 +46,22 @@ def test_missing_sources(spark, folder):
         files.require_sources(spark, str(folder), ["nope.csv"])
 
 
-def test_uniform_csv_refuses_another_header(spark, folder):
-    columns = ("user_id", "age", "gender", "device")
-    assert files.read_csv_uniform(spark, str(folder), "Users_a.csv", columns).count() == 3
-    with pytest.raises(Exception):
-        files.read_csv_uniform(spark, str(folder), "*_USER.csv", columns).collect()
+def test_many_files_in_few_layouts(spark, tmp_path, monkeypatch):
+    """Headers of 500 files in one job, and a scan per layout."""
+    heads = [HEADER, "device,user_id,gender,age\r\n", '\ufeff"user_id",age,"a, b",gender,device\n', "user_id,age\n"]
+    cells = ["{0},30,M,Mobile\n", "Mobile,{0},M,30\r\n", '{0},30,"x, y",M,Mobile\n', "{0},1\n"]
+    for i in range(500):
+        (tmp_path / f"user {i} 10%+é.csv").write_text(heads[i % 4] + cells[i % 4].format(i), newline="")
+    layouts = files.header_layouts(spark, str(tmp_path), files.USER_FILES).collect()
+    assert sorted(len(r.paths) for r in layouts) == [125] * 4
+    assert ["user_id", "age", "a, b", "gender", "device"] in [r.header for r in layouts]
+    scans = []
+    reader = type(spark.read)
+    monkeypatch.setattr(reader, "csv", lambda self, paths, f=reader.csv: (scans.append(paths), f(self, paths))[1])
+    rows, refused = files.read_users(spark, str(tmp_path))
+    assert len(scans) == 3 and refused.count() == 125
+    got = sorted((int(r.user_id), r.age, r.gender, r.device, r["a, b"]) for r in rows.collect())
+    assert got == [(i, "30", "M", "Mobile", "x, y" if i % 4 == 2 else None) for i in range(500) if i % 4 < 3]
 
 
 def test_products_json(spark, tmp_path):
