@@ -9,12 +9,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from basketry.functions.cleaning import plausible_age
 from basketry.functions.scores import RATING_HIGH, RATING_LOW
 from basketry.operators import (content, eda, factor_model, features, metrics, prepare, profiling,
-                                quality, ranking, sgd, upsert)
+                                quality, ranking, sgd)
 from basketry.plans import pipeline
 from basketry.schemas import INTERACTION_COLUMNS, PRODUCT_COLUMNS, USER_COLUMNS, VIEW_MODES
 from basketry.session import materialise, scratch_path, scratch_paths
 from basketry.sources import bindings, files
 from basketry.sources.feature_store import FeatureStore, feature_definitions
+from basketry.sources.keyed_table import KeyedTable
 from basketry.sources.lake import Lake
 from basketry.streaming import buffer, contract, jobs, windows
 
@@ -386,7 +387,10 @@ def feature_upsert(spark, folder):
     early = F.col("timestamp") < "1998-06-01"
     old = version(facts.where(early), "2024-01-01 00:00:00")
     new = version(facts.where(~early), "2024-02-01 00:00:00")
-    return upsert.upsert(old, new, ["item_id"])
+    table = KeyedTable(spark, scratch_path(spark, "keyed"), "item_id", old.schema)
+    table.begin(old)
+    table.upsert(new)
+    return table.read()
 
 
 @query
