@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from basketry.session import ship_package
@@ -11,6 +13,7 @@ from basketry.session import ship_package
 # ASCII white space, the bytes of [\x20\x09-\x0D]; bytes.split() parts words at the same ones.
 SPACE = b" \t\n\x0b\x0c\r"
 
+_CODEC = "zstd"
 DOCUMENTS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 
 
@@ -43,3 +46,31 @@ def python_rows(df: DataFrame, step: Callable, schema) -> DataFrame:
 
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+# Packed numbers -------------------------------------------------------------------------------
+
+def pack(values: np.ndarray) -> bytes:
+    """Numbers from 0 on: the width first, then their bytes in planes, compressed."""
+    width = max(1, (int(values.max()).bit_length() + 7) // 8) if len(values) else 1
+    planes = values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]
+    return bytes([width]) + pa.compress(np.ascontiguousarray(planes.T).tobytes(), _CODEC, asbytes=True)
+
+
+def unpack(packed: bytes, n: int) -> np.ndarray:
+    """``n`` numbers that were packed, as int64 (uint64 bits for hashes)."""
+    width = packed[0]
+    planes = np.frombuffer(pa.decompress(packed[1:], n * width, _CODEC, asbytes=True), np.uint8) \
+        if n else np.empty(0, np.uint8)
+    whole = np.zeros((n, 8), np.uint8)
+    whole[:, :width] = planes.reshape(width, n).T
+    return whole.view("<u8").reshape(-1).view(np.int64)
+
+
+def pack_sorted(values: np.ndarray) -> bytes:
+    """Ascending uint64 numbers, as differences."""
+    return pack(np.concatenate([values[:1], np.diff(values)]))
+
+
+def unpack_sorted(packed: bytes, n: int) -> np.ndarray:
+    return np.cumsum(unpack(packed, n).view(np.uint64), dtype=np.uint64)

@@ -2,59 +2,69 @@
 
 The probability of a word after its context is a mixture of maximum-likelihood estimates,
 
-    P(w | v) = l2(b) * P2(w | v) + l1(b) * c(w) / N + l0(b) / (V + 1),
+    P(w | v) = l2(b) * c(v, w) / c(v) + l1(b) * c(w) / N + l0(b) / (V + 1),
 
 whose weights depend on b, the bucket (power of two) of the context's frequency.  Weights are
 learned by expectation-maximisation on counts held out of the training documents: estimates from
 one part, counts from the other.  The scores then use the counts of all training documents.
-
-P2 is c(v, w) / c(v) for every pair of the training documents, whatever its count, and every
-word is a context.  Frequent words (``head_share`` of the training tokens and more, so no more
-than 1 / head_share) and frequent pairs (``pair_share``) are broadcast; this is a fast path only
-and changes no score.  The counts of all pairs are a table dealt by pair.  An occurrence of any
-other pair meets its row there in a shuffled join; such a pair is not frequent, so that join has
-no hot key.  Infrequent words are known by 63 bits of their xxhash64.
+Every pair of the training documents counts, whatever its frequency, and every word is a context.
+
+No table of words or pairs is broadcast, and no row is made for a token:
+
+1. Texts are worked on in chunks of bounded size.  A chunk asks for its distinct words and pairs
+   once: sorted 64-bit hashes, packed as differences, with the chunk's own counts, cut into shards
+   by their first bits.  Its texts travel beside them as numbers of its words.
+2. A shard sums the counts of equal hashes over all chunks and answers each chunk in the order in
+   which it asked, so answers need no keys.  A shard holds a bounded part of what was asked: the
+   number of shards follows the bytes of the texts, hashes fall evenly, and a frequent pair is
+   asked once per chunk.
+3. Answers meet their chunk again, which puts counts to its tokens and adds up its held-out tokens
+   on a grid for the fit.
+4. The chunks, read again, are scored text by text.
+
+Held-out tokens are gathered in cells of 0.1 of the natural logarithms of both estimates; a cell
+keeps the mean estimates of its tokens, which leaves an error of the order of 0.1 squared over 24
+in a token's shares, some 0.05 %.  Words are told apart by 64 bits of their xxhash64, pairs by 64
+bits of their words' hashes.
 
 A document is its words and one end; the end is also the context of the first word.
 
 Defined results: null counts as empty, which is the end alone; a null id counts as an empty id
-text; repeated rows are counted and scored each for itself; an empty table gives an empty
-result; without training documents every token is unknown; other columns are ignored.
+text; repeated rows are counted and scored each for itself; a text of any length is scored whole
+(one beyond a chunk's size is a chunk of its own); an empty table gives an empty result; without
+training documents every token is unknown; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
 
-import math
-from collections import Counter
-from dataclasses import dataclass
-from itertools import repeat
-
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
-from basketry.llm.common import bodies, python_rows
-from basketry.session import materialise
+from basketry.llm.common import (bodies, pack, pack_sorted, python_rows, shuffle_width, unpack,
+                                 unpack_sorted)
+from basketry.session import materialise, ship_package
 
 FOLDS, HELD_OUT, TUNING = 7, 2, 5
-HEAD_SHARE = 1e-6
-PAIR_SHARE = 5e-6
 END = b""  # no word is empty
-CHUNK_BYTES = 4 << 20
-COUNTER_WORDS = 400_000
+CHUNK_BYTES = 8 << 20
+SHARD_BYTES = 12 << 20
 BUCKETS = 64
+HASH_SEED = 42
+STEP = 0.1  # of the natural logarithms in the grid of held-out tokens
+NONE = -1_000_000  # the cell of an estimate of zero
 
-COUNT_SCHEMA = "word binary, n_fit bigint, n_tune bigint"
-PAIR_SCHEMA = "v bigint, w bigint, n_fit bigint, n_tune bigint"
-HISTOGRAM_SCHEMA = "bucket int, q2 int, q1 int, n bigint"
-VALUE_SCHEMA = "v bigint, w bigint, value double, w_n bigint"
-SCORE_SCHEMA = ("tag bigint, v bigint, w bigint, n bigint, doc struct<doc_id: bigint, "
-                "n_tokens: bigint, n_known: bigint, base: double, score: double>")
-HASH_SEED = 42  # as in Spark's xxhash64
-_STEP = 0.25  # of the natural logarithms in the tuning histogram
-_NONE = -1_000_000
+TEXTS, WORDS, PAIRS, TOTALS = range(4)
+ASKED_SCHEMA = ("kind int, chunk bigint, shard int, n bigint, keys binary, fit binary, tune binary, "
+                "doc_id array<bigint>, doc_end array<bigint>, fold array<int>")
+COUNTED_SCHEMA = (
+    "chunk bigint, n bigint, doc_id array<bigint>, doc_end array<bigint>, fold array<int>, "
+    "words binary, n_words bigint, word_total binary, pair_total binary, "
+    "cells array<struct<bucket: int, q2: int, q1: int, n: bigint, p2: double, p1: double>>")
+SCORE_SCHEMA = ("doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, "
+                "train_tokens bigint, base_score double, score double")
 
 
 def fold(doc_id: Column) -> Column:
@@ -62,7 +72,7 @@ def fold(doc_id: Column) -> Column:
 
 
 def chunks(batches, size: int = CHUNK_BYTES):
-    """Rows of the batches, a few megabytes of text at a time."""
+    """Columns of the batches' rows, some megabytes of text at a time."""
     for batch in batches:
         start, held = 0, 0
         columns = [c.to_pylist() for c in batch.columns]
@@ -80,237 +90,197 @@ def tokens(body: bytes) -> list[bytes]:
     return [*body.lower().split(), END]  # bytes.lower() changes A-Z alone
 
 
-def _count_step(batches):
-    """Partial counts; columns are doc_id, body, fold."""
-    fit, tune = Counter(), Counter()
-
-    def rows():
-        words = list(fit.keys() | tune.keys())
-        return pa.RecordBatch.from_arrays(
-            [pa.array(words, pa.binary()), pa.array([fit[w] for w in words], pa.int64()),
-             pa.array([tune[w] for w in words], pa.int64())], names=["word", "n_fit", "n_tune"])
-
-    for _, texts, folds in chunks(batches):
-        for body, at in zip(texts, folds, strict=True):
-            (tune if at == TUNING else fit).update(tokens(body))
-        if len(fit) + len(tune) > COUNTER_WORDS:
-            yield rows()
-            fit, tune = Counter(), Counter()
-    if fit or tune:
-        yield rows()
-
-
-@dataclass
-class Counts:
-    """What is broadcast.  Words 0 .. ``n_model`` - 1 may form broadcast pairs; 0 is the end."""
-
-    numbers: dict[bytes, int]
-    fit: np.ndarray
-    tune: np.ndarray
-    n_model: int
-    n_fit: int
-    n_tune: int
-    n_types: int
-    fit_types: int
-    pairs: np.ndarray       # context * n_model + word, sorted
-    pairs_fit: np.ndarray
-    pairs_tune: np.ndarray
-
-    @property
-    def total(self) -> int:
-        return self.n_fit + self.n_tune
-
-
-class Estimates:
-    """P2 and P1 from counts: ``all_of`` the training documents, or those not held out of it."""
-
-    def __init__(self, counts: Counts, all_of: bool):
-        c = self.counts = counts
-        self.words = (c.fit + c.tune if all_of else c.fit).astype(float)
-        self.total = float(max(1, c.total if all_of else c.n_fit))
-        self.uniform = 1.0 / ((c.n_types if all_of else c.fit_types) + 1)
-        n = (c.pairs_fit + c.pairs_tune if all_of else c.pairs_fit).astype(float)
-        context = c.pairs // max(1, c.n_model)
-        seen = np.maximum(self.words[:c.n_model], 1)
-        kept = np.bincount(context, weights=n, minlength=c.n_model) if len(n) else np.zeros(c.n_model)
-        self.pooled = np.maximum(0.0, 1 - kept / seen)  # share of the pairs not kept, per context
-        self.pair = n / seen[context] if len(n) else n
-        self.buckets = np.where(self.words[:c.n_model] > 0, np.floor(np.log2(seen)) + 1, 0)
-        self.buckets = np.minimum(self.buckets, BUCKETS - 1).astype(np.int64)
-
-    def bucket(self, context: np.ndarray) -> np.ndarray:
-        """0 for contexts outside the model."""
-        inside = (context >= 0) & (context < self.counts.n_model)
-        return np.where(inside, self.buckets[np.where(inside, context, 0)], 0)
-
-    def rest(self, context: np.ndarray) -> np.ndarray:
-        """Share of the context's mass that is spread like the words; 0 outside the model."""
-        return np.where(self.bucket(context) > 0,
-                        self.pooled[np.where(context < self.counts.n_model, context, 0)], 0.0)
-
-    def unigram(self, word: np.ndarray) -> np.ndarray:
-        return np.where(word >= 0, self.words[word], 0.0) / self.total
-
-    def frequent(self, context: np.ndarray, word: np.ndarray) -> np.ndarray:
-        """P2 of the broadcast pairs, -1 for all others."""
-        c = self.counts
-        if not len(c.pairs):
-            return np.full(len(word), -1.0)
-        code = np.where((context >= 0) & (word >= 0), context * c.n_model + word, -1)
-        at = np.minimum(np.searchsorted(c.pairs, code), len(c.pairs) - 1)
-        return np.where(c.pairs[at] == code, self.pair[at], -1.0)
-
-    def bigram(self, context: np.ndarray, word: np.ndarray) -> np.ndarray:
-        c = self.counts
-        p = self.rest(context) * self.unigram(word)
-        if len(c.pairs):
-            both = (context >= 0) & (context < c.n_model) & (word >= 0) & (word < c.n_model)
-            code = np.where(both, context * c.n_model + word, -1)
-            at = np.minimum(np.searchsorted(c.pairs, code), len(c.pairs) - 1)
-            p = p + np.where(c.pairs[at] == code, self.pair[at], 0.0)
-        return p
-
-
-def _numbered(texts: list[bytes], numbers: dict[bytes, int]):
-    """Ids of all words in a row, contexts, and text starts; ids of infrequent words are negative."""
-    words, starts = [], []
-    for body in texts:
-        starts.append(len(words))
-        words += tokens(body)
-    ids = np.array(list(map(numbers.get, words, repeat(-1))), dtype=np.int64)
-    rare = np.flatnonzero(ids < 0)
-    digest = xxhash.xxh64_intdigest
-    ids[rare] = np.array([digest(words[i], HASH_SEED) | 1 << 63 for i in rare.tolist()],
-                         dtype=np.uint64).view(np.int64)
-    context = np.empty_like(ids)
-    context[1:] = ids[:-1]
-    context[starts] = 0
-    return ids, context, np.array(starts)
-
-
-def _mixed(v: np.ndarray, w: np.ndarray) -> np.ndarray:
-    mixed = v.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    mixed = (mixed ^ mixed >> np.uint64(29)) + w.view(np.uint64)
-    mixed *= np.uint64(0xBF58476D1CE4E5B9)
-    return mixed ^ mixed >> np.uint64(32)
-
-
-def _grouped(key: np.ndarray, *columns: np.ndarray):
-    """Order by ``key``, and where a run of equal ``columns`` starts in that order."""
-    order = np.argsort(key)
-    new = np.zeros(len(order), dtype=bool)
-    new[:1] = True
-    for x in columns:
-        x = x[order]
-        new[1:] |= x[1:] != x[:-1]
-    return order, np.flatnonzero(new)
+# Chunks ask -----------------------------------------------------------------------------------
 
+class _Numbers(dict):
+    """Words numbered as they come."""
 
-def _pair_step(shared):
-    """Partial counts of all pairs; columns are doc_id, body, fold.
-
-    Of held-out texts only pairs with an infrequent word are given, with counts of zero, so that
-    the table of pairs has a row for each pair that cannot be scored without it.
-    """
-    def step(batches):
-        numbers = shared.value
-        held: list[tuple[np.ndarray, ...]] = []
-        size = 0
-
-        def rows():
-            v, w, fit, tune = (np.concatenate(x) for x in zip(*held, strict=True))
-            order, first = _grouped(_mixed(v, w), v, w)
-            at = order[first]
-            return pa.RecordBatch.from_arrays(
-                [pa.array(v[at]), pa.array(w[at]),
-                 *(pa.array(np.add.reduceat(x[order].astype(np.int64), first))
-                   for x in (fit, tune))], names=["v", "w", "n_fit", "n_tune"])
-
-        for _, texts, folds in chunks(batches):
-            ids, context, starts = _numbered(texts, numbers)
-            at = np.repeat(np.array(folds), np.diff(np.append(starts, len(ids))))
-            took = (at != HELD_OUT) | (ids < 0) | (context < 0)
-            held.append((context[took], ids[took], ((at != TUNING) & (at != HELD_OUT))[took],
-                         (at == TUNING)[took]))
-            size += int(took.sum())
-            if size > 4_000_000:
-                yield rows()
-                held, size = [], 0
-        if size:
-            yield rows()
-    return step
+    def __missing__(self, word):
+        self[word] = n = len(self)
+        return n
 
 
-def _quantised(p: np.ndarray) -> np.ndarray:
-    with np.errstate(divide="ignore"):
-        return np.where(p > 0, np.round(np.log(p) / _STEP), _NONE).astype(np.int64)
+def pair_keys(v: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """64 bits for pairs of word hashes."""
+    mixed = v * np.uint64(0x9E3779B97F4A7C15)
+    mixed = (mixed ^ mixed >> np.uint64(29)) + w
+    mixed *= np.uint64(0xBF58476D1CE4E5B9)
+    return mixed ^ mixed >> np.uint64(32)
 
 
-def _with_counts(batch, counts: Counts, all_of: bool):
-    """Words of pairs, and counts of pairs, contexts and words."""
-    table = {name: batch.column(name).to_numpy(zero_copy_only=False)
-             for name in batch.schema.names}
-    head = counts.fit + counts.tune if all_of else counts.fit
-    count = lambda x: table[f"{x}_fit"] + table[f"{x}_tune"] if all_of else table[f"{x}_fit"]
-    of = lambda x: np.where(table[x] >= 0, head[np.maximum(table[x], 0)], count(x))
-    return table["v"], table["w"], count("n"), of("v"), of("w")
+def _contexts(words: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The word before each one; a text's last word, its end, is also before its first."""
+    before = np.empty_like(words)
+    before[1:] = words[:-1]
+    before[:1] = words[-1:]
+    return before
 
 
-def _buckets(n: np.ndarray) -> np.ndarray:
-    found = np.where(n > 0, np.floor(np.log2(np.maximum(n, 1))) + 1, 0)
-    return np.minimum(found, BUCKETS - 1).astype(np.int64)
+def _cuts(keys: np.ndarray, shards: int) -> np.ndarray:
+    """Where ascending keys pass from shard to shard."""
+    limits = np.array([-(-(s << 64) // shards) for s in range(1, shards)], dtype=np.uint64)
+    return np.concatenate([[0], np.searchsorted(keys, limits), [len(keys)]])
 
 
-def _histogram_step(shared):
-    """Counts of (bucket, P2, P1) over held-out tokens, from the pairs they have."""
+def ask(ids: list, texts: list[bytes], folds: list[int], chunk: int, shards: int) -> pa.RecordBatch:
+    """The rows of one chunk: its texts, and what it asks of each shard."""
+    numbers = _Numbers()
+    parts = []
+    for body in texts:
+        t = tokens(body)
+        parts.append(np.fromiter(map(numbers.__getitem__, t), np.int64, len(t)))
+    digest = xxhash.xxh64_intdigest
+    hashes, place = np.unique(np.array([digest(w, HASH_SEED) for w in numbers], dtype=np.uint64),
+                              return_inverse=True)
+    words = place[np.concatenate(parts)]
+    ends = np.cumsum([len(p) for p in parts])
+    of = np.repeat(np.array(folds), np.diff(np.append(0, ends)))
+    tune = of == TUNING
+    fit = ~tune & (of != HELD_OUT)
+    keys = pair_keys(hashes[_contexts(words, ends)], hashes[words])
+    order = np.argsort(keys)
+    keys = keys[order]
+    new = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+    asked = [(WORDS, hashes, *(np.bincount(words[x], minlength=len(hashes)) for x in (fit, tune))),
+             (PAIRS, keys[new], *(np.add.reduceat(x[order].astype(np.int64), new)
+                                  for x in (fit, tune)))]
+    rows = [{"kind": TEXTS, "chunk": chunk, "shard": chunk % shards, "n": len(words),
+             "keys": pack_sorted(hashes), "fit": pack(words), "tune": None,
+             "doc_id": ids, "doc_end": ends, "fold": folds}]
+    for kind, found, n_fit, n_tune in asked:
+        cuts = _cuts(found, shards).tolist()
+        for shard, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
+            if b > a:
+                rows.append({"kind": kind, "chunk": chunk, "shard": shard, "n": b - a,
+                             "keys": pack_sorted(found[a:b]), "fit": pack(n_fit[a:b]),
+                             "tune": pack(n_tune[a:b])})
+    return pa.RecordBatch.from_pylist(rows, schema=_ASKED)
+
+
+_ASKED = pa.schema([("kind", pa.int32()), ("chunk", pa.int64()), ("shard", pa.int32()),
+                    ("n", pa.int64()), ("keys", pa.binary()), ("fit", pa.binary()),
+                    ("tune", pa.binary()), ("doc_id", pa.list_(pa.int64())),
+                    ("doc_end", pa.list_(pa.int64())), ("fold", pa.list_(pa.int32()))])
+
+
+def _ask_step(shards: int, size: int):
     def step(batches):
-        counts = shared.value
-        found: Counter = Counter()
-        for batch in batches:
-            _, _, n, n_v, n_w = _with_counts(batch, counts, all_of=False)
-            q2 = _quantised(n / np.maximum(n_v, 1))
-            q1 = _quantised(n_w / max(1, counts.n_fit))
-            keys, at = np.unique(np.stack([_buckets(n_v), q2, q1]), axis=1, return_inverse=True)
-            n_tune = batch.column("n_tune").to_numpy(zero_copy_only=False)
-            held_out = np.bincount(at.ravel(), weights=n_tune, minlength=keys.shape[1])
-            for key, k in zip(keys.T.tolist(), held_out.astype(np.int64).tolist(), strict=True):
-                found[tuple(key)] += k
-        if found:
-            yield pa.RecordBatch.from_arrays(
-                [*(pa.array([k[i] for k in found], pa.int32()) for i in range(3)),
-                 pa.array(list(found.values()), pa.int64())], names=["bucket", "q2", "q1", "n"])
+        chunk = TaskContext.get().partitionId() << 32
+        for ids, texts, folds in chunks(batches, size):
+            yield ask(ids, texts, folds, chunk, shards)
+            chunk += 1
     return step
 
 
-def fit_weights(histogram: list[tuple[int, int, int, int]], tail: list[tuple[float, float]],
-                uniform: float, iterations: int = 60) -> np.ndarray:
+# Shards answer --------------------------------------------------------------------------------
+
+def answer(table: pa.Table) -> pa.Table:
+    """A shard's rows with the counts of all chunks in place of each chunk's own."""
+    rows = table.to_pylist()
+    out = [r for r in rows if r["kind"] == TEXTS]
+    for kind in (WORDS, PAIRS):
+        asked = [r for r in rows if r["kind"] == kind]
+        if not asked:
+            continue
+        keys, place = np.unique(np.concatenate([unpack_sorted(r["keys"], r["n"]) for r in asked]),
+                                return_inverse=True)
+        sums = [np.bincount(place, weights=np.concatenate([unpack(r[side], r["n"]) for r in asked]),
+                            minlength=len(keys)).astype(np.int64) for side in ("fit", "tune")]
+        at = 0
+        for r in asked:
+            own = place[at:at + r["n"]]
+            at += r["n"]
+            out.append(r | {"keys": None, "fit": pack(sums[0][own]), "tune": pack(sums[1][own])})
+        if kind == WORDS:
+            fit, tune = sums
+            out.append({"kind": TOTALS, "chunk": None, "shard": asked[0]["shard"], "n": None,
+                        "doc_end": [int(fit.sum()), int(tune.sum()),
+                                    int(np.count_nonzero(fit + tune)), int(np.count_nonzero(fit))]})
+    return pa.Table.from_pylist(out, schema=_ASKED)
+
+
+# Chunks count ---------------------------------------------------------------------------------
+
+def buckets(n: np.ndarray) -> np.ndarray:
+    """The power of two above a frequency; 0 for what was never seen."""
+    return np.minimum(np.frexp(n.astype(float))[1], BUCKETS - 1)
+
+
+def _cells(n_v, n_w, n, total: int) -> list[dict]:
+    """Held-out tokens by bucket and the logarithms of both estimates."""
+    p2, p1 = n / np.maximum(n_v, 1), n_w / max(1, total)
+    with np.errstate(divide="ignore"):
+        q2, q1 = (np.where(p > 0, np.round(np.log(p) / STEP), NONE).astype(np.int64)
+                  for p in (p2, p1))
+    keys, at, each = np.unique(np.stack([buckets(n_v), q2, q1]), axis=1, return_inverse=True,
+                               return_counts=True)
+    sums = [np.bincount(at.ravel(), weights=p, minlength=len(each)) for p in (p2, p1)]
+    return [{"bucket": b, "q2": x, "q1": y, "n": k, "p2": s2, "p1": s1} for b, x, y, k, s2, s1 in
+            zip(*keys.tolist(), each.tolist(), *(s.tolist() for s in sums), strict=True)]
+
+
+def _count_step(fit_total: int):
+    def count(table: pa.Table) -> pa.Table:
+        """The rows of one chunk, its texts and the answers, as one row with counts."""
+        rows = table.to_pylist()
+        texts, = (r for r in rows if r["kind"] == TEXTS)
+        words = unpack(texts["fit"], texts["n"])
+        counted = {}
+        for kind in (WORDS, PAIRS):
+            parts = sorted((r for r in rows if r["kind"] == kind), key=lambda r: r["shard"])
+            counted[kind] = [np.concatenate([unpack(r[side], r["n"]) for r in parts])
+                             for side in ("fit", "tune")]
+        n_words = len(counted[WORDS][0])
+        hashes = unpack_sorted(texts["keys"], n_words)
+        ends = np.array(texts["doc_end"])
+        before = _contexts(words, ends)
+        keys, place = np.unique(pair_keys(hashes[before], hashes[words]), return_inverse=True)
+        if len(keys) != len(counted[PAIRS][0]):
+            raise ValueError("a chunk was answered for other texts than it holds")
+        folds = np.array(texts["fold"])
+        held = np.flatnonzero(np.repeat(folds == TUNING, np.diff(np.append(0, ends))))
+        fit = counted[WORDS][0]
+        cells = _cells(fit[before[held]], fit[words[held]], counted[PAIRS][0][place[held]],
+                       fit_total) if len(held) else []
+        row = {"chunk": texts["chunk"], "n": texts["n"], "doc_id": texts["doc_id"],
+               "doc_end": texts["doc_end"], "fold": texts["fold"], "words": texts["fit"],
+               "n_words": n_words, "word_total": pack(sum(counted[WORDS])),
+               "pair_total": pack(sum(counted[PAIRS])[place]), "cells": cells}
+        return pa.Table.from_pylist([row], schema=_COUNTED)
+    return count
+
+
+_CELL = pa.struct([("bucket", pa.int32()), ("q2", pa.int32()), ("q1", pa.int32()), ("n", pa.int64()),
+                   ("p2", pa.float64()), ("p1", pa.float64())])
+_COUNTED = pa.schema([("chunk", pa.int64()), ("n", pa.int64()), ("doc_id", pa.list_(pa.int64())),
+                      ("doc_end", pa.list_(pa.int64())), ("fold", pa.list_(pa.int32())),
+                      ("words", pa.binary()), ("n_words", pa.int64()), ("word_total", pa.binary()),
+                      ("pair_total", pa.binary()), ("cells", pa.list_(_CELL))])
+
+
+# The fit and the scores -----------------------------------------------------------------------
+
+def fit_weights(cells: list[tuple], uniform: float, iterations: int = 60) -> np.ndarray:
     """``[bucket, (l0, l1, l2)]`` by expectation-maximisation on held-out counts.
 
-    ``tail``: estimates P1 of infrequent words and the share of held-out tokens that have them.
+    ``cells`` are ``(bucket, tokens, P2, P1)``.  A bucket that saw little leans on all of them.
     """
-    value = lambda q: 0.0 if q == _NONE else math.exp(q * _STEP)
-    rows = []
-    for bucket, q2, q1, n in sorted(histogram):
-        if q1 == _NONE - 1:
-            rows += [(bucket, n * share, p1, value(q2) * p1) for p1, share in tail]
-        else:
-            rows.append((bucket, n, value(q1), value(q2)))
     weights = np.tile(np.array([0.1, 0.6, 0.3]), (BUCKETS, 1))
-    weights[0] = 0.1, 0.9, 0.0  # a context outside the model has no P2
-    if not rows:
+    weights[0] = 0.1, 0.9, 0.0  # a context never seen has no P2
+    if not cells:
         return weights
-    table = np.array(rows)
+    table = np.array(sorted(cells), dtype=float)
     bucket, n = table[:, 0].astype(int), table[:, 1]
-    p = np.stack([np.full(len(rows), uniform), table[:, 2], table[:, 3]], axis=1)
-    one = weights[1:2].copy()  # all buckets as one: where a bucket saw little, it leans on this
+    p = np.stack([np.full(len(table), uniform), table[:, 3], table[:, 2]], axis=1)
+    one = weights[1:2].copy()
     inside = bucket > 0
     for pooled in (True, False):
         for _ in range(iterations):
-            w = np.repeat(one, len(rows), axis=0) if pooled else weights[bucket]
+            w = np.repeat(one, len(table), axis=0) if pooled else weights[bucket]
             share = w * p
             share *= (n / np.maximum(share.sum(axis=1), 1e-300))[:, None]
             if pooled:
-                got = share[inside].sum(axis=0) + np.array([1.0, 1.0, 1.0])
+                got = share[inside].sum(axis=0) + 1.0
                 one = (got / got.sum())[None]
             else:
                 got = np.stack([np.bincount(bucket, weights=share[:, i], minlength=BUCKETS)
@@ -322,78 +292,36 @@ def fit_weights(histogram: list[tuple[int, int, int, int]], tail: list[tuple[flo
     return weights
 
 
-def _value_step(shared):
-    """Scores of the pairs that are not broadcast.
-
-    Between frequent words it is what the pair adds to the score of a pair never seen, else the
-    whole score; ``w_n`` is the count of an infrequent word.
-    """
-    def step(batches):
-        counts, weights = shared.value
-        model = Estimates(counts, all_of=True)
-        for batch in batches:
-            v, w, n, n_v, n_w = _with_counts(batch, counts, all_of=True)
-            share = weights[_buckets(n_v)]
-            unseen = share[:, 0] * model.uniform + share[:, 1] * n_w / model.total
-            value = np.log10(unseen + share[:, 2] * n / np.maximum(n_v, 1))
-            value = np.where((v >= 0) & (w >= 0), value - np.log10(unseen), value)
-            at = np.flatnonzero(model.frequent(v, w) < 0)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(x[at]) for x in (v, w, value, np.where(w < 0, n_w, 0))],
-                names=["v", "w", "value", "w_n"])
-    return step
+def probabilities(weights: np.ndarray, n_v, n_w, n, total: int, types: int) -> np.ndarray:
+    """P(w | v) from the counts of contexts, words and pairs."""
+    share = weights[buckets(n_v)]
+    return (share[:, 0] / (types + 1) + share[:, 1] * n_w / max(1, total)
+            + share[:, 2] * n / np.maximum(n_v, 1))
 
 
-def _score_step(shared):
-    """A row per text with the sums over its frequent words and pairs, and a row per other pair."""
+def _score_step(weights: np.ndarray, total: int, types: int):
     def step(batches):
-        numbers, counts, weights = shared.value
-        model = Estimates(counts, all_of=True)
-        base_of = model.total + counts.n_types + 1 if counts.total else 1.0
-        tag = TaskContext.get().partitionId() << 40
-        for ids_in, texts in chunks(batches):
-            ids, context, starts = _numbered(texts, numbers)
-            w = weights[model.bucket(context)]
-            head = ids >= 0
-            count = np.where(head, model.words[np.maximum(ids, 0)], 0)
-            p2 = model.frequent(context, ids)
-            p = (w[:, 0] * model.uniform + w[:, 1] * count / model.total
-                 + w[:, 2] * np.maximum(p2, 0))
-            base = np.where(head, np.log10((count + 1) / base_of), 0.0)
-            score = np.where(head & (context >= 0), np.log10(p), 0.0)
-            known = (head & (count > 0)).astype(np.int64)
-            sums = [np.add.reduceat(x, starts) for x in (known, base, score)]
-            n = np.diff(np.append(starts, len(ids)))
-            other = np.flatnonzero(p2 < 0)
-            text = np.repeat(np.arange(len(texts)), n)[other]
-            v, w = context[other], ids[other]
-            order, first = _grouped(text.astype(np.uint64) << np.uint64(40)
-                                    | _mixed(v, w) >> np.uint64(24), text, v, w)
-            at = order[first]
-            each = np.diff(np.append(first, len(order)))
-            tags = tag + np.arange(len(texts))
-            tag += len(texts)
-            m = len(at)
-            doc = pa.StructArray.from_arrays(
-                [pa.array(ids_in, pa.int64()), *map(pa.array, (n, *sums))],
-                names=["doc_id", "n_tokens", "n_known", "base", "score"])
-            # A text's own row has a pair that no table holds: word -1 - tag after itself.
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate([tags, tags[text[at]]])),
-                 pa.array(np.concatenate([tags, v[at]])), pa.array(np.concatenate([-1 - tags, w[at]])),
-                 pa.array(np.concatenate([np.zeros(len(texts), np.int64), each])),
-                 pa.concat_arrays([doc, pa.nulls(m, doc.type)])],
-                names=["tag", "v", "w", "n", "doc"])
+        for batch in batches:
+            for row in batch.to_pylist():
+                words = unpack(row["words"], row["n"])
+                count = unpack(row["word_total"], row["n_words"])
+                ends = np.array(row["doc_end"])
+                starts = np.append(0, ends[:-1])
+                n_w = count[words]
+                p = probabilities(weights, count[_contexts(words, ends)], n_w,
+                                  unpack(row["pair_total"], row["n"]), total, types)
+                base = np.log10((n_w + 1) / (total + types + 1))
+                sums = [np.add.reduceat(x, starts) for x in
+                        ((n_w > 0).astype(np.int64), base, np.log10(p))]
+                m = len(ends)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(row["doc_id"], pa.int64()), pa.array(np.array(row["fold"]) == HELD_OUT),
+                     pa.array(ends - starts), pa.array(sums[0]),
+                     pa.array(np.full(m, total, dtype=np.int64)), pa.array(sums[1]),
+                     pa.array(sums[2])], names=[c.split()[0] for c in SCORE_SCHEMA.split(", ")])
     return step
 
 
-def count_words(training: DataFrame) -> DataFrame:
-    """``(word, n_fit, n_tune)`` over all training documents, written once."""
-    counted = python_rows(training, _count_step, COUNT_SCHEMA)
-    return materialise(counted.groupBy("word").agg(F.sum("n_fit").alias("n_fit"),
-                                                   F.sum("n_tune").alias("n_tune")), "words")
-
-
 def _once(df: DataFrame, name: str) -> DataFrame:
     """``materialise`` that leaves no shuffle files behind."""
     conf, key = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
@@ -405,108 +333,42 @@ def _once(df: DataFrame, name: str) -> DataFrame:
         conf.set(key, before)
 
 
-def gather(texts: DataFrame, vocabulary: DataFrame, head_share: float,
-           pair_share: float) -> tuple[Counts, DataFrame]:
-    """The bounded tables of frequent words and pairs, and the table of all pairs.
-
-    ``texts`` are all texts, with their folds.
-    """
+def counted_chunks(texts: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> tuple[DataFrame, list[int]]:
+    """Chunks with the counts of their tokens, and the totals: tokens of the estimates' part and of
+    the held-out part, distinct words of both and of the first."""
     spark = texts.sparkSession
-    n = F.col("n_fit") + F.col("n_tune")
-    sums = vocabulary.agg(F.sum("n_fit"), F.sum("n_tune"), F.count(F.lit(1)),
-                          F.count_if(F.col("n_fit") > 0)).first()
-    n_fit, n_tune, n_types, fit_types = (int(x or 0) for x in sums)
-    total = n_fit + n_tune
-    frequent = vocabulary.where(n >= max(1.0, head_share * total)).collect()  # <= 1 / head_share
-    order = sorted(((bytes(r["word"]), r["n_fit"], r["n_tune"]) for r in frequent),
-                   key=lambda r: (r[0] != END, -(r[1] + r[2]), r[0]))
-    if not order or order[0][0] != END:
-        order.insert(0, (END, 0, 0))  # the end of a document may be rare, but is always needed
-        end = vocabulary.where(F.col("word") == F.lit(END)).collect()
-        if end:
-            order[0] = (END, end[0]["n_fit"], end[0]["n_tune"])
-    numbers = {w: i for i, (w, _, _) in enumerate(order)}
-    fit, tune = (np.array([r[i] for r in order], dtype=np.int64) for i in (1, 2))
-    least = max(2.0, pair_share * total)
-    n_model = len(order)
-    pairs = _once(python_rows(texts, _pair_step(spark.sparkContext.broadcast(numbers)), PAIR_SCHEMA)
-                  .groupBy("v", "w").agg(F.sum("n_fit").alias("n_fit"),
-                                         F.sum("n_tune").alias("n_tune")), "pairs")
-    top = (pairs.where((n >= least) & (F.col("v") >= 0) & (F.col("w") >= 0))
-           .select((F.col("v") * n_model + F.col("w")).alias("pair"), "n_fit", "n_tune")
-           .toArrow().sort_by("pair"))  # <= 1 / pair_share rows
-    return Counts(numbers, fit, tune, n_model, n_fit, n_tune, n_types, fit_types,
-                  *(top.column(i).to_numpy().astype(np.int64) for i in range(3))), pairs
-
-
-def infrequent(vocabulary: DataFrame, counts: Counts, head_share: float) -> DataFrame:
-    """``(id, n_fit, n_tune)`` of the words that are not broadcast."""
-    n = F.col("n_fit") + F.col("n_tune")
-    rare = vocabulary.where((n < max(1.0, head_share * counts.total))
-                            & (F.col("word") != F.lit(END)))
-    return _once(rare.groupBy(F.xxhash64("word").bitwiseOR(F.lit(-1 << 63)).alias("id"))
-                 .agg(F.sum("n_fit").alias("n_fit"), F.sum("n_tune").alias("n_tune")), "rare")
-
-
-def counted_pairs(pairs: DataFrame, rare: DataFrame) -> DataFrame:
-    """``pairs`` with the counts of their infrequent words, 0 for frequent ones.
-
-    No key of these joins is hot: a pair is there once, and its word is infrequent.
-    """
-    zero = F.lit(0).cast("bigint")
-    found = pairs.select("v", "w", "n_fit", "n_tune")
-    for side in ("v", "w"):
-        named = rare.select(F.col("id").alias(side), F.col("n_fit").alias("fit"),
-                            F.col("n_tune").alias("tune"))
-        low = found.where(F.col(side) < 0).join(named, side, "left").select(
-            *found.columns, F.coalesce("fit", zero).alias(f"{side}_fit"),
-            F.coalesce("tune", zero).alias(f"{side}_tune"))
-        found = low.unionAll(found.where(F.col(side) >= 0).select(
-            "*", zero.alias(f"{side}_fit"), zero.alias(f"{side}_tune")))
-    return found
-
-
-def learn_weights(pairs: DataFrame, rare: DataFrame, counts: Counts) -> np.ndarray:
-    """Mixture weights from the pairs of held-out training documents."""
-    shared = pairs.sparkSession.sparkContext.broadcast(counts)
-    held_out = counted_pairs(pairs.where("n_tune > 0"), rare)
-    histogram = _once(python_rows(held_out, _histogram_step(shared), HISTOGRAM_SCHEMA)
-                      .groupBy("bucket", "q2", "q1").agg(F.sum("n").alias("n")), "histogram")
-    return fit_weights([tuple(r) for r in histogram.collect()],  # bounded by the three scales
-                       [], Estimates(counts, all_of=False).uniform)
+    ship_package(spark)
+    size = texts.agg(F.sum(F.octet_length("body"))).first()[0] or 0
+    shards = max(shuffle_width(spark), -(-size // SHARD_BYTES))
+    asked = python_rows(texts, _ask_step(shards, chunk_bytes), ASKED_SCHEMA)
+    answers = _once(asked.groupBy("shard").applyInArrow(answer, ASKED_SCHEMA), "answers")
+    of = lambda i: F.sum(F.col("doc_end")[i])
+    totals = [int(x or 0) for x in
+              answers.where(F.col("kind") == TOTALS).agg(*map(of, range(4))).first()]
+    counted = answers.where(F.col("kind") != TOTALS).groupBy("chunk").applyInArrow(
+        _count_step(totals[0]), COUNTED_SCHEMA)
+    return _once(counted, "counted"), totals
+
+
+def learn_weights(counted: DataFrame, totals: list[int]) -> np.ndarray:
+    """Mixture weights from the cells of all chunks; their number is bounded by the grid."""
+    cells = (counted.select(F.inline("cells")).groupBy("bucket", "q2", "q1")
+             .agg(*(F.sum(c).alias(c) for c in ("n", "p2", "p1")))
+             .select("bucket", "n", F.col("p2") / F.col("n"), F.col("p1") / F.col("n")))
+    return fit_weights([tuple(r) for r in cells.collect()], 1 / (totals[3] + 1))
 
 
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
-          head_share: float = HEAD_SHARE, pair_share: float = PAIR_SHARE,
-          weights: np.ndarray | None = None) -> DataFrame:
+          weights: np.ndarray | None = None, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """Counts and log10 probabilities per row; ``weights``, if given, are not learned again.
 
     ``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score``.
     """
-    spark = docs.sparkSession
     texts = bodies(docs, id_col, text_col)
-    at = fold(F.col("doc_id"))
-    folds = texts.withColumn("fold", at.cast("int"))
-    vocabulary = count_words(folds.where(F.col("fold") != HELD_OUT))
-    counts, pairs = gather(folds, vocabulary, head_share, pair_share)
-    rare = infrequent(vocabulary, counts, head_share)
+    counted, totals = counted_chunks(texts.withColumn("fold", fold(F.col("doc_id")).cast("int")),
+                                     chunk_bytes)
     if weights is None:
-        weights = learn_weights(pairs, rare, counts)
-    context = spark.sparkContext
-    values = python_rows(counted_pairs(pairs, rare),
-                         _value_step(context.broadcast((counts, weights))), VALUE_SCHEMA)
-    rows = python_rows(texts, _score_step(context.broadcast((counts.numbers, counts, weights))),
-                       SCORE_SCHEMA)
-
-    base_of = float(counts.total + counts.n_types + 1)
-    n, w_n = F.col("n"), F.coalesce("w_n", F.lit(0))
-    other = F.col("doc").isNull() & (F.col("w") < 0)  # a pair whose word is infrequent
-    total = lambda name, x: F.sum(F.coalesce(F.col(f"doc.{name}"), x))
-    return (rows.join(values, ["v", "w"], "left").groupBy("tag").agg(
-        F.max("doc.doc_id").alias("doc_id"), F.sum("doc.n_tokens").alias("n_tokens"),
-        total("n_known", F.when(other & (w_n > 0), n).otherwise(0)).alias("n_known"),
-        total("base", F.when(other, n * F.log10((w_n + 1) / base_of)).otherwise(0.0))
-        .alias("base_score"),
-        total("score", n * F.coalesce("value", F.lit(0.0))).alias("score"))
-        .select("doc_id", (at == HELD_OUT).alias("held_out"), "n_tokens", "n_known",
-                F.lit(counts.total).cast("bigint").alias("train_tokens"), "base_score", "score"))
+        weights = learn_weights(counted, totals)
+    return python_rows(
+        counted.select("n", "doc_id", "doc_end", "fold", "words", "n_words", "word_total", "pair_total"),
+        _score_step(weights, totals[0] + totals[1], totals[2]), SCORE_SCHEMA)

@@ -5,7 +5,7 @@ from collections import Counter
 
 import numpy as np
 
-from basketry.llm import lm
+from basketry.llm import common, lm
 from tests.llm.cases import frame, rows
 
 
@@ -40,21 +40,30 @@ def check(df, table):
 
 
 def test_rows(spark):
-    """Shares that leave frequent, infrequent and unknown words, and kept and cut pairs."""
-    table = rows()
-    for head, pair in ((1e-6, 5e-6), (0.004, 0.008), (0.9, 0.9)):
-        check(lm.score(frame(spark, table), head_share=head, pair_share=pair), table)
+    check(lm.score(frame(spark, rows())), rows())
 
 
-def test_frequent_and_infrequent_words_score_alike(spark):
-    """With the same weights it makes no difference which words are broadcast."""
-    table = rows()
-    weights = lm.fit_weights([(3, -8, -9, 50), (5, -20, -9, 9)], [], 1e-3)
-    one, two = (sorted((repr(r.doc_id), r.n_tokens, round(r.base_score, 6), r.score)
-                       for r in lm.score(frame(spark, table), head_share=h, pair_share=0.01,
-                                         weights=weights).collect()) for h in (1e-6, 0.0099))
-    for a, b in zip(one, two, strict=True):
-        assert a[:3] == b[:3] and math.isclose(a[3], b[3], rel_tol=1e-9), (a, b)
+def test_chunks_and_shards_change_nothing(spark, monkeypatch):
+    """Small chunks and many shards give the same rows as one of each."""
+    whole = sorted((repr(r.doc_id), r.n_tokens, round(r.score, 9))
+                   for r in lm.score(frame(spark, rows())).collect())
+    monkeypatch.setattr(lm, "SHARD_BYTES", 500)
+    cut = sorted((repr(r.doc_id), r.n_tokens, round(r.score, 9)) for r in
+                 lm.score(frame(spark, rows()).repartition(40), chunk_bytes=700).collect())
+    assert cut == whole
+
+
+def test_packed_numbers():
+    r = np.random.default_rng(2)
+    for top in (1, 200, 70_000, 1 << 40, (1 << 63) - 1):
+        x = r.integers(0, top, 500)
+        assert (common.unpack(common.pack(x), 500) == x).all()
+    keys = np.unique(r.integers(0, 1 << 63, 999, dtype=np.uint64) * np.uint64(2))
+    assert (common.unpack_sorted(common.pack_sorted(keys), len(keys)) == keys).all()
+    cuts = lm._cuts(keys, 7)
+    assert cuts[0] == 0 and cuts[-1] == len(keys) and (np.diff(cuts) > 0).all()
+    assert all((keys[a:b].astype(object) * 7 >> 64 == s).all()
+               for s, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])))
 
 
 def test_empty(spark):
@@ -65,33 +74,53 @@ def test_empty(spark):
     assert got[0][4] == 0 and got[0][3] == 0
 
 
-def test_probabilities_sum_to_one():
-    """Over all known words and one unknown, in every context."""
-    r = np.random.default_rng(1)
-    n = 30
-    fit, tune = r.integers(1, 50, n), r.integers(0, 9, n)
-    model = 12
-    pairs = np.sort(r.choice(model * model, 40, replace=False))
-    seen = np.bincount(pairs // model, minlength=model)
-    each = fit[:model] // np.maximum(seen, 1)  # no context has more pairs than occurrences
-    c = lm.Counts({}, fit, tune, model, int(fit.sum()), int(tune.sum()), n, n, pairs,
-                  each[pairs // model], np.zeros(40, np.int64))
-    weights = lm.fit_weights([(3, -8, -9, 50), (4, -20, -9, 9), (0, lm._NONE, -12, 7),
-                              (3, -2, lm._NONE - 1, 20)], [(0.0, 0.5), (0.01, 0.5)], 1 / (n + 1))
+def test_probabilities_sum_to_one(spark):
+    """Over all known words and one unknown, in every context that has a weight."""
+    table = rows()
+    words, pairs = Counter(), Counter()
+    for i, x in table:
+        if fold(i) != 2:
+            ts = tokens(x)
+            words.update(ts)
+            pairs.update(zip([None, *ts], ts))
+    n, types = sum(words.values()), len(words)
+    weights = lm.fit_weights([(b, 5 + b, 0.1 / b, 0.01) for b in range(1, 9)], 1e-3)
     assert np.allclose(weights.sum(axis=1), 1) and weights[0, 2] == 0 and (weights[:, 0] > 0).all()
-    for all_of in (True, False):
-        e = lm.Estimates(c, all_of)
-        for v in [-1, 0, 5, 11, 12, 29]:
-            context, word = np.full(n, v), np.arange(n)
-            w = weights[e.bucket(context)]
-            p = (w[:, 0] * e.uniform + w[:, 1] * e.unigram(word)
-                 + w[:, 2] * e.bigram(context, word))
-            assert abs(p.sum() + w[0, 0] * e.uniform - 1) < 1e-9, v
+    known = list(words)
+    for v in [None, *known[:20]]:
+        p = lm.probabilities(weights, np.full(types, words[v]), np.array([words[w] for w in known]),
+                             np.array([pairs[v, w] for w in known]), n, types)
+        unknown = lm.probabilities(weights, np.array([words[v]]), np.zeros(1), np.zeros(1), n, types)
+        assert abs(p.sum() + unknown[0] - 1) < 1e-9, v
+
+
+def brute_weights(table):
+    """Expectation-maximisation over single held-out tokens."""
+    words, pairs, held = Counter(), Counter(), []
+    for i, x in table:
+        ts = tokens(x)
+        if fold(i) == 5:
+            held += zip([None, *ts], ts)
+        elif fold(i) != 2:
+            words.update(ts)
+            pairs.update(zip([None, *ts], ts))
+    n, types = max(1, sum(words.values())), len(words)
+    return lm.fit_weights([(words[v].bit_length(), 1, pairs[v, w] / max(1, words[v]), words[w] / n)
+                           for v, w in held], 1 / (types + 1))
+
+
+def test_learned_weights(spark):
+    """The grid of held-out tokens gives the weights of a fit to the tokens themselves."""
+    table = rows(n=600)
+    counted, totals = lm.counted_chunks(
+        common.bodies(frame(spark, table)).withColumn("fold", lm.fold(lm.F.col("doc_id")).cast("int")))
+    got, want = lm.learn_weights(counted, totals), brute_weights(table)
+    assert np.abs(got - want).max() < 0.01, np.abs(got - want).max()
 
 
 def test_weights_follow_the_data():
     """Held-out tokens that the pairs foretell move the weight to the pairs."""
-    strong = lm.fit_weights([(5, -2, -30, 1000), (6, -30, -12, 1000)], [], 1e-5)
+    strong = lm.fit_weights([(5, 1000, 0.8, 0.05), (6, 1000, 0.05, 0.3)], 1e-5)
     assert strong[5, 2] > 0.9 and strong[6, 1] > 0.9
 
 
@@ -103,9 +132,9 @@ def test_held_out_beats_base(spark):
 
 
 def test_every_pair_counts(spark):
-    """Scores equal the mixture over the counts of all pairs, however few words are broadcast."""
+    """Scores equal the mixture over the counts of all pairs, whatever their frequency."""
     table = rows()
-    weights = lm.fit_weights([(b, -8, -9, 50 + b) for b in range(1, 9)], [], 1e-3)
+    weights = lm.fit_weights([(b, 50 + b, 0.45, 0.41) for b in range(1, 9)], 1e-3)
     words, pairs = Counter(), Counter()
     for i, x in table:
         if fold(i) != 2:
@@ -123,8 +152,7 @@ def test_every_pair_counts(spark):
         return out
 
     want = sorted((repr(i), len(tokens(x)), brute_score(tokens(x))) for i, x in table)
-    for head, pair in ((1e-6, 5e-6), (0.004, 0.008), (0.9, 0.9)):
-        got = sorted((repr(r.doc_id), r.n_tokens, r.score) for r in lm.score(
-            frame(spark, table), head_share=head, pair_share=pair, weights=weights).collect())
-        for a, b in zip(got, want, strict=True):
-            assert a[:2] == b[:2] and math.isclose(a[2], b[2], rel_tol=1e-9), (head, a, b)
+    got = sorted((repr(r.doc_id), r.n_tokens, r.score)
+                 for r in lm.score(frame(spark, table), weights=weights).collect())
+    for a, b in zip(got, want, strict=True):
+        assert a[:2] == b[:2] and math.isclose(a[2], b[2], rel_tol=1e-9), (a, b)
