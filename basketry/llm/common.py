@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from basketry.session import ship_package
+from basketry.session import scratch_path, ship_package
 
 # ASCII white space, the bytes of [\x20\x09-\x0D]; bytes.split() parts words at the same ones.
 SPACE = b" \t\n\x0b\x0c\r"
@@ -22,20 +23,27 @@ def read_documents(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def bodies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-           carry: str | None = None) -> DataFrame:
+           whole: bool = False) -> DataFrame:
     """``(doc_id bigint, body binary)``: the UTF-8 bytes of each text, null as empty.
 
-    Columns other than ``carry`` are left behind here, so their names cannot clash.
+    Other columns are left behind here, so their names cannot clash.  ``whole`` takes them along
+    in a struct ``_row``, numbered and without the text, for :func:`restored`.
     """
-    return docs.select(
-        F.col(f"`{id_col}`").cast("bigint").alias("doc_id"),
-        F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).cast("binary").alias("body"),
-        *([F.col(carry)] if carry else []))
+    text = F.col(f"`{text_col}`")
+    rest = F.struct(text.isNull().alias("none"),
+                    *(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns) if c != text_col))
+    return docs.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"),
+                       F.coalesce(text.cast("string"), F.lit("")).cast("binary").alias("body"),
+                       *([rest.alias("_row")] if whole else []))
 
 
-def whole_rows(docs: DataFrame, name: str = "_row") -> DataFrame:
-    """``docs`` with one more column that holds each row as it came."""
-    return docs.select("*", F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias(name))
+def restored(rows: DataFrame, docs: DataFrame, text_col: str = "text",
+             text: Column | None = None) -> DataFrame:
+    """The columns of ``docs`` from ``rows`` with ``_row``; the text is ``text``, else the body."""
+    if text is None:
+        text = F.when(~F.col("_row.none"), F.col("body").cast("string"))
+    return rows.select(*((text.cast("string") if c == text_col else F.col(f"_row.c{i}")).alias(c)
+                         for i, c in enumerate(docs.columns)))
 
 
 def python_rows(df: DataFrame, step: Callable, schema) -> DataFrame:
@@ -48,6 +56,20 @@ def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def bucketed(df: DataFrame, column: str, name: str) -> DataFrame:
+    """``df`` written once in files by ``column``, so that later joins on it move the other side only.
+
+    The table is external and leaves the catalogue at once; its files stay in the shared folder.
+    """
+    spark, width = df.sparkSession, shuffle_width(df.sparkSession)
+    table = f"{name}_{uuid.uuid4().hex}"
+    (df.repartition(width, column).write.format("parquet").option("path", scratch_path(spark, name))
+     .bucketBy(width, column).sortBy(column).saveAsTable(table))
+    rows = spark.table(table)
+    spark.sql(f"DROP TABLE {table}")
+    return rows
+
+
 # Packed numbers -------------------------------------------------------------------------------
 
 def pack(values: np.ndarray) -> bytes:

@@ -27,7 +27,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from basketry.llm.common import SPACE, bodies, python_rows, shuffle_width, whole_rows
+from basketry.llm.common import SPACE, bodies, python_rows, restored, shuffle_width
 from basketry.session import materialise, scratch_path
 
 MIN_CHARS = 10
@@ -185,18 +185,18 @@ def _rebuild_step(report: bool):
     return step
 
 
-def _rebuilt(docs: DataFrame, id_col: str, text_col: str, report: bool, carry: str | None,
+def _rebuilt(docs: DataFrame, id_col: str, text_col: str, report: bool, carried: bool,
              **options) -> DataFrame:
     losses = dropped_lines(docs, id_col, text_col, **options)
-    whole = bodies(docs, id_col, text_col, carry)
+    whole = bodies(docs, id_col, text_col, carried)
     whole = python_rows(whole, _digest_step, T.StructType(
         [*whole.schema.fields, T.StructField("digest", T.LongType())]))
     joined = whole.join(losses.withColumnRenamed("doc_id", "_lost_id")
                         .withColumnRenamed("digest", "_lost_digest"),
                         F.col("doc_id").eqNullSafe(F.col("_lost_id"))
                         & (F.col("digest") == F.col("_lost_digest")), "left")
-    first = F.col(carry or "doc_id")
-    schema = T.StructType([whole.schema[carry or "doc_id"], T.StructField("n_lines", T.LongType()),
+    first = "_row" if carried else "doc_id"
+    schema = T.StructType([whole.schema[first], T.StructField("n_lines", T.LongType()),
                            T.StructField("n_dropped", T.LongType()),
                            T.StructField("kept_sha256" if report else "kept_text",
                                          T.StringType())])
@@ -213,12 +213,11 @@ def _digest_step(batches):
 def line_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 **options) -> DataFrame:
     """``doc_id, n_lines, n_dropped, kept_sha256`` per document."""
-    return _rebuilt(docs, id_col, text_col, True, None, **options)
+    return _rebuilt(docs, id_col, text_col, True, False, **options)
 
 
 def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                         **options) -> DataFrame:
     """``docs`` with the repeated lines taken out of the text; all columns and rows stay."""
-    rebuilt = _rebuilt(whole_rows(docs), id_col, text_col, False, "_row", **options)
-    return rebuilt.select(*(F.col("kept_text").cast("string").alias(c) if c == text_col
-                            else F.col(f"_row.`{c}`") for c in docs.columns))
+    rebuilt = _rebuilt(docs, id_col, text_col, False, True, **options)
+    return restored(rebuilt, docs, text_col, F.col("kept_text"))

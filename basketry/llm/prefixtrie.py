@@ -36,11 +36,11 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from basketry.functions.positions import global_position
 from basketry.llm.common import python_rows, shuffle_width
-from basketry.session import drop_scratch, materialise, scratch_paths, shared_folder, ship_package
+from basketry.session import drop_paths, materialise, scratch_scope, shared_folder, ship_package
 
 FAMILY, MOST = 5, 9
 BUCKET_TURNS = 1024
@@ -277,13 +277,6 @@ def _runs(table: pa.Table) -> pa.Table:
                     names=["arc", "head", "offset", "next", "length"])
 
 
-def _drop(spark: SparkSession, since: set[str], but: int = 1) -> None:
-    """Delete what was written to the shared folder after ``since``, but the newest tables."""
-    new = [p for p in scratch_paths(spark) if p not in since]
-    gone = set(new[:len(new) - but])
-    drop_scratch(spark, [p for p in scratch_paths(spark) if p not in gone])
-
-
 def ranked(arcs: DataFrame, n_nodes: int) -> DataFrame:
     """``(arc, position)`` of every arc of a tour of ``2 n_nodes`` arcs."""
     spark = arcs.sparkSession
@@ -291,16 +284,18 @@ def ranked(arcs: DataFrame, n_nodes: int) -> DataFrame:
     buckets = max(shuffle_width(spark), -(-n_nodes // BUCKET_NODES))
     bucket = F.pmod(F.xxhash64("conv", F.floor(F.col("depth") / BUCKET_TURNS)), F.lit(buckets))
     runs = materialise(arcs.groupBy(bucket.alias("bucket")).applyInArrow(_runs, RUN_SCHEMA), "runs")
-    before = set(scratch_paths(spark))
-    way = materialise(runs.where("length is not null")
-                      .select("head", "next", F.col("length").alias("rest")), "way")
+    with scratch_scope() as written:
+        way = materialise(runs.where("length is not null")
+                          .select("head", "next", F.col("length").alias("rest")), "way")
     while not way.where("next >= 0").isEmpty():
         ahead = way.select(F.col("head").alias("next"), F.col("next").alias("after"),
                            F.col("rest").alias("more"))
         jumped = way.where("next >= 0").join(ahead, "next").select(
             "head", F.col("after").alias("next"), (F.col("rest") + F.col("more")).alias("rest"))
-        way = materialise(jumped.unionAll(way.where("next < 0")), "way")
-        _drop(spark, before)
+        done = list(written)
+        with scratch_scope() as written:
+            way = materialise(jumped.unionAll(way.where("next < 0")), "way")
+        drop_paths(spark, done)
     return (runs.select("arc", "head", "offset").join(way.select("head", "rest"), "head")
             .select("arc", (F.lit(2 * n_nodes) - F.col("rest") + F.col("offset")).alias("position")))
 

@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from basketry.llm.common import SPACE, bodies, python_rows, whole_rows
+from basketry.llm.common import SPACE, bodies, python_rows, restored
 from basketry.session import materialise
 
 GOOD, ABSTAIN, BAD = 1, 0, -1
@@ -76,19 +76,19 @@ def features_of(body: bytes) -> tuple[int, ...]:
 
 def _feature_step(batches):
     for batch in batches:
-        rows = [features_of(b) for b in batch.column("body").to_pylist()]
+        rows = [features_of(b.as_py()) for b in batch.column("body")]
         columns = list(zip(*rows, strict=True)) if rows else [()] * len(FEATURES)
-        kept = [n for n in batch.schema.names if n != "body"]
+        kept = [n for n in batch.schema.names if n != "body" or "_row" in batch.schema.names]
         yield pa.RecordBatch.from_arrays(
             [*(batch.column(n) for n in kept), *(pa.array(c, pa.int64()) for c in columns)],
             names=[*kept, *FEATURES])
 
 
 def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-             carry: str | None = None) -> DataFrame:
-    """One row of numbers per document; ``carry`` names one more column to take along."""
-    taken = bodies(docs, id_col, text_col, carry)
-    schema = T.StructType([f for f in taken.schema.fields if f.name != "body"]
+             whole: bool = False) -> DataFrame:
+    """One row of numbers per document; ``whole`` takes the document along."""
+    taken = bodies(docs, id_col, text_col, whole)
+    schema = T.StructType([f for f in taken.schema.fields if f.name != "body" or whole]
                           + [T.StructField(n, T.LongType()) for n in FEATURES])
     return python_rows(taken, _feature_step, schema)
 
@@ -192,25 +192,40 @@ def count_patterns(voted: DataFrame, names: tuple[str, ...]) -> tuple[np.ndarray
     return table[:, :-1], table[:, -1].astype(float)
 
 
+def _voted(docs: DataFrame, id_col: str, text_col: str, whole: bool = False) -> DataFrame:
+    failed = ((F.col("n_words") < MIN_WORDS)
+              | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")))
+    return (features(docs, id_col, text_col, whole).withColumn("base_failed", failed)
+            .withColumns({f"vote_{n}": v.cast("int") for n, v in rules().items()}))
+
+
+def _verdicts(voted: DataFrame, model: VoteModel, threshold: float) -> DataFrame:
+    return (voted.withColumn("p_good", 1 / (1 + F.exp(-model.log_odds())))
+            .withColumn("kept", ~F.col("base_failed") & (F.col("p_good") >= threshold)))
+
+
+def _fitted(voted: DataFrame) -> VoteModel:
+    names = tuple(rules())
+    return fit_votes(names, *count_patterns(voted.where(~F.col("base_failed")), names))
+
+
 def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-          threshold: float = 0.5, carry: str | None = None) -> DataFrame:
+          threshold: float = 0.5) -> DataFrame:
     """Features, votes, posterior ``p_good`` and verdict ``kept`` per document.
 
     Texts that fail the base rule (fewer than 50 words, or more than half of the words inside
     repeated windows) are out and do not take part in the fit.
     """
-    votes = rules()
-    names = tuple(votes)
-    failed = ((F.col("n_words") < MIN_WORDS)
-              | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")))
-    voted = materialise(
-        features(docs, id_col, text_col, carry).withColumn("base_failed", failed)
-        .withColumns({f"vote_{n}": v.cast("int") for n, v in votes.items()}), "quality-votes")
-    model = fit_votes(names, *count_patterns(voted.where(~F.col("base_failed")), names))
-    return (voted.withColumn("p_good", 1 / (1 + F.exp(-model.log_odds())))
-            .withColumn("kept", ~F.col("base_failed") & (F.col("p_good") >= threshold)))
+    voted = materialise(_voted(docs, id_col, text_col), "quality-votes")
+    return _verdicts(voted, _fitted(voted), threshold)
 
 
-def keep_good(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows that ``judge`` keeps, with all their columns as they came."""
-    return judge(whole_rows(docs), id_col, text_col, carry="_row").where("kept").select("_row.*")
+def keep_good(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+              threshold: float = 0.5) -> DataFrame:
+    """The rows that ``judge`` keeps, with all their columns as they came.
+
+    Votes are counted first and cast again as the rows are written, so no text is kept aside.
+    """
+    model = _fitted(_voted(docs, id_col, text_col))
+    good = _verdicts(_voted(docs, id_col, text_col, whole=True), model, threshold).where("kept")
+    return restored(good, docs, text_col)

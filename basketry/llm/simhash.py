@@ -30,7 +30,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from basketry.llm.common import bodies, python_rows, shuffle_width, whole_rows
+from basketry.llm.common import bodies, python_rows, restored, shuffle_width
 from basketry.llm.components import components
 from basketry.session import materialise
 
@@ -69,16 +69,16 @@ def signed(value: int) -> int:
 def _fingerprint_step(batches):
     for batch in batches:
         prints = [signed(fingerprint(b)) for b in batch.column("body").to_pylist()]
-        kept = [n for n in batch.schema.names if n != "body"]
+        kept = [n for n in batch.schema.names if n != "body" or "_row" in batch.schema.names]
         yield pa.RecordBatch.from_arrays(
             [*(batch.column(n) for n in kept), pa.array(prints, pa.int64())],
             names=[*kept, "fp"])
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 carry: str | None = None) -> DataFrame:
-    taken = bodies(docs, id_col, text_col, carry)
-    schema = T.StructType([f for f in taken.schema.fields if f.name != "body"]
+                 whole: bool = False) -> DataFrame:
+    taken = bodies(docs, id_col, text_col, whole)
+    schema = T.StructType([f for f in taken.schema.fields if f.name != "body" or whole]
                           + [T.StructField("fp", T.LongType())])
     return python_rows(taken, _fingerprint_step, schema)
 
@@ -227,7 +227,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
              shard_rows: int = SHARD_ROWS) -> DataFrame:
     """One row of each component: the smallest id, of equal ids the first in the input."""
-    whole = materialise(fingerprints(whole_rows(docs), id_col, text_col, "_row")
+    whole = materialise(fingerprints(docs, id_col, text_col, True)
                         .withColumn("_n", F.monotonically_increasing_id()), "fingerprints")
     prints = whole.select("doc_id", "_n", "fp")
     best = F.struct(F.col("doc_id").isNull(), "doc_id", "_n")
@@ -235,4 +235,4 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
               .join(_components(prints, shard_rows), "fp", "left")
               .groupBy(F.coalesce("root", "fp")).agg(F.min("first").alias("first"))
               .select(F.col("first._n").alias("_n")))
-    return whole.join(firsts, "_n", "left_semi").select("_row.*")
+    return restored(whole.join(firsts, "_n", "left_semi"), docs, text_col)

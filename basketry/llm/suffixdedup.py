@@ -33,7 +33,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from basketry.llm.common import bodies, python_rows, shuffle_width, whole_rows
+from basketry.llm.common import bodies, python_rows, restored, shuffle_width
 from basketry.llm.runindex import RunIndex
 
 WINDOW = 50
@@ -471,18 +471,18 @@ def _cut_step(report: bool):
     return step
 
 
-def _cut(docs: DataFrame, id_col: str, text_col: str, report: bool, carry: str | None, **options):
+def _cut(docs: DataFrame, id_col: str, text_col: str, report: bool, carried: bool, **options):
     # Dealt before they are gathered: spans of a document rarely meet inside a shard, and rows
     # travel lighter than partial lists.
     spans = (repeated_spans(docs, id_col, text_col, **options)
              .select(F.col("doc_id").alias("at_id"), F.col("digest").alias("at_digest"), "span")
              .repartition(shuffle_width(docs.sparkSession), "at_id", "at_digest")
              .groupBy("at_id", "at_digest").agg(F.collect_set("span").alias("spans")))
-    whole = bodies(docs, id_col, text_col, carry)
+    whole = bodies(docs, id_col, text_col, carried)
     marked = python_rows(whole, _digest_step, T.StructType(
         [*whole.schema.fields, *(T.StructField(n, T.LongType()) for n in ("at_id", "at_digest"))]))
     joined = marked.join(spans, ["at_id", "at_digest"], "left")
-    first = carry or "doc_id"
+    first = "_row" if carried else "doc_id"
     schema = T.StructType([whole.schema[first],
                            *(T.StructField(n, T.LongType())
                              for n in ("n_bytes", "n_removed", "n_spans")),
@@ -493,7 +493,7 @@ def _cut(docs: DataFrame, id_col: str, text_col: str, report: bool, carry: str |
 def passage_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    **options) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` per row."""
-    return _cut(docs, id_col, text_col, True, None, **options).withColumnRenamed(
+    return _cut(docs, id_col, text_col, True, False, **options).withColumnRenamed(
         "kept", "kept_sha256")
 
 
@@ -503,6 +503,5 @@ def drop_repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: st
 
     Spans are bytes and may cut a character; the broken ends of such a character go too.
     """
-    cut = _cut(whole_rows(docs), id_col, text_col, False, "_row", **options)
-    return cut.select(*(F.col("kept").alias(c) if c == text_col else F.col(f"_row.`{c}`")
-                        for c in docs.columns))
+    cut = _cut(docs, id_col, text_col, False, True, **options)
+    return restored(cut, docs, text_col, F.col("kept"))

@@ -6,7 +6,7 @@ import random
 import zlib
 
 SCHEMA = ("doc_id bigint, text string, lang string, source string, n_chars bigint, "
-          "body string, digest string, h string, batch int, lines string, n_words string")
+          "body string, digest string, h string, batch int, lines string, n_words string, _row string")
 PLAIN = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 
 
@@ -44,7 +44,7 @@ def frame(spark, table=None, wide: bool = True):
     table = rows() if table is None else table
     if wide:
         return spark.createDataFrame(
-            [(i, t, "en", "s", None, "b", "d", "h", 1, "l", "w") for i, t in table], SCHEMA)
+            [(i, t, "en", "s", None, "b", "d", "h", 1, "l", "w", "r") for i, t in table], SCHEMA)
     return spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in table], PLAIN)
 
 

@@ -5,7 +5,7 @@ import pytest
 
 import corpus_pipeline
 from basketry.llm import pieces, quality
-from tests.llm import test_linededup, test_simhash, test_suffixdedup
+from tests.llm import test_linededup, test_nearcopies, test_suffixdedup
 from tests.llm.cases import frame, rows
 from tests.llm.test_packing import ids_of
 
@@ -39,7 +39,8 @@ def table():
         if i % 13 == 0:
             body = body.replace(" ", " ### ")
         out.append((1000 + i, body))
-    return rows(n=40) + out
+    # Near copies: too far apart for two bits of a fingerprint, and on both sides of 0.8.
+    return rows(n=40) + out + test_nearcopies.near_copies(4, 6)
 
 
 def test_against_brute_force(spark, plain):
@@ -47,7 +48,7 @@ def test_against_brute_force(spark, plain):
     now = docs
     steps = []
     for _, stage in corpus_pipeline.STAGES[:-1]:
-        now = stage(spark, now, "").persist()
+        now = stage(spark, now, "")  # chained as they are, nothing is written in between
         assert now.columns == docs.columns
         assert not now.where("n_chars <> length(text)").count() or stage.__name__ == "quality_rules"
         steps.append([(x.doc_id, x.text) for x in now.collect()])
@@ -58,9 +59,9 @@ def test_against_brute_force(spark, plain):
     assert {i for i, _ in good if i in sure} == {i for i, k in sure.items() if k}
     assert 0 < len(good) < len(table()) and set(good) <= set(table())
     assert key(lines) == key((i, t) for i, _, _, t in test_linededup.brute(good))
-    groups = test_simhash.brute_groups([(i, test_simhash.brute_print(t)) for i, t in lines])
-    assert len(one) == len({g for _, _, g in groups})
-    assert {i for i, _ in one} == {g for _, _, g in groups} and set(one) <= set(lines)
+    left = test_nearcopies.brute_kept(lines)
+    assert sorted((i is None, i or 0) for i, _ in one) == left
+    assert len(left) < len(lines) and set(one) <= set(lines)
     cut = test_suffixdedup.brute(one, 50)
     assert key(passages) == key((i, k.decode("utf-8", "ignore")) for i, _, _, _, k in cut)
     assert sum(r[2] for r in cut) > 0
@@ -75,6 +76,23 @@ def test_against_brute_force(spark, plain):
     assert key(got) == key(want)
 
 
+def test_empty_table(spark):
+    docs = frame(spark, [], wide=False)
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        now = stage(spark, docs, "")
+        assert now.columns == docs.columns and now.count() == 0
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, "").count() == 0
+
+
+def test_columns_go_along(spark):
+    """Clashing names, nulls and equal rows through every stage."""
+    docs = frame(spark, table())
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        now = stage(spark, docs, "")
+        assert now.columns == docs.columns
+        assert now.where("_row <> 'r' or digest <> 'd' or h <> 'h'").count() == 0 < now.count()
+
+
 def test_run(spark, sf_dir):
     assert corpus_pipeline.ORACLE_SQL is None and len(corpus_pipeline.STAGES) == 5
     got = corpus_pipeline.run(spark, sf_dir)
