@@ -34,6 +34,8 @@ from __future__ import annotations
 import hashlib
 import os
 import re
+from collections.abc import Iterable
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -41,19 +43,19 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from basketry.llm.bytepairs import WHITE, _slices
-from basketry.llm.common import python_rows
+from basketry.llm.common import pack, python_rows, unpack
 from basketry.llm.tokens import BYTE_CHARACTERS
 from basketry.session import materialise, ship_package
 
 FIRST, SECOND = "byte_bpe_50k.json", "piece_bpe_32k.model"
 WORK = 4096
-CHUNK_BYTES = 8 << 20
-CACHE_SEGMENTS = 100_000
+CHUNK_BYTES = 4 << 20
+CACHE_SEGMENTS = 60_000
 BLOCK_LINKS = 1 << 21
 SHIFT = 32  # a pair is the A id, shifted, and the B id
 CHUNK_SCHEMA = ("chunk bigint, doc_id array<bigint>, n_a array<bigint>, n_b array<bigint>, "
                 "n_groups array<bigint>, n_links array<bigint>, groups_sha256 array<string>, "
-                "doc_segments binary, segments binary, segment_pairs binary, pair_at binary, "
+                "sizes array<bigint>, doc_segments binary, segments binary, segment_pairs binary, pair_at binary, "
                 "pair_times binary, pairs array<bigint>, holders array<bigint>")
 RESULT_SCHEMA = ("doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, "
                  "n_best bigint, count_sum bigint, groups_sha256 string")
@@ -174,6 +176,14 @@ class Aligner:
             if not (byte or self.b.is_control(i) or self.b.is_unknown(i)):
                 texts.append(piece)
         self.split = segment_pattern(texts).findall
+        self.a_size, self.b_size = (np.zeros(max(t) + 1, dtype=np.int64)
+                                    for t in (self.a_bytes, self.b_bytes))
+        for size, table in ((self.a_size, self.a_bytes), (self.b_size, self.b_bytes)):
+            for i, body in table.items():
+                size[i] = len(body)
+        # Every id as text with what may follow it: another id, the other tokenizer, a group.
+        self.texts = [f"{i}{c}" for i in range(len(self.a_size)) for c in ",|"] + [
+            f"{i}{c}" for i in range(len(self.b_size)) for c in ",;"]
         self.cache, self.work = cache, work
         self.known: dict[str, tuple] = {}
         self.older: dict[str, tuple] = {}
@@ -181,22 +191,22 @@ class Aligner:
     def segments(self, text: str | None) -> list[str]:
         return [s for s in self.split(" " + text) if s] if text else []
 
-    def _ids(self, segments: list[str]):
+    def _ids(self, segments: list[str]) -> tuple[list[list[int]], list[list[int]]]:
         first = [e.ids for e in self.a.encode_batch_fast(segments, add_special_tokens=False)]
         # The second tokenizer puts a space before a text.  A line end is never part of another
         # token, so behind it a segment stands as it is.
         second = self.b.encode(["\n" + s for s in segments], num_threads=1)
         return first, [ids[2:] for ids in second]
 
-    def meet(self, segments: set[str]) -> dict[str, tuple]:
-        """``(a ids, b ids, n_groups, n_links, groups as text, pairs, times)`` of each segment.
+    def meet(self, segments: Iterable[str]) -> dict[str, tuple]:
+        """``((n_a, n_b, n_groups, n_links), groups as text, pairs, times)`` of each segment.
 
         None for a segment that one tokenizer does not spell.
         """
         if len(self.known) > self.cache:
             self.known, self.older = {}, self.known
         known, new = self.known, []
-        for s in segments.difference(known):
+        for s in set(segments).difference(known):
             if s in self.older:
                 known[s] = self.older[s]
             else:
@@ -205,24 +215,31 @@ class Aligner:
             self._align(new[at:at + 50_000])
         return known
 
+    def _spelled(self, segments: list[str], first: list, second: list) -> list[bool]:
+        """Which segments both tokenizers spell."""
+        a, b = self.a_bytes.__getitem__, self.b_bytes.__getitem__
+        whole = "".join(segments).encode()
+        if (all(first) and all(second) and b"".join(map(a, chain.from_iterable(first))) == whole
+                and b"".join(map(b, chain.from_iterable(second))) == whole):
+            size = np.fromiter((len(s.encode()) for s in segments), np.int64, len(segments))
+            if all((_summed(table[_flat(ids)], _ends(ids)) == size).all()
+                   for table, ids in ((self.a_size, first), (self.b_size, second))):
+                return [True] * len(segments)
+        return [bool(x and y) and b"".join(map(a, x)) == s.encode() == b"".join(map(b, y))
+                for s, x, y in zip(segments, first, second, strict=True)]
+
     def _align(self, new: list[str]) -> None:
         first, second = self._ids(new)
-        a_bytes, b_bytes = self.a_bytes, self.b_bytes
-        good = []
-        for s, x, y in zip(new, first, second, strict=True):
-            body = s.encode()
-            if (x and y and b"".join([a_bytes[i] for i in x]) == body
-                    and b"".join([b_bytes[i] for i in y]) == body):
-                good.append((s, x, y))
-            else:
-                self.known[s] = None
-        if not good:
-            return
-        a_ids = np.array([i for _, x, _ in good for i in x], dtype=np.int64)
-        b_ids = np.array([i for _, _, y in good for i in y], dtype=np.int64)
-        a_end = np.cumsum([len(a_bytes[i]) for _, x, _ in good for i in x])
-        b_end = np.cumsum([len(b_bytes[i]) for _, _, y in good for i in y])
-        x, y, cut_a, cut_b = align(a_end, b_end, self.work)
+        good = self._spelled(new, first, second)
+        if not all(good):
+            self.known.update((s, None) for s, g in zip(new, good, strict=True) if not g)
+            new, first, second = ([x for x, g in zip(part, good, strict=True) if g]
+                                  for part in (new, first, second))
+            if not new:
+                return
+        a_ids, b_ids = _flat(first), _flat(second)
+        x, y, cut_a, cut_b = align(np.cumsum(self.a_size[a_ids]), np.cumsum(self.b_size[b_ids]),
+                                   self.work)
         # The tokens of a group are those that its overlaps name, from the least to the greatest.
         group = np.searchsorted(cut_a, x)
         order = np.argsort(group, kind="stable")
@@ -230,31 +247,55 @@ class Aligner:
         a_from, b_from = (np.minimum.reduceat(t[order], new_group) for t in (x, y))
         a_n, b_n = cut_a + 1 - a_from, cut_b + 1 - b_from
         links = a_n * b_n
-        size = np.cumsum([len(t) for _, t, _ in good])
-        ends = np.searchsorted(cut_a, size - 1) + 1  # groups up to each segment's end
+        a_ends = _ends(first)
+        ends = np.searchsorted(cut_a, a_ends - 1) + 1  # groups up to each segment's end
         starts = np.append(0, ends[:-1])
         sums = np.append(0, np.cumsum(links))
-        texts_a, texts_b = list(map(str, a_ids.tolist())), list(map(str, b_ids.tolist()))
-        shown = [(texts_a[p] if k == 1 else ",".join(texts_a[p:p + k])) + "|"
-                 + (texts_b[q] if m == 1 else ",".join(texts_b[q:q + m]))
-                 for p, k, q, m in zip(*(t.tolist() for t in (a_from, a_n, b_from, b_n)),
-                                       strict=True)]
+        shown, shown_at = self._shown(a_ids, b_ids, a_from, a_n, b_from, b_n, ends)
+        facts = zip(_sizes(first), _sizes(second), (ends - starts).tolist(),
+                    (sums[ends] - sums[starts]).tolist(), strict=True)
         at = 0
-        while at < len(good):  # as many segments at a time as make a bounded number of links
+        while at < len(new):  # as many segments at a time as make a bounded number of links
             limit = sums[starts[at]] + BLOCK_LINKS
             stop = max(at + 1, int(np.searchsorted(sums[ends], limit, side="right")))
             g = slice(starts[at], ends[stop - 1])
             owner = np.repeat(np.arange(at, stop), (ends - starts)[at:stop])
             seg, pair, times = _linked(a_ids, b_ids, a_from[g], a_n[g], b_from[g], b_n[g], owner)
             borders = np.searchsorted(seg, np.arange(at, stop + 1)).tolist()
-            for k, (p, q) in enumerate(zip(borders[:-1], borders[1:], strict=True), at):
-                s, t_a, t_b = good[k]
-                self.known[s] = (len(t_a), len(t_b), int(ends[k] - starts[k]),
-                                 int(sums[ends[k]] - sums[starts[k]]),
-                                 ";".join(shown[starts[k]:ends[k]]),
-                                 pair[p:q].tobytes(), times[p:q].tobytes())
+            pair, times = pair.tobytes(), times.astype("<u4").tobytes()
+            for k in range(at, stop):
+                p, q = borders[k - at], borders[k - at + 1]
+                text = "".join(shown[shown_at[k]:shown_at[k + 1]])
+                self.known[new[k]] = (next(facts), text[:-1], pair[8 * p:8 * q], times[4 * p:4 * q])
             at = stop
 
+    def _shown(self, a_ids, b_ids, a_from, a_n, b_from, b_n, ends):
+        """Groups as text: ids with what follows them, and where each segment's begin."""
+        groups = np.arange(len(a_n))
+        g = np.repeat(groups, a_n)
+        out = np.empty(len(a_ids) + len(b_ids), dtype=np.int64)
+        at = np.arange(len(a_ids))
+        out[at + b_from[g]] = 2 * a_ids + (at == (a_from + a_n)[g] - 1)
+        g = np.repeat(groups, b_n)
+        at = np.arange(len(b_ids))
+        out[at + (a_from + a_n)[g]] = (2 * b_ids + (at == (b_from + b_n)[g] - 1)
+                                       + 2 * len(self.a_size))
+        tokens = np.append(0, np.cumsum(a_n + b_n))
+        return (list(map(self.texts.__getitem__, out.tolist())),
+                tokens[np.append(0, ends)].tolist())
+
+
+def _flat(ids: list[list[int]]) -> np.ndarray:
+    return np.fromiter(chain.from_iterable(ids), np.int64)
+
+
+def _sizes(ids: list[list[int]]) -> list[int]:
+    return list(map(len, ids))
+
+
+def _ends(ids: list[list[int]]) -> np.ndarray:
+    return np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)))
+
 
 def _linked(a_ids, b_ids, a_from, a_n, b_from, b_n, owner):
     """Distinct pairs of ids per owner, with the number of their links; sorted by both."""
@@ -298,55 +339,65 @@ def _summed(values: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return np.diff(sums[np.append(0, ends)])
 
 
+class _Numbers(dict):
+    """Segments numbered as they come."""
+
+    def __missing__(self, segment):
+        self[segment] = n = len(self)
+        return n
+
+
 def chunk_row(aligner: Aligner, chunk: int, ids: list, texts: list) -> pa.RecordBatch:
     """A chunk's texts, as the row that ``CHUNK_SCHEMA`` names."""
-    parts = list(map(aligner.segments, texts))
-    known = aligner.meet({s for p in parts for s in p})
-    # Texts that one tokenizer does not spell have no tokens.
-    refused = {s for p in parts for s in p if known[s] is None}
-    if refused:
-        parts = [[] if refused.intersection(p) else p for p in parts]
-    number: dict[str, int] = {}
-    for p in parts:
-        for s in p:
-            number.setdefault(s, len(number))
+    number, parts = _Numbers(), []
+    for text in texts:
+        found = aligner.segments(text)
+        parts.append(np.fromiter(map(number.__getitem__, found), np.int64, len(found)))
+    known = aligner.meet(number.keys())
     of = [known[s] for s in number]
-    counts = np.array([o[:4] for o in of], dtype=np.int64).reshape(-1, 4)
-    shown = [o[4] for o in of]
-    pair = np.frombuffer(b"".join([o[5] for o in of]), dtype=np.int64)
-    times = np.frombuffer(b"".join([o[6] for o in of]), dtype=np.int64)
-    segment_ends = np.cumsum([len(o[5]) // 8 for o in of], dtype=np.int64)
-    pairs, at = np.unique(pair, return_inverse=True)
-    get = number.__getitem__
-    segment = np.array([get(s) for p in parts for s in p], dtype=np.int64)
+    # Texts that one tokenizer does not spell have no tokens; their segments count nowhere.
+    refused = np.array([o is None for o in of], dtype=bool)
+    if refused.any():
+        parts = [p[:0] if refused[p].any() else p for p in parts]
+        of = [o or ((0, 0, 0, 0), "", b"", b"") for o in of]
+    counts = np.array([o[0] for o in of], dtype=np.int64).reshape(-1, 4)
+    shown = [o[1] for o in of]
+    pair = np.frombuffer(b"".join([o[2] for o in of]), dtype=np.int64)
+    times = np.frombuffer(b"".join([o[3] for o in of]), dtype="<u4").astype(np.int64)
+    n_pairs = np.array([len(o[2]) // 8 for o in of], dtype=np.int64)
+    segment = np.concatenate(parts) if parts else np.empty(0, np.int64)
     doc_ends = np.cumsum([len(p) for p in parts], dtype=np.int64)
+    pairs, at = np.unique(pair, return_inverse=True)
+    holders = _holders(segment, doc_ends, n_pairs, at, len(pairs))
     facts = [_summed(counts[segment, k], doc_ends) for k in range(4)]
-    digests = [hashlib.sha256(";".join([shown[i] for i in run.tolist()]).encode()).hexdigest()
-               if len(run) else "" for run in np.split(segment, doc_ends[:-1])]
+    digests = [hashlib.sha256(";".join([shown[i] for i in p.tolist()]).encode()).hexdigest()
+               if len(p) else "" for p in parts]
     return pa.RecordBatch.from_arrays(
         [pa.array([chunk], pa.int64()), pa.array([ids], pa.list_(pa.int64())),
          *(pa.array([f], pa.list_(pa.int64())) for f in facts),
          pa.array([digests], pa.list_(pa.string())),
-         *(pa.array([x.tobytes()], pa.binary()) for x in (
-             doc_ends, segment.astype("<u4"), segment_ends, at.astype("<u4"), times)),
-         pa.array([pairs], pa.list_(pa.int64())),
-         pa.array([_holders(segment, doc_ends, segment_ends, at, len(pairs))],
-                  pa.list_(pa.int64()))],
+         pa.array([[len(segment), len(of), len(at)]], pa.list_(pa.int64())),
+         *(pa.array([pack(x)], pa.binary()) for x in (
+             np.diff(np.append(0, doc_ends)), segment, n_pairs, at, times)),
+         pa.array([pairs], pa.list_(pa.int64())), pa.array([holders], pa.list_(pa.int64()))],
         names=[c.split()[0] for c in CHUNK_SCHEMA.split(", ")])
 
 
-def _holders(segment, doc_ends, segment_ends, at, n_pairs) -> np.ndarray:
+def _distinct(values: np.ndarray) -> np.ndarray:
+    values = np.sort(values)
+    return values[np.flatnonzero(np.append(True, values[1:] != values[:-1]))] if len(values) else values
+
+
+def _holders(segment, doc_ends, n_pairs, at, pairs: int) -> np.ndarray:
     """The number of texts that hold each pair."""
-    if not len(segment):
-        return np.zeros(n_pairs, dtype=np.int64)
     doc = np.repeat(np.arange(len(doc_ends)), np.diff(np.append(0, doc_ends)))
-    met = np.unique(doc * len(segment_ends) + segment)  # a text's segments once
-    doc, segment = met // len(segment_ends), met % len(segment_ends)
-    n = np.diff(np.append(0, segment_ends))[segment]
-    first = (segment_ends - np.diff(np.append(0, segment_ends)))[segment]
+    met = _distinct(doc * max(1, len(n_pairs)) + segment)  # a text's segments once
+    doc, segment = met // max(1, len(n_pairs)), met % max(1, len(n_pairs))
+    n = n_pairs[segment]
+    first = (np.cumsum(n_pairs) - n_pairs)[segment]
     place = np.repeat(first - (np.cumsum(n) - n), n) + np.arange(n.sum())
-    return np.bincount(np.unique(np.repeat(doc, n) * n_pairs + at[place]) % n_pairs,
-                       minlength=n_pairs)
+    return np.bincount(_distinct(np.repeat(doc, n) * max(1, pairs) + at[place]) % max(1, pairs),
+                       minlength=pairs)
 
 
 def _chunk_step(first: str, second: str):
@@ -364,15 +415,17 @@ def _chunk_step(first: str, second: str):
 def _answer(chunks: pa.Table, answers: pa.Table) -> pa.Table:
     """The rows of one chunk, whose distinct pairs have been counted."""
     row = {n: chunks.column(n)[0] for n in chunks.column_names}
-    packed = lambda n, kind: np.frombuffer(row[n].as_py(), dtype=kind).astype(np.int64)
+    n_segments, n_distinct, n_pairs = row["sizes"].as_py()
+    listed = lambda n: row[n].values
     order = np.argsort(answers.column("place").to_numpy())
     total, best = (answers.column(n).to_numpy()[order] for n in ("total", "best"))
-    at, times = packed("pair_at", "<u4"), packed("pair_times", np.int64)
-    ends, segment = packed("segment_pairs", np.int64), packed("segments", "<u4")
-    docs = packed("doc_segments", np.int64)
+    at, times = (unpack(row[n].as_py(), n_pairs) for n in ("pair_at", "pair_times"))
+    segment = unpack(row["segments"].as_py(), n_segments)
+    docs, ends = (np.cumsum(unpack(row[n].as_py(), size)) for n, size in
+                  (("doc_segments", len(listed("doc_id"))), ("segment_pairs", n_distinct)))
+    # A pair that only texts without tokens would hold has no answer that counts.
     counted = [_summed(_summed(times * x[at], ends)[segment], docs)
                for x in ((total == best).astype(np.int64), total)]
-    listed = lambda n: row[n].values
     return pa.table(
         [listed("doc_id"), *map(listed, ("n_a", "n_b", "n_groups", "n_links")),
          *(pa.array(c, pa.int64()) for c in counted), listed("groups_sha256")],

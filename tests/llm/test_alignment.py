@@ -120,8 +120,8 @@ def test_segments_have_the_tokens_of_whole_texts(aligner, work):
             continue
         g = groups(found)
         shown = ";".join(",".join(map(str, x)) + "|" + ",".join(map(str, y)) for x, y in g)
-        assert ";".join(k[4] for k in got) == shown, repr(text)
-        assert sum(k[3] for k in got) == sum(len(x) * len(y) for x, y in g)
+        assert ";".join(k[1] for k in got) == shown, repr(text)
+        assert sum(k[0][3] for k in got) == sum(len(x) * len(y) for x, y in g)
 
 
 def test_long_group_counts_every_link(aligner, monkeypatch):
