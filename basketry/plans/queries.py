@@ -395,17 +395,22 @@ def feature_upsert(spark, folder):
 
 @query
 def feature_registry(spark, folder):
-    """Definitions registered twice, next to the rows their features cover."""
+    """Definitions registered twice, with the types and rows of the tables that hold the features."""
     store = FeatureStore(spark, scratch_path(spark, "registry"))
     definitions = feature_definitions(spark)
     store.register(definitions, "2024-01-01 00:00:00")
     store.register(definitions.where("feature_type = 'item'"), "2024-02-01 00:00:00")
-    facts = bindings.order_interactions(spark, folder)
-    covered = facts.agg(F.struct(F.count_distinct("user_id").alias("user"),
-                                 F.count_distinct("item_id").alias("item"))).scalar()
-    return store.registry().withColumn(
-        "covered_ids", F.when(F.col("feature_type") == "user", covered["user"])
-        .otherwise(covered["item"]))
+    facts = materialise(bindings.order_interactions(spark, folder), "facts")
+    bought = F.count_if(F.col("view_mode") == "purchase") / F.count(F.lit(1))
+    users = facts.groupBy("user_id").agg(
+        F.count(F.lit(1)).alias("user_activity_count"), F.avg("rating").alias("avg_rating_given"),
+        bought.alias("purchase_ratio"))
+    store.publish("user_features", users, "user_id", "2024-02-01 00:00:00")
+    store.publish("item_features", features.item_statistics(facts), "item_id", "2024-02-01 00:00:00")
+    held = store.describe("user_features", "user_id").unionByName(
+        store.describe("item_features", "item_id"))
+    return (store.registry().drop("data_type").join(F.broadcast(held), "feature_name")
+            .withColumnRenamed("rows", "covered_ids").drop("published_at"))
 
 
 # Recommendation ---------------------------------------------------------------------

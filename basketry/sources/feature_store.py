@@ -101,6 +101,17 @@ class FeatureStore:
     def registry(self) -> DataFrame:
         return self.read("feature_metadata")
 
+    def describe(self, name: str, key: str) -> DataFrame:
+        """What a published table holds: ``feature_name, data_type, rows, published_at``."""
+        table = self.read(name)
+        kinds = {"bigint": "INTEGER", "int": "INTEGER", "boolean": "INTEGER", "double": "REAL",
+                 "float": "REAL"}
+        columns = [F.struct(F.lit(f.name).alias("feature_name"),
+                            F.lit(kinds.get(f.dataType.simpleString(), "TEXT")).alias("data_type"))
+                   for f in table.schema.fields if f.name not in (key, "updated_at")]
+        return (table.agg(F.count(F.lit(1)).alias("rows"), F.max("updated_at").alias("published_at"))
+                .select(F.inline(F.array(*columns)), "rows", "published_at"))
+
     def export_registry(self, path: str) -> None:
         """One JSON record per feature."""
         self.registry().write.mode("overwrite").json(path)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -57,6 +59,8 @@ class Lake:
         if fmt == "csv":
             writer = writer.option("header", True)
         writer.save(self.path(layer, source, dt))
+        if fmt == "parquet":
+            self._record(df.schema, layer, source, dt)
         return self.snapshot(layer, source, dt, fmt, df.schema)
 
     def save_by_date(self, df: DataFrame, layer: str, source: str, date_column: str) -> None:
@@ -71,6 +75,36 @@ class Lake:
         # Dates are moved into place one by one when the job is done; Spark leaves no marker then.
         fs, marker = _file_system(self.spark, f"{self.path(layer, source)}/_SUCCESS")
         fs.create(marker, True).close()
+        self._record(df.schema, layer, source, "0000-00-00")
+
+    def _record(self, schema: StructType, layer: str, source: str, dt: str) -> None:
+        """Note a schema with the first date that has it; a folder per change, not per date."""
+        folder = f"{self.base.rstrip('/')}/_schemas/{layer}/{source}"
+        text = json.dumps([[f.name, f.dataType.simpleString()] for f in schema.fields if f.name != "dt"])
+        mark = hashlib.md5(text.encode()).hexdigest()
+        if any(f.endswith(mark) and f[5:15] <= dt for f in child_folders(self.spark, folder)):
+            return
+        (self.spark.createDataFrame([(dt, text)], "since string, columns string").coalesce(1)
+         .write.mode("overwrite").json(f"{folder}/from={dt}-{mark}"))
+
+    def recorded_schema(self, layer: str, source: str, upto: str = "9999-12-31") -> StructType | None:
+        """Columns of all snapshots not after a date, by the schemas noted as they were saved.
+
+        A column whose type changed is refused.  None where nothing was noted.
+        """
+        folder = f"{self.base.rstrip('/')}/_schemas/{layer}/{source}"
+        noted = [f for f in child_folders(self.spark, folder) if f.startswith("from=") and f[5:15] <= upto]
+        if not noted:
+            return None
+        rows = self.spark.read.schema("since string, columns string").json(
+            [f"{folder}/{f}" for f in noted]).orderBy("since", "columns").collect()
+        types: dict[str, str] = {}
+        for row in rows:
+            for name, kind in json.loads(row["columns"]):
+                if types.setdefault(name, kind) != kind:
+                    raise ValueError(f"{layer}/{source}: {name} is {types[name]} in one snapshot "
+                                     f"and {kind} in another")
+        return StructType.fromDDL(", ".join(f"`{n}` {k}" for n, k in types.items()))
 
     def save_profile(self, df: DataFrame, layer: str, source: str, dt: str) -> DataFrame:
         """Snapshot metadata beside the data: profile, hash and size, as JSON.
@@ -123,13 +157,20 @@ class Lake:
         return self.snapshot(layer, source, usable[-1], fmt, schema)
 
     def all_dates(self, layer: str, source: str, upto: str = "9999-12-31") -> DataFrame:
-        """Every finished snapshot not after a date, columns united by name, with ``dt``."""
+        """Every finished snapshot not after a date, columns united by name, with ``dt``.
+
+        The columns come from the noted schemas, so no footer is opened to learn them.
+        """
         usable = [d for d in self.dates(layer, source) if d <= upto]
         if not usable:
             raise FileNotFoundError(f"no snapshot of {layer}/{source} up to {upto}")
         root = self.path(layer, source)
-        return (self.spark.read.option("mergeSchema", True).option("basePath", root)
-                .parquet(*[f"{root}/dt={d}" for d in usable])
+        schema = self.recorded_schema(layer, source, upto)
+        reader = self.spark.read.option("basePath", root)
+        # Without a note, as in a lake of earlier days, the footers of all files must be opened.
+        reader = (reader.option("mergeSchema", True) if schema is None
+                  else reader.schema(schema.add("dt", "string")))
+        return (reader.parquet(*[f"{root}/dt={d}" for d in usable])
                 .withColumn("dt", F.col("dt").cast("string")))
 
     def size(self, layer: str, source: str, dt: str) -> int:

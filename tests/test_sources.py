@@ -156,6 +156,44 @@ def test_completeness_is_cut_off(spark):
     assert samples == {"a": "1", "b": "1"}
 
 
+def test_days_are_united_by_noted_schemas(spark, tmp_path):
+    """One more column on a later day, without a look at the files; a changed type is refused."""
+    lake = Lake(spark, str(tmp_path))
+    one = spark.createDataFrame([(1, "a")], "id long, name string")
+    two = spark.createDataFrame([(2, "b", 0.5)], "id long, name string, price double")
+    for dt, df in (("2024-01-01", one), ("2024-01-02", one), ("2024-01-03", two), ("2024-01-04", two)):
+        lake.save(df, "raw", "p", dt)
+    assert len(list((tmp_path / "_schemas" / "raw" / "p").iterdir())) == 2
+    got = lake.all_dates("raw", "p")
+    assert got.columns == ["id", "name", "price", "dt"]
+    assert sorted(map(tuple, got.collect())) == [
+        (1, "a", None, "2024-01-01"), (1, "a", None, "2024-01-02"), (2, "b", 0.5, "2024-01-03"),
+        (2, "b", 0.5, "2024-01-04")]
+    assert lake.all_dates("raw", "p", "2024-01-02").columns == ["id", "name", "dt"]
+    assert "mergeSchema" not in got._jdf.queryExecution().toString()
+    lake.save(spark.createDataFrame([("x", "a")], "id string, name string"), "raw", "p", "2024-01-05")
+    with pytest.raises(ValueError, match="id is"):
+        lake.all_dates("raw", "p")
+    assert lake.all_dates("raw", "p", "2024-01-04").count() == 4
+
+
+def test_days_without_a_note(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path))
+    for dt, n in (("2024-01-01", 1), ("2024-01-02", 2)):
+        spark.range(n).write.parquet(lake.path("raw", "old", dt))
+    assert lake.recorded_schema("raw", "old") is None
+    assert lake.all_dates("raw", "old").count() == 3
+
+
+def test_published_tables_describe_themselves(spark, tmp_path):
+    store = FeatureStore(spark, str(tmp_path))
+    rows = spark.createDataFrame([(1, 2, 0.5, "a"), (2, 3, 0.1, "b")], "user_id long, n long, share double, c string")
+    store.publish("u", rows, "user_id", "2024-01-05 00:00:00")
+    got = {r.feature_name: (r.data_type, r.rows, str(r.published_at)) for r in store.describe("u", "user_id").collect()}
+    stamp = (2, "2024-01-05 00:00:00")
+    assert got == {"n": ("INTEGER", *stamp), "share": ("REAL", *stamp), "c": ("TEXT", *stamp)}
+
+
 def test_feature_store(spark, tmp_path):
     store = FeatureStore(spark, str(tmp_path))
     df = spark.createDataFrame([(i, i * 1.0) for i in range(5)], "user_id long, x double")
