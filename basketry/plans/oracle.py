@@ -592,7 +592,7 @@ def oracle_sql() -> dict[str, str]:
             "GROUP BY user_id, items) "
             "SELECT 'pairs' AS fact, users * items AS value FROM n UNION ALL "
             "SELECT 'list_rows', CAST(sum(k) AS BIGINT) FROM lists UNION ALL "
-            "SELECT 'products_above_half_the_pairs', 0", "pairs"),
+            "SELECT 'all_products', 0", "pairs"),
         "sgd_quality": _with(
             ", s AS (SELECT *, substr(md5(CAST(user_id AS VARCHAR) || '-' || CAST(item_id AS VARCHAR) "
             "|| '-42'), 1, 8) < 'cccccccc' AS train FROM pairs) "

@@ -512,12 +512,12 @@ def baseline_topk(spark, folder):
 def baseline_topk_work(spark, folder):
     """How many of all user-item products the search of the same lists took."""
     work = ranking.SearchWork()
-    lists = _baseline_lists(spark, folder, work)
+    lists = _baseline_lists(spark, folder, work=work, first_items=32)
     return _facts(spark, {"pairs": work.pairs, "list_rows": lists.count(),
-                          "products_above_half_the_pairs": int(2 * work.products > work.pairs)})
+                          "all_products": int(work.products >= work.pairs)})
 
 
-def _baseline_lists(spark, folder, work=None):
+def _baseline_lists(spark, folder, **search):
     """Mean and biases as two-entry vectors: the product search without factors."""
     rows = order_triples(spark, folder)
     mean, item_bias, user_bias = factor_model.bias_tables(rows)
@@ -529,7 +529,7 @@ def _baseline_lists(spark, folder, work=None):
         return F.transform(v, lambda x: F.round(x * 2**20) / 2**20)
     return ranking.vector_topk(materialise(users.withColumn("vector", grid("vector")), "users"),
                                materialise(items.withColumn("vector", grid("vector")), "items"),
-                               ranking.seen_pairs(rows), 10, RATING_LOW, RATING_HIGH, work=work)
+                               ranking.seen_pairs(rows), 10, RATING_LOW, RATING_HIGH, **search)
 
 
 _SAVED: dict[tuple[str, str], str] = {}
