@@ -32,6 +32,7 @@ ignored, whatever their names.
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 import re
 from collections.abc import Iterable
@@ -42,7 +43,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from basketry.llm.bytepairs import WHITE, _slices
+from basketry.llm.bytepairs import WHITE, _slices, default_pattern
 from basketry.llm.common import pack, python_rows, unpack
 from basketry.llm.tokens import BYTE_CHARACTERS
 from basketry.session import materialise, ship_package
@@ -132,6 +133,24 @@ def align(a: np.ndarray, b: np.ndarray, work: int = WORK):
 
 # Tokens of segments ---------------------------------------------------------------------------
 
+def ranked(path: str, tokens: dict[int, bytes]):
+    """A faster encoder of the same ids, where a merge's place and its token's id agree in order."""
+    import tiktoken
+
+    with open(path, encoding="utf-8") as file:
+        whole = json.load(file)
+    model, before = whole["model"], whole["pre_tokenizer"]
+    plain = (before == {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True,
+                        "use_regex": True} and whole["normalizer"] is None and not model["dropout"])
+    merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+    made = [model["vocab"]["".join(m)] for m in merges]
+    singles = {i for i, t in tokens.items() if len(t) == 1}
+    if not plain or made != sorted(set(made)) or singles.union(made) != set(tokens):
+        return None
+    return tiktoken.Encoding("own", pat_str=default_pattern(), special_tokens={},
+                             mergeable_ranks={t: i for i, t in tokens.items()})
+
+
 def segment_pattern(tokens: list[str]) -> re.Pattern:
     """What cuts texts into segments that none of the tokens reaches across."""
     glue = set()
@@ -167,6 +186,7 @@ class Aligner:
         raw = {c: b for b, c in BYTE_CHARACTERS.items()}
         vocabulary = self.a.get_vocab(with_added_tokens=False)
         self.a_bytes = {i: bytes(raw[c] for c in t) for t, i in vocabulary.items()}
+        self.ranked = ranked(first, self.a_bytes)
         self.b_bytes = {}
         texts = [t.decode("utf-8", "replace") for t in self.a_bytes.values()]
         for i in range(self.b.get_piece_size()):
@@ -192,7 +212,10 @@ class Aligner:
         return [s for s in self.split(" " + text) if s] if text else []
 
     def _ids(self, segments: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        first = [e.ids for e in self.a.encode_batch_fast(segments, add_special_tokens=False)]
+        if self.ranked is not None:
+            first = list(map(self.ranked.encode_ordinary, segments))
+        else:
+            first = [e.ids for e in self.a.encode_batch_fast(segments, add_special_tokens=False)]
         # The second tokenizer puts a space before a text.  A line end is never part of another
         # token, so behind it a segment stands as it is.
         second = self.b.encode(["\n" + s for s in segments], num_threads=1)

@@ -134,6 +134,14 @@ def test_long_group_counts_every_link(aligner, monkeypatch):
     assert got == want
 
 
+def test_both_encoders_of_the_first_tokenizer_agree(aligner):
+    assert aligner.ranked is not None
+    tokens = [b.decode("utf-8", "ignore") for b in aligner.a_bytes.values()]
+    for text in tokens + AWKWARD:
+        assert aligner.ranked.encode_ordinary(text) == \
+            aligner.a.encode(text, add_special_tokens=False).ids, repr(text)
+
+
 def test_segments_part_where_no_token_reaches_across():
     cut = lambda tokens, text: [s for s in alignment.segment_pattern(tokens).findall(text) if s]
     assert cut([" a", "\n\n"], " a\nb  c \n d ") == [" a", "\n", "b", "  c", " \n d", " "]
