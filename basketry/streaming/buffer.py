@@ -2,7 +2,8 @@
 
 Each lane has a buffer in the state store that lives across micro-batches and restarts.  A full
 buffer leaves at once; what is left leaves when the oldest event has waited ``seconds``.  A buffer
-never holds ``size`` events or more, so the state is bounded by lanes x size.
+never holds ``size`` events or more, so the state is bounded by lanes x size; a task holds that and
+one Arrow batch, however many events of a lane a micro-batch brings.
 """
 
 from __future__ import annotations
@@ -24,28 +25,28 @@ def _collect(size: int, seconds: float):
     def step(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         held, since, flushes = state.get if state.exists else ([], 0, 0)
         held, now = list(held), int(time.time() * 1000)
-        out = []
 
-        def flush(rows: list[str], full: bool) -> None:
+        def sent(groups: list[list[str]]) -> pd.DataFrame:
             nonlocal flushes
-            out.append((key[0], flushes, len(rows), full, rows))
-            flushes += 1
+            rows = [(key[0], flushes + k, len(g), len(g) >= size, g) for k, g in enumerate(groups)]
+            flushes += len(groups)
+            return pd.DataFrame(rows, columns=["lane", "flush", "n", "full", "payloads"])
 
         if not held:
             since = now
+        # Full groups leave with the part that fills them, so a lane is never held whole.
         for part in parts:
             held += part["payload"].tolist()
-            while len(held) >= size:
-                flush(held[:size], True)
-                held, since = held[size:], now
+            full = len(held) // size * size
+            if full:
+                yield sent([held[k:k + size] for k in range(0, full, size)])
+                held, since = held[full:], now
         if held and now - since >= 1000 * seconds:
-            flush(held, False)
+            yield sent([held])
             held = []
         state.update((held, since, flushes))
         if held:
             state.setTimeoutDuration(max(1, since + int(1000 * seconds) - now))
-        if out:
-            yield pd.DataFrame(out, columns=["lane", "flush", "n", "full", "payloads"])
     return step
 
 
@@ -79,16 +80,17 @@ def _await(query: StreamingQuery, reached, patience: float) -> None:
         raise query.exception()
 
 
-def taken_in(query: StreamingQuery, patience: float = 120.0) -> int:
+def taken_in(query: StreamingQuery, patience: float = float("inf")) -> int:
     """Wait until a micro-batch found nothing new; gives its number.
 
     Buffers that wait for time keep such a query running batches for ever, so it is never idle.
+    A large first batch may take long; only a given ``patience`` ends the wait before it is done.
     """
     _await(query, lambda p: p["numInputRows"] == 0, patience)
     return query.lastProgress["batchId"] if query.lastProgress else -1
 
 
-def drain(query: StreamingQuery, seconds: float, patience: float = 120.0) -> None:
+def drain(query: StreamingQuery, seconds: float, patience: float = float("inf")) -> None:
     """Let a query take in all there is, wait out the buffers' time, and stop it."""
     taken_in(query, patience)
     time.sleep(seconds)

@@ -234,3 +234,33 @@ def test_kafka_needs_its_connector(spark):
     """The connector package is not here; the reader must say so, not fail oddly."""
     with pytest.raises(Exception, match="(?i)kafka"):
         jobs.kafka_events(spark, "broker:9092", ["users", "transactions"], max_offsets=100)
+
+
+def test_a_lane_leaves_part_by_part():
+    """Full groups leave before the next part is read, so no lane is held whole."""
+    import pandas as pd
+
+    class State:
+        exists, get = True, (["a"], 0, 7)
+
+        def update(self, value):
+            self.value = value
+
+        def setTimeoutDuration(self, millis):
+            self.millis = millis
+
+    read, state = [], State()
+
+    def parts():
+        for n in range(3):
+            read.append(n)
+            yield pd.DataFrame({"payload": [f"{n}-{i}" for i in range(10)]})
+
+    step = buffer._collect(4, 1e12)((5,), parts(), state)
+    first = next(step)
+    assert read == [0] and first["flush"].tolist() == [7, 8] and first["full"].all()
+    rest = pd.concat([first, *step])
+    assert rest["flush"].tolist() == list(range(7, 14)) and set(rest["n"]) == {4}
+    sent = [x for g in rest["payloads"] for x in g] + state.value[0]
+    assert sent == ["a"] + [f"{n}-{i}" for n in range(3) for i in range(10)]
+    assert state.value[0] == sent[28:] and state.value[2] == 14 and state.millis > 0
