@@ -741,7 +741,8 @@ def stream_dedup(spark, folder):
     # Each file holds a slice of the keys, so stamps jump back with every file.
     (raw.withColumn("slice", F.col("event_id") % 20).repartitionByRange(20, "slice").drop("slice")
      .write.parquet(f"{base}/in"))
-    stream = wire_events(jobs.file_events(spark, f"{base}/in", raw.schema, max_files=1))
+    stream = wire_events(jobs.file_events(spark, f"{base}/in", raw.schema, max_files=1,
+                                          spread="event_id"))
     valid = contract.identified(contract.decode_transactions(
         contract.route(stream, contract.TRANSACTION_TOPIC)))
     jobs.append_unrepeated(valid, f"{base}/out", f"{base}/checkpoint").awaitTermination()

@@ -28,14 +28,20 @@ def kafka_events(spark: SparkSession, servers: str, topics: list[str],
 
 
 def file_events(spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet",
-                glob: str | None = None, max_files: int | None = None) -> DataFrame:
-    """Rows of files as they appear; each file is read once per checkpoint."""
+                glob: str | None = None, max_files: int | None = None,
+                spread: str | None = None) -> DataFrame:
+    """Rows of files as they appear; each file is read once per checkpoint.
+
+    A micro-batch of few files has few tasks.  ``spread`` names a column by which its raw rows are
+    dealt to as many tasks as a shuffle has, so that parsing them is not the work of one.
+    """
     reader = spark.readStream.schema(schema).format(fmt)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.load(path)
+    rows = reader.load(path)
+    return rows.repartition(spread) if spread else rows
 
 
 def unrepeated(events: DataFrame, key: str = "event_id") -> DataFrame:

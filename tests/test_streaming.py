@@ -264,3 +264,21 @@ def test_a_lane_leaves_part_by_part():
     sent = [x for g in rest["payloads"] for x in g] + state.value[0]
     assert sent == ["a"] + [f"{n}-{i}" for n in range(3) for i in range(10)]
     assert state.value[0] == sent[28:] and state.value[2] == 14 and state.millis > 0
+
+
+def test_one_file_is_spread_over_tasks(spark, tmp_path):
+    spark.range(50).coalesce(1).write.parquet(str(tmp_path / "in"))
+    counts = []
+
+    def tasks(batch, _):
+        counts.append(batch.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect())
+
+    schema = spark.read.parquet(str(tmp_path / "in")).schema
+    stream = jobs.file_events(spark, str(tmp_path / "in"), schema, max_files=1, spread="id")
+    merged = "spark.sql.adaptive.coalescePartitions.enabled"  # fifty rows would be one task again
+    before = spark.conf.get(merged)
+    spark.conf.set(merged, "false")
+    stream.writeStream.foreachBatch(tasks).option("checkpointLocation", str(tmp_path / "c")).trigger(
+        availableNow=True).start().awaitTermination()
+    spark.conf.set(merged, before)
+    assert sum(counts[0]) == 50 and sum(n > 0 for n in counts[0]) > 1
