@@ -16,6 +16,9 @@ left over, and once more; after three cuts at most 20 bits are left, so no shard
 2 ** 20 fingerprints whatever the corpus holds.  A shard reports a spanning forest of its links,
 never all pairs.
 
+The words of a shingle and the radius of a tree are parameters; ``nearcopies`` searches with wider
+ones, over shards of its own.
+
 Defined results: null counts as empty; a text without words has the fingerprint zero and links
 like any other; a null id takes the smallest id its component has, and is never that id itself
 unless all are null; an empty table gives an empty result; other columns are ignored.
@@ -23,6 +26,7 @@ unless all are null; an empty table gives an empty result; other columns are ign
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from itertools import accumulate
 
 import numpy as np
@@ -43,25 +47,36 @@ LEVELS = 3
 _BYTE_BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little")
 
 
-def fingerprint(body: bytes) -> int:
-    """Unsigned 64-bit fingerprint of a text."""
+def shingle_hashes(body: bytes, shingle_words: int = SHINGLE_WORDS) -> np.ndarray:
+    """Hashes of a text's shingles in order, repeats included."""
     words = body.lower().split()  # bytes.lower() changes A-Z alone
     if not words:
-        return 0
+        return np.empty(0, "<u8")
     joined = b" ".join(words)
     ends = [e - 1 for e in accumulate(len(w) + 1 for w in words)]
     starts = [0, *(e + 1 for e in ends[:-1])]
-    n = max(1, len(words) - SHINGLE_WORDS + 1)
+    n = max(1, len(words) - shingle_words + 1)
     digest = xxhash.xxh64_intdigest
-    hashes = np.array([digest(joined[s:e], SEED) for s, e in
-                       zip(starts[:n], ends[-n:], strict=True)], dtype="<u8")
-    lanes = hashes.view(np.uint8).reshape(n, 8)
+    return np.array([digest(joined[s:e], SEED) for s, e in
+                     zip(starts[:n], ends[-n:], strict=True)], dtype="<u8")
+
+
+def majority(hashes: np.ndarray) -> int:
+    """Unsigned 64-bit fingerprint of hashes: the bits set in over half of them."""
+    if not len(hashes):
+        return 0
+    lanes = hashes.view(np.uint8).reshape(-1, 8)
     counts = np.concatenate([np.bincount(lanes[:, k], minlength=256) @ _BYTE_BITS
                              for k in range(8)])
-    bits = np.packbits(2 * counts > n, bitorder="little")
+    bits = np.packbits(2 * counts > len(hashes), bitorder="little")
     return int(bits.view("<u8")[0])
 
 
+def fingerprint(body: bytes, shingle_words: int = SHINGLE_WORDS) -> int:
+    """Unsigned 64-bit fingerprint of a text."""
+    return majority(shingle_hashes(body, shingle_words))
+
+
 def signed(value: int) -> int:
     return value - (1 << 64) if value >> 63 else value
 
@@ -134,12 +149,40 @@ class BKTree:
             node = self.children[node].setdefault((self.values[node] ^ value).bit_count(), new)
         return new
 
+    def near_all(self, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """``near`` for many values in one walk, level by level: numbers of values and of nodes."""
+        nodes = np.array(self.values, np.uint64)
+        size = np.array([len(c) for c in self.children], np.int64)
+        starts = np.cumsum(size) - size
+        edge = np.array([k for c in self.children for k in c], np.int64)
+        child = np.array([n for c in self.children for n in c.values()], np.int64)
+        asked = np.arange(len(values) if len(nodes) else 0)
+        at = np.zeros(len(asked), np.int64)
+        found = [(asked[:0], at[:0])]
+        while len(asked):
+            d = np.bitwise_count(nodes[at] ^ values[asked]).astype(np.int64)
+            found.append((asked[d <= self.radius], at[d <= self.radius]))
+            n = size[at]
+            below = np.repeat(starts[at] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            follow = np.abs(np.repeat(d, n) - edge[below]) <= self.radius
+            asked, at = np.repeat(asked, n)[follow], child[below[follow]]
+        return tuple(np.concatenate(x) for x in zip(*found, strict=True))
+
+
+def near_pairs(values: list[int], radius: int = RADIUS) -> Iterator[tuple[int, int]]:
+    """Numbers ``(i, j)``, i > j, of the values within the radius, by a tree that grows with i."""
+    tree = BKTree(radius)
+    for i, value in enumerate(values):
+        for j in tree.near(value):
+            yield i, j
+        tree.add(value)
+
 
 def shard_links(values: list[int]) -> list[tuple[int, int]]:
     """A spanning forest of the links within a shard of distinct fingerprints."""
     if len(values) == 2:
         return [(values[0], values[1])] if (values[0] ^ values[1]).bit_count() <= RADIUS else []
-    tree, parent, links = BKTree(), list(range(len(values))), []
+    parent, links = list(range(len(values))), []
 
     def root(i: int) -> int:
         while parent[i] != i:
@@ -147,12 +190,10 @@ def shard_links(values: list[int]) -> list[tuple[int, int]]:
             i = parent[i]
         return i
 
-    for i, value in enumerate(values):
-        for j in tree.near(value):
-            if (a := root(i)) != (b := root(j)):
-                parent[a] = b
-                links.append((value, values[j]))
-        tree.add(value)
+    for i, j in near_pairs(values):
+        if (a := root(i)) != (b := root(j)):
+            parent[a] = b
+            links.append((values[i], values[j]))
     return links
 
 

@@ -44,7 +44,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (5-word shingles, similarity 0.8) stays."""
+    """One document of each group of near copies stays: SimHash of 5-word shingles, BK-trees, and
+    a check of the pairs they find (similarity 0.8)."""
     return nearcopies.keep_one(docs)
 
 

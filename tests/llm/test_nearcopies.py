@@ -1,7 +1,9 @@
 import random
 import re
+from math import comb
 
 import numpy as np
+import xxhash
 
 import corpus_pipeline
 from basketry.llm import nearcopies
@@ -125,3 +127,54 @@ def test_columns_with_internal_names(spark):
 def test_empty(spark):
     assert nearcopies.keep_one(frame(spark, [])).count() == 0
     assert nearcopies.keep_one(frame(spark, [(None, None), (1, "")])).count() == 1
+
+
+def brute_print(found):
+    """64-bit fingerprint of a set of shingles."""
+    hashes = [xxhash.xxh64_intdigest(" ".join(s).encode(), 42) for s in found]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def brute_within(table, radius):
+    """As ``brute_kept``, by links whose fingerprints differ in ``radius`` bits at most."""
+    sets = [brute_set(t) for _, t in table]
+    prints = [brute_print(s) for s in sets]
+    root = list(range(len(table)))
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if (prints[i] ^ prints[j]).bit_count() <= radius and len(a & sets[j]) >= 0.8 * len(a | sets[j]):
+                one, two = root[i], root[j]
+                root = [two if r == one else r for r in root]
+    least = {}
+    for (d, _), r in zip(table, root, strict=True):
+        least[r] = min(least.get(r, d), d)
+    return sorted((False, d) for d in least.values())
+
+
+def test_links_come_from_the_trees(spark):
+    """Narrow trees find fewer links, in small shards, by the leaders of large ones and in blocks."""
+    table = near_copies(3, 14) + chained(12)
+    every = brute_kept(table)
+    for radius, small in ((0, 8), (3, 8), (3, 2)):
+        want = brute_within(table, radius)
+        assert len(every) < len(want) < len(table)
+        df = frame(spark, table, wide=False)
+        assert kept(nearcopies.keep_one(df, small=small, radius=radius)) == want
+    assert brute_within(table, nearcopies.RADIUS) == every
+
+
+def test_radius_is_wide_enough():
+    """Of pairs of similarity 0.8 and more hardly any lies outside: sets of up to 60 shingles."""
+    pmf = [np.array([comb(n, k) / 2 ** n for k in range(n + 1)]) for n in range(61)]
+    worst = 0
+    for n in range(2, 61):
+        both = -(-4 * n // 5)
+        for a in range((n - both) // 2 + 1):
+            b = n - both - a
+            k = np.arange(both + 1)
+            one, two = ((pmf[m] * (2 * (k[:, None] + np.arange(m + 1)) > both + m)).sum(axis=1)
+                        for m in (a, b))  # the bit is set, by the number of common ones that have it
+            worst = max(worst, (pmf[both] * (one * (1 - two) + two * (1 - one))).sum())
+    assert abs(worst - 0.1875) < 1e-9
+    lost = sum(comb(64, k) * worst ** k * (1 - worst) ** (64 - k) for k in range(nearcopies.RADIUS + 1, 65))
+    assert lost < 2e-6

@@ -2,6 +2,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import xxhash
 
 from basketry.llm import simhash
@@ -134,3 +135,25 @@ def test_components(spark):
            .collect()}
     assert got == {x: root(x) for a, b in links if a != b for x in (a, b)}
     assert components(spark.createDataFrame([], "a string, b string")).count() == 0
+
+
+def test_one_walk_for_many_values():
+    prints = planted(300, 9)
+    for radius in (0, 2, 28):
+        tree = simhash.BKTree(radius)
+        assert [x.tolist() for x in tree.near_all(np.array(prints[:3], np.uint64))] == [[], []]
+        for p in prints[::2]:
+            tree.add(p)
+        asked = prints[::3]
+        got = sorted(zip(*(x.tolist() for x in tree.near_all(np.array(asked, np.uint64))), strict=True))
+        assert got == [(i, j) for i, p in enumerate(asked) for j, q in enumerate(tree.values)
+                       if (p ^ q).bit_count() <= radius]
+        for i, p in enumerate(asked[:20]):
+            assert sorted(tree.near(p)) == [j for k, j in got if k == i]
+
+
+def test_words_of_a_shingle():
+    body = b"A b c d e f g"
+    hashes = [xxhash.xxh64_intdigest(s, 42) for s in (b"a b c d e", b"b c d e f", b"c d e f g")]
+    assert simhash.fingerprint(body, 5) == sum(
+        1 << b for b in range(64) if sum(h >> b & 1 for h in hashes) >= 2) != simhash.fingerprint(body)
