@@ -22,7 +22,7 @@ a larger one the root of the tree, the leader, is compared with all sets on its
 radius, which links a group of near copies with one pair a set.  The links of all shards make
 components.  Of a large shard that then holds several components, every set outside the largest
 is searched among the sets of the other components, in blocks of up to 2,048 sets a side that are
-each a task with a tree of its own; a block gives one link per set and component, not pairs, and a
+each a task with a tree of its own; a block gives one link for two components, not pairs, and a
 pair in doubt is compared in the first shard that its sets share.  So every two sets of a shard
 within the radius are compared or known to be connected, and no link between them is lost.  Sets
 that share a band, fill one shard and are not alike cost up to the square of its size in visited
@@ -237,7 +237,7 @@ def _searched(left: np.ndarray, right: np.ndarray, radius: int):
 
 
 def _compare_blocks(left: pa.Table, right: pa.Table, radius: int) -> pa.Table:
-    """One link per set on the left and component on the right, if there is any."""
+    """The roots of components that any sets of both sides link."""
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
     right = right.select([f"{c}_y" for c in _RIGHT]).rename_columns(_RIGHT)
     if not left.num_rows or not right.num_rows:
@@ -248,14 +248,14 @@ def _compare_blocks(left: pa.Table, right: pa.Table, radius: int) -> pa.Table:
     outside = right.column("outside").to_numpy(zero_copy_only=False)
     bucket = left.column("bucket")[0].as_py()
     sets_x, sets_y = _Sets(left), _Sets(right)
-    found = []
+    linked = {}
     fp_x, fp_y = (t.column("fp").to_numpy().view(np.uint64) for t in (left, right))
     for i, near in enumerate(_searched(fp_x, fp_y, radius)):
         # Two sets outside the main component meet twice; the smaller number counts.
-        near = near[(root_y[near] != root_x[i]) & (~outside[near] | (n_x[i] < n_y[near]))]
+        done = linked.setdefault(root_x[i], {root_x[i]})
+        near = near[~np.isin(root_y[near], list(done)) & (~outside[near] | (n_x[i] < n_y[near]))]
         agreeing = (y[near] == x[i]).sum(axis=1)
         verdict = sure(agreeing)
-        done = set()
         for k in sorted(np.flatnonzero(verdict >= 0).tolist(), key=lambda k: -agreeing[k]):
             j = near[k]
             if root_y[j] in done:
@@ -265,15 +265,14 @@ def _compare_blocks(left: pa.Table, right: pa.Table, radius: int) -> pa.Table:
                     or not similar(sets_x[i], sets_y[j])):
                 continue
             done.add(root_y[j])
-            found.append((n_x[i], n_y[j]))
+    found = [(one, two) for one, done in linked.items() for two in done if one != two]
     a, b = zip(*found, strict=True) if found else ((), ())
     return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64())], schema=schema)
 
 
-def _across(large: DataFrame, found: DataFrame, sets: DataFrame, texts: DataFrame,
+def _across(large: DataFrame, roots: DataFrame, sets: DataFrame, texts: DataFrame,
             radius: int) -> DataFrame:
-    """Links between the components that ``found`` leaves in large buckets (``bucket, n``)."""
-    roots = components(found).select(F.col("node").alias("n"), "root")
+    """Links between the components ``(n, root)`` of large buckets (``bucket, n``), by their roots."""
     placed = materialise(large.join(roots, "n", "left").select(
         "bucket", "n", F.coalesce("root", "n").alias("root")), "placed")
     main = (placed.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("size"))
@@ -300,9 +299,9 @@ def _across(large: DataFrame, found: DataFrame, sets: DataFrame, texts: DataFram
                        .applyInArrow(compare, "a bigint, b bigint"), "copy-links")
 
 
-def links(sets: DataFrame, texts: DataFrame, firsts: DataFrame, small: int = SMALL,
-          radius: int = RADIUS) -> DataFrame:
-    """``(a, b)`` that connect the near copies among distinct sets.
+def connected(sets: DataFrame, texts: DataFrame, firsts: DataFrame, small: int = SMALL,
+              radius: int = RADIUS) -> DataFrame:
+    """``firsts`` with the ``root`` of the near copies that each belongs to.
 
     ``sets`` has ``n, fp, print, bands`` of all rows, ``texts`` their ``n, body``; ``firsts`` has the
     ``n`` of one row of each set.
@@ -319,9 +318,13 @@ def links(sets: DataFrame, texts: DataFrame, firsts: DataFrame, small: int = SMA
     edge = F.bit_count(F.col("fp").bitwiseXOR(F.col("leader.fp")))
     star = rows.where((F.col("size") > small) & (F.col("n") != F.col("leader.n"))
                       & (edge <= radius)).select(F.col("leader.n").alias("a"), F.col("n").alias("b"))
-    found = _linked(pairs.unionAll(star), sets, texts)
+    roots = components(_linked(pairs.unionAll(star), sets, texts)).select(
+        F.col("node").alias("n"), "root")
     large = rows.where(F.col("size") > small).select("bucket", "n")
-    return found.unionAll(_across(large, found, sets, texts, radius))
+    tops = components(_across(large, roots, sets, texts, radius)).select(
+        F.col("node").alias("root"), F.col("root").alias("top"))
+    return (firsts.join(roots, "n", "left").withColumn("root", F.coalesce("root", "n"))
+            .join(tops, "root", "left").withColumn("root", F.coalesce("top", "root")).drop("top"))
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
@@ -337,11 +340,9 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
         best = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "n")
         firsts = materialise(sets.groupBy("key").agg(F.min(best).alias("first"))
                              .select("first", F.col("first.n").alias("n")), "set-firsts")
-        roots = components(links(sets, whole.select("n", "body"), firsts.select("n"), small,
-                                 radius))
         kept = materialise(
-            firsts.join(roots.select(F.col("node").alias("n"), "root"), "n", "left")
-            .groupBy(F.coalesce("root", "n")).agg(F.min("first").alias("first"))
+            connected(sets, whole.select("n", "body"), firsts, small, radius)
+            .groupBy("root").agg(F.min("first").alias("first"))
             .select(F.col("first.n").alias("n")), "kept")
     drop_paths(docs.sparkSession, own[:-1])
     return restored(whole.join(kept, "n", "left_semi"), docs, text_col)
