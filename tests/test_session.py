@@ -1,4 +1,7 @@
+import time
+
 import pytest
+from pyspark.sql import functions as F
 
 from basketry import session
 
@@ -53,3 +56,24 @@ def test_scopes_know_their_own_paths(spark):
     assert b not in session.scratch_paths(spark) and outer in session.scratch_paths(spark)
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         spark.read.parquet(b)
+
+
+def test_shuffles_go_with_their_query(spark, tmp_path):
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def data_files():
+        return {f for f in disk.getAllFiles().mkString("\n").split("\n")
+                if "/shuffle_" in f and f.endswith(".data")}
+
+    rows = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
+    before, setting = data_files(), spark.conf.get(session._CLEANUP, None)
+    with session.shuffles_dropped(spark):
+        with session.shuffles_dropped(spark):
+            pass
+        rows.write.parquet(str(tmp_path / "a"))
+        until = time.time() + 20
+        while data_files() - before and time.time() < until:
+            time.sleep(0.2)
+        assert not data_files() - before
+    assert spark.conf.get(session._CLEANUP, None) == setting
+    assert spark.read.parquet(str(tmp_path / "a")).count() == 7
