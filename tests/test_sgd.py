@@ -1,8 +1,10 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from basketry.operators import factor_model as fm, sgd
+from basketry.session import scratch_paths
 
 TRIPLE = "user_id long, item_id long, score double"
 
@@ -92,3 +94,68 @@ def test_blocks_follow_the_ratings(spark, monkeypatch):
 def test_no_ratings(spark):
     with pytest.raises(ValueError, match="no ratings"):
         sgd.fit_sgd(spark.createDataFrame([], TRIPLE))
+
+
+def test_blocks_fit_a_task(spark, monkeypatch):
+    rows = spark.createDataFrame(table(), TRIPLE)
+    assert sgd.choose_blocks(rows) == sgd.LEAST_BLOCKS
+    monkeypatch.setattr(sgd, "PAIR_BYTES", 8 * 52 * 10)  # ten ids of 50 factors, of 70
+    assert sgd.choose_blocks(rows) == 7
+    assert sgd.choose_blocks(rows, rank=258) == 35
+
+
+def test_plans_of_one_stratum_equal_plain_loops(spark, monkeypatch, tmp_path):
+    """Each stratum written by itself; what is written on the way goes."""
+    monkeypatch.setattr(sgd, "PLAN_BYTES", 1)
+    rows, before = table(4), set(scratch_paths(spark))
+    args = dict(rank=3, epochs=2, rate=0.02, reg=0.05, seed=5, blocks=3)
+    fit = sgd.fit_sgd(spark.createDataFrame(rows, TRIPLE), path=str(tmp_path / "m"), **args)
+    _, p, _, _, bi, errors = one_by_one(spark, rows, **args)
+    assert fit.epoch_errors == pytest.approx(errors, rel=1e-9)
+    assert all(np.allclose(r[1], p[r[0]], atol=1e-9) for r in fit.model.user_factors.collect())
+    assert {r[0]: r[1] for r in fit.model.item_bias.collect()} == pytest.approx(bi, abs=1e-9)
+    assert set(scratch_paths(spark)) == before
+
+
+def test_no_row_grows_with_its_block(monkeypatch):
+    """Blocks and cells in many pieces, in any order, give what they give as a whole."""
+    monkeypatch.setattr(sgd, "PIECE", 4)
+    monkeypatch.setattr(sgd, "CELL_PIECE", 7)
+    monkeypatch.setattr(sgd, "WAVE_PART", 3)
+    rng = np.random.default_rng(2)
+    pairs = sorted({(int(a) * 5, int(b) * 3) for a, b in zip(rng.integers(0, 15, 90), rng.integers(0, 11, 90))})
+    users, items = (np.array(x) for x in zip(*pairs))
+    cell = sgd._cell(pa.table({
+        "user_id": users, "item_id": items, "score": rng.random(len(users)), "place": rng.integers(0, 99, len(users)),
+        "ub": pa.array([0] * len(users), pa.int32()), "ib": pa.array([0] * len(users), pa.int32())}))
+    states = [sgd._start(2, 1)(pa.table({"id": np.unique(x), "side": [s] * len(np.unique(x)),
+                                         "block": pa.array([0] * len(np.unique(x)), pa.int32())}))
+              for s, x in (("user", users), ("item", items))]
+    assert cell.num_rows > 5 and all(s.num_rows > 2 for s in states)
+    assert max(len(v) for s in states for v in s["factors"].to_pylist()) == 4 * 2 * 8
+    rows = [r for t in (*states, cell) for r in t.to_pylist()]
+    names = dict.fromkeys([*sgd.STATE_ROW.names, "users", "items", "scores", "waves"])
+    rows = [names | {"side": "cell"} | r for r in rows]
+    rng.shuffle(rows)
+    schema = pa.schema([*sgd.STATE_ROW, *(pa.field(n, pa.binary()) for n in list(names)[-4:])])
+    batches = pa.Table.from_pylist(rows, schema).to_batches(max_chunksize=3)
+    out = pa.Table.from_batches(list(sgd._step(0.5, 0.1, 0.02)(iter(batches)))).sort_by("start").to_pylist()
+
+    def whole(rows, side, name, kind=np.float64):
+        return np.frombuffer(b"".join(r[name] for r in rows if r["side"] == side), kind)
+
+    start = [r for s in states for r in s.to_pylist()]
+    p, q, bu, bi = (whole(start, s, n).copy() for s, n in (
+        ("user", "factors"), ("item", "factors"), ("user", "bias"), ("item", "bias")))
+    p, q = p.reshape(-1, 2), q.reshape(-1, 2)
+    u, i, score, wave = (np.frombuffer(b"".join(cell[n].to_pylist()), k) for n, k in (
+        ("users", np.int64), ("items", np.int64), ("scores", np.float64), ("waves", np.int64)))
+    u, i = np.searchsorted(np.unique(users), u), np.searchsorted(np.unique(items), i)
+    met = 0.0
+    for a, b, s in zip(u, i, score):
+        met += sgd.descend(p, q, bu, bi, np.array([a]), np.array([b]), np.array([s]), np.array([1]), 0.5, 0.1, 0.02)
+    for side, factors, bias in (("user", p, bu), ("item", q, bi)):
+        assert np.allclose(whole(out, side, "factors"), factors.ravel())
+        assert np.allclose(whole(out, side, "bias"), bias)
+    assert sum(r["errors"] for r in out) == pytest.approx(met)
+    assert sum(r["ratings"] for r in out) == len(pairs) and (np.diff(wave) >= 0).all()
